@@ -43,8 +43,136 @@ FROM ot
 GROUP BY mes, name_t
 """
 
+PERSON = """person AS (
+  SELECT c_custkey AS businessentityid, nullif(c_mktsegment, 'MACHINERY') AS title,
+         c_name AS firstname_t, '' AS middlename_t, '' AS lastname_t
+  FROM customer)"""
+
+PRODUCTS_RANKED = """products_ranked AS (
+  SELECT mes, producto,
+         row_number() OVER (PARTITION BY mes ORDER BY qty DESC, producto ASC NULLS LAST) AS rn
+  FROM (
+    SELECT strftime(sh.orderdate, '%Y-%m') AS mes, pp.p_name AS producto, sum(sd.l_quantity) AS qty
+    FROM header sh
+    JOIN lineitem sd ON sh.salesorderid = sd.l_orderkey
+    JOIN part pp ON pp.p_partkey = sd.l_partkey
+    JOIN customer cc ON cc.c_custkey = sh.customerid
+    WHERE sh.status = 5
+    GROUP BY 1, 2) x)"""
+
+CUSTOMERS_RANKED = """customers_ranked AS (
+  SELECT mes, cliente,
+         row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, cliente ASC NULLS LAST) AS rn
+  FROM (
+    SELECT strftime(sh.orderdate, '%Y-%m') AS mes,
+           per.title || '' || per.firstname_t || '' || per.middlename_t || '' || per.lastname_t AS cliente,
+           sum(CAST(sh.totaldue AS DECIMAL(18,4))) AS total
+    FROM header sh
+    JOIN lineitem sd ON sh.salesorderid = sd.l_orderkey
+    JOIN customer cc ON cc.c_custkey = sh.customerid
+    JOIN person per ON per.businessentityid = cc.c_custkey
+    WHERE sh.status = 5
+    GROUP BY 1, 2) x)"""
+
+PRODUCTS_WIDE = """products_wide AS (
+  SELECT mes,
+         max(CASE WHEN rn = 1 THEN producto END) AS producto_n1,
+         max(CASE WHEN rn = 2 THEN producto END) AS producto_n2,
+         max(CASE WHEN rn = 3 THEN producto END) AS producto_n3
+  FROM products_ranked WHERE rn <= 3 GROUP BY mes)"""
+
+CUSTOMERS_WIDE = """customers_wide AS (
+  SELECT mes,
+         max(CASE WHEN rn = 1 THEN cliente END) AS cliente_n1,
+         max(CASE WHEN rn = 2 THEN cliente END) AS cliente_n2,
+         max(CASE WHEN rn = 3 THEN cliente END) AS cliente_n3
+  FROM customers_ranked WHERE rn <= 3 GROUP BY mes)"""
+
+TOP_PRODUCTS_MONTHLY = f"""
+WITH {HEADER}, {PRODUCTS_RANKED}, {PRODUCTS_WIDE}
+SELECT * FROM products_wide
+"""
+
+TOP_CUSTOMERS_MONTHLY_PER_LINE = f"""
+WITH {HEADER}, {PERSON}, {CUSTOMERS_RANKED}, {CUSTOMERS_WIDE}
+SELECT * FROM customers_wide
+"""
+
+TOP3_PRODUCTS_CUSTOMERS = f"""
+WITH {HEADER}, {PERSON}, {PRODUCTS_RANKED}, {PRODUCTS_WIDE}, {CUSTOMERS_RANKED}, {CUSTOMERS_WIDE}
+SELECT p.mes, p.producto_n1, p.producto_n2, p.producto_n3,
+       c.cliente_n1, c.cliente_n2, c.cliente_n3
+FROM products_wide p JOIN customers_wide c ON c.mes = p.mes
+"""
+
+TOP_CUSTOMERS_MONTHLY = f"""
+WITH {HEADER}, {PERSON},
+per_customer AS (
+  SELECT strftime(sh.orderdate, '%Y-%m') AS mes, sh.customerid,
+         sum(CAST(sh.totaldue AS DECIMAL(18,4))) AS total
+  FROM header sh JOIN customer cc ON cc.c_custkey = sh.customerid
+  WHERE sh.status = 5
+  GROUP BY 1, 2),
+named AS (
+  SELECT pc.*, concat_ws(' ', per.title, nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
+                         nullif(per.lastname_t, '')) AS nombre
+  FROM per_customer pc JOIN customer cc ON cc.c_custkey = pc.customerid
+  JOIN person per ON per.businessentityid = cc.c_custkey),
+ranked AS (
+  SELECT mes, nombre,
+         row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, customerid ASC) AS rn
+  FROM named)
+SELECT mes,
+       max(CASE WHEN rn = 1 THEN nombre END) AS cliente_n1,
+       max(CASE WHEN rn = 2 THEN nombre END) AS cliente_n2,
+       max(CASE WHEN rn = 3 THEN nombre END) AS cliente_n3
+FROM ranked WHERE rn <= 3 GROUP BY mes
+"""
+
+# Two scans joined on the month, as the source writes it.
+TERRITORY_VS_ORG_AVG = f"""
+WITH {HEADER}, {TERRITORY}, {ORDERS_T},
+prmt AS (
+  SELECT mes, name_t,
+         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS mntproceso
+  FROM ot GROUP BY mes, name_t),
+prmm AS (
+  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS mntproceso
+  FROM ot GROUP BY mes)
+SELECT prmt.mes, prmt.name_t AS nombreterritorio, prmm.mntproceso AS monthavg,
+       prmm.mntproceso - prmt.mntproceso AS diff,
+       CASE WHEN prmm.mntproceso - prmt.mntproceso > 0 THEN 'Above'
+            WHEN prmm.mntproceso - prmt.mntproceso = 0 THEN 'Equal'
+            ELSE 'Below' END AS indicador
+FROM prmt JOIN prmm ON prmt.mes = prmm.mes
+"""
+
+GROUP_VS_ORG_AVG_LAST6 = f"""
+WITH {HEADER}, {TERRITORY}, {ORDERS_T},
+last6 AS (
+  SELECT DISTINCT strftime(orderdate, '%Y-%m') AS mes FROM header ORDER BY mes DESC LIMIT 6),
+grp AS (
+  SELECT mes, group_t,
+         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS a
+  FROM ot WHERE mes IN (SELECT mes FROM last6) GROUP BY mes, group_t),
+org AS (
+  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS a
+  FROM ot WHERE mes IN (SELECT mes FROM last6) GROUP BY mes)
+SELECT grp.mes AS ordermonth, grp.group_t AS territorygroup, org.a AS monthavg,
+       grp.a - org.a AS diff,
+       CASE WHEN grp.a - org.a > 0 THEN 'Above' WHEN grp.a - org.a = 0 THEN 'Equal'
+            ELSE 'Below' END AS indicator
+FROM grp JOIN org ON grp.mes = org.mes
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "monthly_status_report": MONTHLY_STATUS_REPORT,
+        "top_products_monthly": TOP_PRODUCTS_MONTHLY,
+        "top_customers_monthly_per_line": TOP_CUSTOMERS_MONTHLY_PER_LINE,
+        "top_customers_monthly": TOP_CUSTOMERS_MONTHLY,
+        "top3_products_customers": TOP3_PRODUCTS_CUSTOMERS,
+        "territory_vs_org_avg": TERRITORY_VS_ORG_AVG,
+        "group_vs_org_avg_last6": GROUP_VS_ORG_AVG_LAST6,
     }

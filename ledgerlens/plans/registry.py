@@ -6,4 +6,10 @@ from ledgerlens.plans import reports as R
 
 QUERIES = {
     "monthly_status_report": R.monthly_status_report,
+    "top_products_monthly": R.top_products_monthly,
+    "top_customers_monthly_per_line": R.top_customers_monthly_per_line,
+    "top_customers_monthly": R.top_customers_monthly,
+    "top3_products_customers": R.top3_products_customers,
+    "territory_vs_org_avg": R.territory_vs_org_avg,
+    "group_vs_org_avg_last6": R.group_vs_org_avg_last6,
 }

@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
 from ledgerlens.functions.dates import month_key
+from ledgerlens.functions.money import money
+from ledgerlens.functions.status import SHIPPED
+from ledgerlens.operators.averages import group_and_overall_avg, indicator
 from ledgerlens.operators.joins import broadcast_if_small
 from ledgerlens.operators.status import status_breakdown
+from ledgerlens.operators.topk import positional_pivot
 
 
 def orders_with_territory(spark: SparkSession, sf_dir: str,
@@ -38,3 +42,150 @@ def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("name_t").alias("nombreterritorio"),
         "status", "totaldue")
     return status_breakdown(src, ["mes", "nombreterritorio"], "status", "totaldue")
+
+
+# --------------------------------------------------------------------------
+# Top three products and customers per month (shipped orders only)
+# --------------------------------------------------------------------------
+
+def shipped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipped orders that have a customer, with their month.
+
+    The filter ``status = 5`` is pushed under every join.  The customer table
+    only confirms that the customer exists, so it is a left-semi join (equal
+    to the inner join of the source because customerid is the customer key)
+    and carries no columns into the shuffle.
+    """
+    h = T.sales_header(spark, sf_dir).where(F.col("status") == SHIPPED)
+    c = T.customer(spark, sf_dir).select("customerid")
+    return (h.join(c, "customerid", "left_semi")
+            .withColumn("mes", month_key("orderdate")))
+
+
+def product_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units shipped per (month, product name).
+
+    Lines are summed per (month, productid) first: the partial aggregate
+    shrinks the line stream before the product join, and the product join
+    then touches one row per product and month instead of one per line.
+    Products sharing a name are merged afterwards, as the source groups by
+    name.
+    """
+    orders = shipped_orders(spark, sf_dir).select("salesorderid", "mes")
+    lines = T.sales_detail(spark, sf_dir)
+    per_product = (orders.join(lines, "salesorderid", "inner")
+                   .groupBy("mes", "productid").agg(F.sum("orderqty").alias("qty")))
+    return (per_product.join(T.product(spark, sf_dir), "productid", "inner")
+            .groupBy("mes", F.col("name_t").alias("producto"))
+            .agg(F.sum("qty").alias("qty")))
+
+
+def top_products_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 product names per month by units shipped (ties: name)."""
+    ranked_by = [F.col("qty").desc(), F.col("producto").asc_nulls_last()]
+    return positional_pivot(product_quantities(spark, sf_dir), ["mes"], ranked_by, "producto",
+                            ["producto_n1", "producto_n2", "producto_n3"])
+
+
+def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customerid -> name as the source builds it: title, first, middle and
+    last name glued without blanks; NULL when any part is NULL.  Also a
+    readable form that skips NULL and empty parts."""
+    c = T.customer(spark, sf_dir).select("customerid", "personid")
+    p = T.person(spark, sf_dir)
+    parts = ["title", "firstname_t", "middlename_t", "lastname_t"]
+    joined = c.join(p, c.personid == p.businessentityid, "inner")
+    return joined.select(
+        "customerid",
+        F.concat(*[F.col(x) for x in parts]).alias("cliente"),
+        F.concat_ws(" ", *[F.nullif(F.col(x), F.lit("")) for x in parts]).alias("nombre"),
+    )
+
+
+def customer_totals_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipped amount per (month, customer name) counted once per order line.
+
+    The source joins the order lines before summing the order total, so an
+    order weighs its total times its number of lines.  The lines are
+    therefore reduced to a count per order (partial aggregate next to the
+    scan) and multiplied in, instead of joining every line row.
+    """
+    orders = shipped_orders(spark, sf_dir).select("salesorderid", "customerid", "mes", "totaldue")
+    n_lines = T.sales_detail(spark, sf_dir).groupBy("salesorderid").agg(F.count(F.lit(1)).alias("n_lines"))
+    weighted = orders.join(n_lines, "salesorderid", "inner")
+    return (weighted.join(customer_names(spark, sf_dir), "customerid", "inner")
+            .groupBy("mes", "cliente")
+            .agg(F.sum(money("totaldue") * F.col("n_lines")).alias("total")))
+
+
+def top_customers_monthly_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 customer names per month by shipped amount, as the source
+    computes it (per order line; NULL names form one group)."""
+    ranked_by = [F.col("total").desc_nulls_first(), F.col("cliente").asc_nulls_last()]
+    return positional_pivot(customer_totals_per_line(spark, sf_dir), ["mes"], ranked_by, "cliente",
+                            ["cliente_n1", "cliente_n2", "cliente_n3"])
+
+
+def top_customers_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 3 customers per month by invoiced shipped amount (each order
+    once), per customer key, shown with the readable name; ties by key."""
+    orders = shipped_orders(spark, sf_dir).select("customerid", "mes", "totaldue")
+    per_customer = orders.groupBy("mes", "customerid").agg(F.sum(money("totaldue")).alias("total"))
+    named = per_customer.join(customer_names(spark, sf_dir).select("customerid", "nombre"),
+                              "customerid", "inner")
+    ranked_by = [F.col("total").desc_nulls_first(), F.col("customerid").asc()]
+    return positional_pivot(named, ["mes"], ranked_by, "nombre",
+                            ["cliente_n1", "cliente_n2", "cliente_n3"])
+
+
+def top3_products_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products and customers side by side per month (inner join on month:
+    a month missing in either half is not shown)."""
+    products = top_products_monthly(spark, sf_dir)
+    customers = top_customers_monthly_per_line(spark, sf_dir)
+    return products.join(customers, "mes", "inner")
+
+
+# --------------------------------------------------------------------------
+# Averages against the whole organisation
+# --------------------------------------------------------------------------
+
+def territory_vs_org_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the source computes it: per month and territory name, the
+    organisation's monthly average subtotal and (organisation - territory),
+    'Above' when the organisation's average is the higher one."""
+    src = orders_with_territory(spark, sf_dir).select(
+        month_key("orderdate").alias("mes"), "name_t", "subtotal")
+    avgs = group_and_overall_avg(src, "mes", "name_t", "subtotal")
+    diff = F.col("overall_avg") - F.col("group_avg")
+    return avgs.select("mes", F.col("name_t").alias("nombreterritorio"),
+                       F.col("overall_avg").alias("monthavg"), diff.alias("diff"),
+                       indicator(diff).alias("indicador"))
+
+
+def last_months_cutoff(header: DataFrame, n: int) -> str | None:
+    """First day of the n-th latest month that has orders, as text.
+
+    Distinct months are a tiny partial aggregate of one column; only n
+    month keys reach the driver.  The cut-off is then a literal, so the
+    report's filter is pushed into the Parquet scan and skips row groups.
+    """
+    months = (header.select(month_key("orderdate").alias("m")).distinct()
+              .orderBy(F.col("m").desc()).limit(n).collect())
+    return (min(r.m for r in months) + "-01") if months else None
+
+
+def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As specified: last 6 months present in the orders, per territory group,
+    (group - organisation) and 'Above' when the group's average is higher."""
+    header = T.sales_header(spark, sf_dir)
+    cutoff = last_months_cutoff(header, 6)
+    if cutoff is not None:
+        header = header.where(F.col("orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
+    src = orders_with_territory(spark, sf_dir, header).select(
+        month_key("orderdate").alias("mes"), "group_t", "subtotal")
+    avgs = group_and_overall_avg(src, "mes", "group_t", "subtotal")
+    diff = F.col("group_avg") - F.col("overall_avg")
+    return avgs.select(F.col("mes").alias("ordermonth"), F.col("group_t").alias("territorygroup"),
+                       F.col("overall_avg").alias("monthavg"), diff.alias("diff"),
+                       indicator(diff).alias("indicator"))
