@@ -165,6 +165,93 @@ SELECT grp.mes AS ordermonth, grp.group_t AS territorygroup, org.a AS monthavg,
 FROM grp JOIN org ON grp.mes = org.mes
 """
 
+SEQ = """seq AS (SELECT event_id AS secuencial, event_type AS codigo FROM events)"""
+
+# The self-join form of the source.
+CONSECUTIVE_CODE_COUNTS = f"""
+WITH {SEQ}
+SELECT s.codigo,
+       CAST(sum(CASE WHEN s.codigo = d.codigo AND d.codigo = f.codigo THEN 1 ELSE 0 END) AS BIGINT)
+         AS cantidad_veces_seguidos
+FROM seq s
+JOIN seq d ON s.secuencial = d.secuencial + 1
+JOIN seq f ON s.secuencial = f.secuencial + 2
+GROUP BY s.codigo
+ORDER BY cantidad_veces_seguidos DESC
+"""
+
+# A global window (fine for a check at small scale).
+CONSECUTIVE_CODES = f"""
+WITH {SEQ},
+o AS (
+  SELECT codigo,
+         lag(codigo, 1) OVER (ORDER BY secuencial, codigo) AS p1,
+         lag(codigo, 2) OVER (ORDER BY secuencial, codigo) AS p2
+  FROM seq)
+SELECT codigo, CAST(count(*) AS BIGINT) AS cantidad_veces_seguidos
+FROM o WHERE codigo = p1 AND p1 = p2
+GROUP BY codigo
+"""
+
+SPACED_CODE_RUNS = f"""
+WITH {SEQ}
+SELECT f.secuencial AS f_secuencial, f.codigo AS f_codigo,
+       d.secuencial AS d_secuencial, d.codigo AS d_codigo,
+       s.secuencial AS s_secuencial, s.codigo AS s_codigo
+FROM seq s
+JOIN seq d ON s.secuencial = d.secuencial + 2
+JOIN seq f ON s.secuencial = f.secuencial + 4
+WHERE s.codigo = f.codigo AND f.codigo = d.codigo
+ORDER BY s.secuencial ASC
+"""
+
+NAMES = """names AS (
+  SELECT cc.c_custkey AS customerid,
+         concat_ws(' ', per.title, nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
+                   nullif(per.lastname_t, '')) AS nombre
+  FROM customer cc JOIN person per ON per.businessentityid = cc.c_custkey)"""
+
+PURCHASE_RECENCY = f"""
+WITH {HEADER}, {PERSON}, {NAMES},
+h AS (
+  SELECT customerid, salesorderid, orderdate, strftime(orderdate, '%Y-%m') AS mes,
+         lag(orderdate, 1) OVER (PARTITION BY customerid ORDER BY orderdate, salesorderid) AS p1,
+         lag(orderdate, 2) OVER (PARTITION BY customerid ORDER BY orderdate, salesorderid) AS p2
+  FROM header),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY customerid, mes
+                               ORDER BY orderdate DESC, salesorderid DESC) AS rn
+  FROM h)
+SELECT l.mes, l.customerid, n.nombre AS nombrecliente,
+       CAST(l.orderdate AS DATE) AS fechaultcompra,
+       CAST(date_diff('day', CAST(l.p1 AS DATE), CAST(l.orderdate AS DATE)) AS BIGINT) AS dias_uc_pc,
+       CAST(date_diff('day', CAST(l.p2 AS DATE), CAST(l.p1 AS DATE)) AS BIGINT) AS dias_pc_apc
+FROM l JOIN names n ON n.customerid = l.customerid
+WHERE l.rn = 1
+"""
+
+POSITIONAL_PIVOT = """
+WITH r AS (
+  SELECT user_id, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+  FROM events)
+SELECT user_id,
+       max(CASE WHEN rn = 1 THEN event_type END) AS evento_1,
+       max(CASE WHEN rn = 2 THEN event_type END) AS evento_2,
+       max(CASE WHEN rn = 3 THEN event_type END) AS evento_3
+FROM r WHERE rn <= 3
+GROUP BY user_id
+"""
+
+CATEGORY_PIVOT_ONEHOT = f"""
+WITH {HEADER}
+SELECT strftime(orderdate, '%Y-%m') AS mes,
+  {",\n  ".join(f"CAST(sum(CASE WHEN status = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {cnt}"
+                 for code, _, cnt, _ in STATUS_CODES)}
+FROM header
+GROUP BY 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -175,4 +262,10 @@ def oracle_sql() -> dict[str, str]:
         "top3_products_customers": TOP3_PRODUCTS_CUSTOMERS,
         "territory_vs_org_avg": TERRITORY_VS_ORG_AVG,
         "group_vs_org_avg_last6": GROUP_VS_ORG_AVG_LAST6,
+        "consecutive_code_counts": CONSECUTIVE_CODE_COUNTS,
+        "consecutive_codes": CONSECUTIVE_CODES,
+        "spaced_code_runs": SPACED_CODE_RUNS,
+        "purchase_recency": PURCHASE_RECENCY,
+        "positional_pivot": POSITIONAL_PIVOT,
+        "category_pivot_onehot": CATEGORY_PIVOT_ONEHOT,
     }

@@ -12,4 +12,10 @@ QUERIES = {
     "top3_products_customers": R.top3_products_customers,
     "territory_vs_org_avg": R.territory_vs_org_avg,
     "group_vs_org_avg_last6": R.group_vs_org_avg_last6,
+    "consecutive_code_counts": R.consecutive_code_counts,
+    "consecutive_codes": R.consecutive_codes,
+    "spaced_code_runs": R.spaced_code_runs,
+    "purchase_recency": R.purchase_recency_report,
+    "positional_pivot": R.positional_pivot_events,
+    "category_pivot_onehot": R.category_pivot_onehot,
 }

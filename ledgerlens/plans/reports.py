@@ -16,7 +16,9 @@ from ledgerlens.functions.money import money
 from ledgerlens.functions.status import SHIPPED
 from ledgerlens.operators.averages import group_and_overall_avg, indicator
 from ledgerlens.operators.joins import broadcast_if_small
-from ledgerlens.operators.status import status_breakdown
+from ledgerlens.operators.recency import purchase_recency, recency_days
+from ledgerlens.operators.runs import ordered_run_counts, run_counts_by_key, spaced_runs
+from ledgerlens.operators.status import status_breakdown, status_pivot
 from ledgerlens.operators.topk import positional_pivot
 
 
@@ -189,3 +191,62 @@ def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return avgs.select(F.col("mes").alias("ordermonth"), F.col("group_t").alias("territorygroup"),
                        F.col("overall_avg").alias("monthavg"), diff.alias("diff"),
                        indicator(diff).alias("indicator"))
+
+
+# --------------------------------------------------------------------------
+# Codes in a row along the sequence key
+# --------------------------------------------------------------------------
+
+def consecutive_code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the source computes it: per code, how many positions k have the same
+    code at k, k-1 and k-2 (a missing position drops the row; codes with no
+    such run are listed with 0), most frequent first."""
+    seq = T.sequence(spark, sf_dir)
+    counts = run_counts_by_key(seq, "secuencial", "codigo", length=3, step=1)
+    return counts.orderBy(F.col("cantidad_veces_seguidos").desc(), F.col("codigo"))
+
+
+def consecutive_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As specified: codes that appear at least three times in a row in the
+    order of the sequence key (gaps in the key do not break a run), with
+    the number of rows that end a run of three."""
+    seq = T.sequence(spark, sf_dir)
+    return ordered_run_counts(seq, "secuencial", "codigo", length=3)
+
+
+def spaced_code_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at positions n-4, n-2 and n sharing one code, all columns of the
+    three rows, ordered by the last position."""
+    seq = T.sequence(spark, sf_dir)
+    return spaced_runs(seq, "secuencial", "codigo", step=2)
+
+
+# --------------------------------------------------------------------------
+# Purchase recency, pivots
+# --------------------------------------------------------------------------
+
+def purchase_recency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per month and customer with a purchase: customer name, last purchase
+    date of the month, days to the purchase before it and days between that
+    one and the one before (over the whole history)."""
+    header = T.sales_header(spark, sf_dir)
+    rec = recency_days(purchase_recency(header, "customerid", "orderdate", "salesorderid"))
+    names = customer_names(spark, sf_dir).select("customerid", F.col("nombre").alias("nombrecliente"))
+    return (rec.join(names, "customerid", "inner")
+            .select("mes", "customerid", "nombrecliente",
+                    F.col("last_date").alias("fechaultcompra"), "dias_uc_pc", "dias_pc_apc"))
+
+
+def positional_pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional crosstab on the event stream: per user, the types of the
+    first three events (by event id) in columns evento_1..evento_3."""
+    ev = T.read(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return positional_pivot(ev, ["user_id"], [F.col("event_id").asc()], "event_type",
+                            ["evento_1", "evento_2", "evento_3"])
+
+
+def category_pivot_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per month and status as one column per code (pivot over the
+    fixed code list; absent codes give 0)."""
+    header = T.sales_header(spark, sf_dir).select(month_key("orderdate").alias("mes"), "status")
+    return status_pivot(header, ["mes"], "status")
