@@ -252,6 +252,33 @@ FROM header
 GROUP BY 1
 """
 
+LOAD_NORMALIZED_TABLE = """
+SELECT o_orderkey AS salesorderid, o_custkey AS customerid,
+       CAST(c_nationkey AS BIGINT) AS territoryid, o_orderdate AS orderdate,
+       CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS status,
+       o_totalprice AS subtotal, o_totalprice AS totaldue
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+TABLE_ROUNDTRIP = "SELECT * FROM customer"
+
+FILTER_SORT_DEMO = """
+SELECT event_id, event_type, CAST(ts AS DATE) AS event_date, value
+FROM events
+WHERE event_type <> 'view' AND CAST(ts AS DATE) > DATE '2024-01-15'
+ORDER BY value DESC
+"""
+
+CUSTOMER_LOOKUP = """
+WITH last_month AS (SELECT max(strftime(o_orderdate, '%Y-%m')) AS m FROM orders),
+keys AS (
+  SELECT DISTINCT o_custkey FROM orders
+  WHERE strftime(o_orderdate, '%Y-%m') = (SELECT m FROM last_month))
+SELECT c.*, o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderstatus, o.o_orderpriority
+FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+WHERE c.c_custkey IN (SELECT o_custkey FROM keys)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -268,4 +295,10 @@ def oracle_sql() -> dict[str, str]:
         "purchase_recency": PURCHASE_RECENCY,
         "positional_pivot": POSITIONAL_PIVOT,
         "category_pivot_onehot": CATEGORY_PIVOT_ONEHOT,
+        "load_normalized_table": LOAD_NORMALIZED_TABLE,
+        "script_to_table": CONSECUTIVE_CODE_COUNTS,
+        "table_roundtrip": TABLE_ROUNDTRIP,
+        "csv_roundtrip": MONTHLY_STATUS_REPORT,
+        "filter_sort_demo": FILTER_SORT_DEMO,
+        "customer_lookup": CUSTOMER_LOOKUP,
     }

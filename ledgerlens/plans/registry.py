@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerlens.plans import loading as L
 from ledgerlens.plans import reports as R
 
 QUERIES = {
@@ -18,4 +19,10 @@ QUERIES = {
     "purchase_recency": R.purchase_recency_report,
     "positional_pivot": R.positional_pivot_events,
     "category_pivot_onehot": R.category_pivot_onehot,
+    "load_normalized_table": L.load_normalized_table,
+    "script_to_table": L.script_to_table,
+    "table_roundtrip": L.customer_table_roundtrip,
+    "csv_roundtrip": L.csv_roundtrip,
+    "filter_sort_demo": L.filter_sort_demo,
+    "customer_lookup": L.customer_lookup,
 }
