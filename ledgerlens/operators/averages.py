@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import money
+from ledgerlens.functions.money import money_units, units_to_double
 
 
 def indicator(diff: Column) -> Column:
@@ -20,14 +20,14 @@ def group_and_overall_avg(df: DataFrame, period_col: str, grain_col: str,
 
     One scan: sums and counts per (period, grain), then the period totals as a
     window over that small aggregate (rows = periods x grains), instead of a
-    second scan and a join.  Sums are exact decimals so both averages do not
+    second scan and a join.  Sums are exact (whole units) so both averages do not
     depend on partition order.
     """
     agg = df.groupBy(period_col, grain_col).agg(
-        F.sum(money(value_col)).alias("_s"), F.count(F.col(value_col)).alias("_n"))
+        F.sum(money_units(value_col)).alias("_s"), F.count(F.col(value_col)).alias("_n"))
     w = Window.partitionBy(period_col)
     return agg.select(
         period_col, grain_col,
-        F.try_divide(F.col("_s").cast("double"), F.col("_n")).alias("group_avg"),
-        F.try_divide(F.sum("_s").over(w).cast("double"), F.sum("_n").over(w)).alias("overall_avg"),
+        F.try_divide(units_to_double(F.col("_s")), F.col("_n")).alias("group_avg"),
+        F.try_divide(units_to_double(F.sum("_s").over(w)), F.sum("_n").over(w)).alias("overall_avg"),
     )

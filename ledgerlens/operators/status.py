@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import MONEY, money
+from ledgerlens.functions.money import money_units, units_to_double
 from ledgerlens.functions.status import STATUS_CODES
 
 
@@ -22,10 +22,12 @@ def status_breakdown(df: DataFrame, keys: Sequence[str], status_col: str = "stat
     s = F.col(status_col)
     counts = [F.sum(F.when(s == code, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(cnt)
               for code, _, cnt, _ in codes]
-    zero = F.lit(0).cast(MONEY)
-    amounts = [F.sum(F.when(s == code, money(amount_col)).otherwise(zero)).cast("double").alias(amt)
+    units = F.col("_units")
+    amounts = [units_to_double(F.sum(F.when(s == code, units).otherwise(F.lit(0)))).alias(amt)
                for code, _, _, amt in codes]
-    return df.groupBy(*keys).agg(*counts, *amounts)
+    # Amount in whole units computed once per row, before the aggregate.
+    src = df.select(*keys, s.alias(status_col), money_units(amount_col).alias("_units"))
+    return src.groupBy(*keys).agg(*counts, *amounts)
 
 
 def status_pivot(df: DataFrame, keys: Sequence[str], status_col: str = "status",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
 from ledgerlens.functions.dates import month_key
-from ledgerlens.functions.money import money
+from ledgerlens.functions.money import money_units
 from ledgerlens.functions.status import SHIPPED
 from ledgerlens.operators.averages import group_and_overall_avg, indicator
 from ledgerlens.operators.joins import broadcast_if_small
@@ -117,7 +117,7 @@ def customer_totals_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = orders.join(n_lines, "salesorderid", "inner")
     return (weighted.join(customer_names(spark, sf_dir), "customerid", "inner")
             .groupBy("mes", "cliente")
-            .agg(F.sum(money("totaldue") * F.col("n_lines")).alias("total")))
+            .agg(F.sum(money_units("totaldue") * F.col("n_lines")).alias("total")))
 
 
 def top_customers_monthly_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ def top_customers_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 customers per month by invoiced shipped amount (each order
     once), per customer key, shown with the readable name; ties by key."""
     orders = shipped_orders(spark, sf_dir).select("customerid", "mes", "totaldue")
-    per_customer = orders.groupBy("mes", "customerid").agg(F.sum(money("totaldue")).alias("total"))
+    per_customer = orders.groupBy("mes", "customerid").agg(F.sum(money_units("totaldue")).alias("total"))
     named = per_customer.join(customer_names(spark, sf_dir).select("customerid", "nombre"),
                               "customerid", "inner")
     ranked_by = [F.col("total").desc_nulls_first(), F.col("customerid").asc()]
