@@ -58,6 +58,7 @@ def load_normalized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = stage_source_files(spark, sf_dir, folder)
     log = RunLog(spark, f"{db}.run_log")
     results = load_tables(spark, folder, names, database=db, log=log)
+    log.close()
     failed = [r for r in results if r["status"] != "ok"]
     if failed:
         raise RuntimeError(f"load failed: {failed}")

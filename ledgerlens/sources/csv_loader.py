@@ -42,6 +42,7 @@ TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
 INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 class SeparatorError(ValueError):
@@ -86,9 +87,10 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         present = v.isNotNull()
         aggs += [
             F.count_if(present).alias(f"n{i}"),
-            F.count_if(present & v.rlike(INTEGER_PATTERN)
-                       & F.trim(v).try_cast("bigint").isNotNull()).alias(f"i{i}"),
-            F.count_if(present & F.trim(v).try_cast("double").isNotNull()).alias(f"d{i}"),
+            # The pattern is a cheap guard; a failing try_cast is costly.  The
+            # cast then checks the range ('99999999999999999999' is no bigint).
+            F.count_if(v.rlike(INTEGER_PATTERN) & v.try_cast("bigint").isNotNull()).alias(f"i{i}"),
+            F.count_if(v.rlike(NUMBER_PATTERN) & v.try_cast("double").isNotNull()).alias(f"d{i}"),
             F.count_if(present & v.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
         ]
     stats = df.agg(*aggs).collect()[0]
@@ -111,9 +113,9 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 def _typed(c: str, kind: str) -> Column:
     v = F.col(f"`{c}`")
     if kind == "bigint":
-        return F.trim(v).cast("bigint")
+        return v.cast("bigint")
     if kind == "double":
-        return F.trim(v).cast("double")
+        return v.cast("double")
     if kind == "boolean":
         return F.when(v.isin(TRUE_TOKENS), F.lit(True)).when(v.isin(FALSE_TOKENS), F.lit(False))
     return v

@@ -1,7 +1,8 @@
 """Run log: one row per step (start, table loaded, error, finish).
 
-Rows go to a catalog table (appended, one tiny row per step) and, when a path
-is given, to a plain text log file on the driver, as the batch scripts do.
+Rows go to a plain text log file on the driver as they happen (when a path is
+given, as the batch scripts do) and to a catalog table, appended in one write
+per run by ``flush`` (a catalog append per step would cost a job each).
 Row counts come from ``DataFrame.observe`` on the write itself, so logging
 never costs a second pass over the data.
 """
@@ -33,6 +34,7 @@ class RunLog:
         self.table = table
         self.run_id = run_id or uuid.uuid4().hex[:16]
         self.entries: list[tuple] = []
+        self._pending: list[tuple] = []
         self._logger = None
         if path:
             self._logger = logging.getLogger(f"ledgerlens.run.{self.run_id}")
@@ -50,11 +52,17 @@ class RunLog:
         if self._logger is not None:
             text = f"{step} target={target} status={status} rows={rows}" + (f" {message}" if message else "")
             (self._logger.error if status == "error" else self._logger.info)(text)
-        if self.table:
-            (self.spark.createDataFrame([row], LOG_SCHEMA)
+        self._pending.append(row)
+
+    def flush(self) -> None:
+        """Append the steps recorded since the last flush to the log table."""
+        if self.table and self._pending:
+            (self.spark.createDataFrame(self._pending, LOG_SCHEMA)
              .coalesce(1).write.mode("append").saveAsTable(self.table))
+        self._pending = []
 
     def close(self) -> None:
+        self.flush()
         if self._logger is not None:
             for h in list(self._logger.handlers):
                 h.close()
