@@ -50,18 +50,21 @@ def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Top three products and customers per month (shipped orders only)
 # --------------------------------------------------------------------------
 
-def shipped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shipped orders that have a customer, with their month.
-
-    The filter ``status = 5`` is pushed under every join.  The customer table
-    only confirms that the customer exists, so it is a left-semi join (equal
-    to the inner join of the source because customerid is the customer key)
-    and carries no columns into the shuffle.
+def shipped_orders(spark: SparkSession, sf_dir: str, check_customer: bool = True) -> DataFrame:
+    """Shipped orders with their month; with ``check_customer`` only those
+    whose customer exists.
+
+    The filter ``status = 5`` is pushed under every join.  The customer check
+    is a left-semi join (equal to the source's inner join because customerid
+    is the customer key) and carries no columns into the shuffle.  Callers
+    that join customer data anyway pass ``check_customer=False``: their
+    inner join already drops orders without a customer, and one full shuffle
+    of the orders is saved.
     """
     h = T.sales_header(spark, sf_dir).where(F.col("status") == SHIPPED)
-    c = T.customer(spark, sf_dir).select("customerid")
-    return (h.join(c, "customerid", "left_semi")
-            .withColumn("mes", month_key("orderdate")))
+    if check_customer:
+        h = h.join(T.customer(spark, sf_dir).select("customerid"), "customerid", "left_semi")
+    return h.withColumn("mes", month_key("orderdate"))
 
 
 def product_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +115,8 @@ def customer_totals_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     therefore reduced to a count per order (partial aggregate next to the
     scan) and multiplied in, instead of joining every line row.
     """
-    orders = shipped_orders(spark, sf_dir).select("salesorderid", "customerid", "mes", "totaldue")
+    orders = shipped_orders(spark, sf_dir, check_customer=False).select(
+        "salesorderid", "customerid", "mes", "totaldue")
     n_lines = T.sales_detail(spark, sf_dir).groupBy("salesorderid").agg(F.count(F.lit(1)).alias("n_lines"))
     weighted = orders.join(n_lines, "salesorderid", "inner")
     return (weighted.join(customer_names(spark, sf_dir), "customerid", "inner")
@@ -131,7 +135,7 @@ def top_customers_monthly_per_line(spark: SparkSession, sf_dir: str) -> DataFram
 def top_customers_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 customers per month by invoiced shipped amount (each order
     once), per customer key, shown with the readable name; ties by key."""
-    orders = shipped_orders(spark, sf_dir).select("customerid", "mes", "totaldue")
+    orders = shipped_orders(spark, sf_dir, check_customer=False).select("customerid", "mes", "totaldue")
     per_customer = orders.groupBy("mes", "customerid").agg(F.sum(money_units("totaldue")).alias("total"))
     named = per_customer.join(customer_names(spark, sf_dir).select("customerid", "nombre"),
                               "customerid", "inner")
