@@ -25,3 +25,10 @@ def days_between(later: str | Column, earlier: str | Column) -> Column:
     a = F.col(later) if isinstance(later, str) else later
     b = F.col(earlier) if isinstance(earlier, str) else earlier
     return F.datediff(a, b).cast("bigint")
+
+
+def parse_timestamps(df, columns, tolerant: bool = False):
+    """Parse the given text columns to timestamps in place (strict: a bad
+    value raises under ANSI; tolerant: it becomes NULL)."""
+    parse = F.try_to_timestamp if tolerant else F.to_timestamp
+    return df.withColumns({c: parse(F.col(c)).cast("timestamp_ntz") for c in columns})

@@ -35,6 +35,9 @@ def status_pivot(df: DataFrame, keys: Sequence[str], status_col: str = "status",
     """Counts per code with ``pivot`` over the fixed code list (no extra pass
     to discover values); missing codes give 0."""
     values = [code for code, _, _, _ in codes]
-    out = df.groupBy(*keys).pivot(status_col, values).agg(F.count(F.lit(1)))
-    return out.select(*keys, *[F.coalesce(F.col(str(code)), F.lit(0)).cast("bigint").alias(cnt)
-                               for code, _, cnt, _ in codes])
+    wide = df.groupBy(*keys).pivot(status_col, values).agg(F.count(F.lit(1)))
+    # Pivot columns are named after the codes; rename by map (absent names
+    # are ignored), then absent counts become 0.
+    wide = wide.withColumnsRenamed({str(code): cnt for code, _, cnt, _ in codes})
+    return wide.select(*keys, *[F.coalesce(F.col(cnt), F.lit(0)).cast("bigint").alias(cnt)
+                                for _, _, cnt, _ in codes])

@@ -39,9 +39,12 @@ def table_roundtrip(spark: SparkSession, df: DataFrame, name: str,
 def publish_table(df: DataFrame, name: str, key: str, buckets: int | None = None) -> None:
     """Store a dataset for keyed access: bucketed and sorted by ``key``.
 
-    An equality or IN filter on the key then reads one bucket file per
-    file group (bucket pruning), and a join on the key with another table
-    bucketed the same way needs no shuffle on that side.
+    Each bucket file is sorted by the key, so an equality or IN filter on the
+    key (pushed into the scan) skips all but a few row groups by their
+    min/max statistics; with a bucketed scan (kept when a join or
+    aggregate uses it, or when ``autoBucketedScan`` is off) only the key's
+    bucket is read.  A join on the key with a table bucketed the same way
+    needs no shuffle on that side.
     """
     spark = df.sparkSession
     n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
