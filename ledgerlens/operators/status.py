@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import money_units, units_to_double
+from ledgerlens.functions.money import UNITS_PER_MONEY, money_units
 from ledgerlens.functions.status import STATUS_CODES
 
 
@@ -17,17 +17,17 @@ def status_breakdown(df: DataFrame, keys: Sequence[str], status_col: str = "stat
 
     Codes absent from a group give 0, not NULL (``sum(case ... else 0)``).
     The aggregate is partial-then-final, so each map task ships one row per
-    group, whatever the skew of the keys.
+    group, whatever the skew of the keys.  Amounts are summed as exact whole
+    units (see ``functions.money``).
     """
-    s = F.col(status_col)
-    counts = [F.sum(F.when(s == code, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(cnt)
+    # Amount in whole units computed once per row, before the aggregate.
+    src = df.select(*keys, F.col(status_col).alias("_status"), money_units(amount_col).alias("_units"))
+    counts = [f"CAST(sum(CASE WHEN _status = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {cnt}"
               for code, _, cnt, _ in codes]
-    units = F.col("_units")
-    amounts = [units_to_double(F.sum(F.when(s == code, units).otherwise(F.lit(0)))).alias(amt)
+    amounts = [f"CAST(CAST(sum(CASE WHEN _status = {code} THEN _units ELSE 0 END) AS DECIMAL(38,0))"
+               f" / {UNITS_PER_MONEY} AS DOUBLE) AS {amt}"
                for code, _, _, amt in codes]
-    # Amount in whole units computed once per row, before the aggregate.
-    src = df.select(*keys, s.alias(status_col), money_units(amount_col).alias("_units"))
-    return src.groupBy(*keys).agg(*counts, *amounts)
+    return src.groupBy(*keys).agg(*[F.expr(e) for e in counts + amounts])
 
 
 def status_pivot(df: DataFrame, keys: Sequence[str], status_col: str = "status",

@@ -32,8 +32,24 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The Parquet table ``name`` of a folder.  Readers are kept per session
+    and path: listing the files and reading the footer is driver work that
+    does not need repeating for every report (``clear_reads`` forgets them,
+    e.g. after files were replaced)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
+
+
+def clear_reads() -> None:
+    _READS.clear()
 
 
 def sales_header(spark: SparkSession, sf_dir: str) -> DataFrame:
