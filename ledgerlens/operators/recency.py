@@ -18,33 +18,25 @@ def purchase_recency(orders: DataFrame, customer_col: str, date_col: str, key_co
     A window over each customer's whole history would put a customer with a
     third of all orders into one task.  Instead:
 
-    1. per (customer, month) only the ``depth`` latest purchases matter;
+    1. per (customer, month) only the ``depth`` latest purchases can matter:
+       the purchases just before a month's last one are its month's next
+       ones, else the latest ones of the previous active months.
        ``row_number() <= depth`` lets Spark cut each map task's rows to
        ``depth`` per group before the shuffle;
-    2. the customer's months then form a short series (one row per active
-       month, bounded by the calendar, not by the data); ``lag`` over it
-       brings the latest purchases of the previous ``depth - 1`` active
-       months, which is enough because every active month has at least one.
+    2. ``lag`` over a customer's kept purchases (at most ``depth`` per active
+       month, so bounded by the calendar, not by the data) then gives the
+       predecessors of each month's last purchase.
     """
-    w = Window.partitionBy(customer_col, "_mes").orderBy(F.col(date_col).desc(), F.col(key_col).desc())
-    ranked = (orders.select(customer_col, date_col, key_col, month_key(date_col).alias("_mes"))
-              .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= depth))
-    per_month = ranked.groupBy(customer_col, "_mes").agg(
-        *[F.max(F.when(F.col("_r") == i, F.struct(F.col(date_col).alias("d"), F.col(key_col).alias("k"))))
-          .alias(f"_p{i}") for i in range(1, depth + 1)])
-    wm = Window.partitionBy(customer_col).orderBy("_mes")
-    # Newest first: this month's purchases, then those of earlier active months.
-    slots = [F.col(f"_p{i}") for i in range(1, depth + 1)]
-    for back in range(1, depth):
-        slots += [F.lag(f"_p{i}", back).over(wm) for i in range(1, depth + 1)]
-    recent = F.filter(F.array(*slots), lambda p: p.isNotNull())
-    with_hist = per_month.select(customer_col, "_mes", recent.alias("_h"))
-    return with_hist.select(
-        F.col("_mes").alias("mes"), customer_col,
-        F.to_date(F.try_element_at(F.col("_h"), F.lit(1))["d"]).alias("last_date"),
-        F.to_date(F.try_element_at(F.col("_h"), F.lit(2))["d"]).alias("prev_date"),
-        F.to_date(F.try_element_at(F.col("_h"), F.lit(3))["d"]).alias("prev2_date"),
-    )
+    w_month = Window.partitionBy(customer_col, "_mes").orderBy(F.col(date_col).desc(), F.col(key_col).desc())
+    kept = (orders.select(customer_col, date_col, key_col, month_key(date_col).alias("_mes"))
+            .withColumn("_r", F.row_number().over(w_month)).where(F.col("_r") <= depth))
+    w_hist = Window.partitionBy(customer_col).orderBy(F.col(date_col), F.col(key_col))
+    names = ["prev_date", "prev2_date"][: depth - 1]
+    with_prev = kept.select(
+        "_mes", customer_col, "_r", F.to_date(date_col).alias("last_date"),
+        *[F.to_date(F.lag(date_col, i + 1).over(w_hist)).alias(n) for i, n in enumerate(names)])
+    return with_prev.where(F.col("_r") == 1).select(
+        F.col("_mes").alias("mes"), customer_col, "last_date", *names)
 
 
 def recency_days(recency: DataFrame) -> DataFrame:
