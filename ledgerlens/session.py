@@ -26,15 +26,25 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Static broadcast only for sides whose statistics say they are small.
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Broadcast joins only from measured sizes: AQE turns a join into a
+    # broadcast once the materialised shuffle of one side is under this size.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
+# The plan-time broadcast uses a file-size estimate (compressed bytes), not a
+# proven bound, so it is switched off unless the cluster chose a value other
+# than Spark's default.  Dimension sides are broadcast explicitly after a
+# row-count check (operators.joins.broadcast_if_small).
+STATIC_BROADCAST_KEY = "spark.sql.autoBroadcastJoinThreshold"
+SPARK_DEFAULT_STATIC_BROADCAST = ("10485760", "10485760b", "10MB", "10m")
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
+    if spark.conf.get(STATIC_BROADCAST_KEY, None) in (None, "", *SPARK_DEFAULT_STATIC_BROADCAST):
+        spark.conf.set(STATIC_BROADCAST_KEY, "-1")
     # The defaults above are only applied where missing, except the zone:
     # month keys and day counts must not depend on the host's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -58,6 +68,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    builder = builder.config(STATIC_BROADCAST_KEY, "-1")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
