@@ -301,4 +301,5 @@ def oracle_sql() -> dict[str, str]:
         "csv_roundtrip": MONTHLY_STATUS_REPORT,
         "filter_sort_demo": FILTER_SORT_DEMO,
         "customer_lookup": CUSTOMER_LOOKUP,
+        "incremental_load": LOAD_NORMALIZED_TABLE,
     }

@@ -25,4 +25,5 @@ QUERIES = {
     "csv_roundtrip": L.csv_roundtrip,
     "filter_sort_demo": L.filter_sort_demo,
     "customer_lookup": L.customer_lookup,
+    "incremental_load": L.incremental_header_load,
 }

@@ -49,17 +49,17 @@ class SeparatorError(ValueError):
     pass
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    rows = spark.read.text(path).limit(1).collect()
+def header_line(spark: SparkSession, path: str, recursive: bool = False) -> str:
+    rows = spark.read.option("recursiveFileLookup", recursive).text(path).limit(1).collect()
     if not rows:
         raise SeparatorError(f"{path}: empty file")
     return rows[0][0].lstrip("﻿")
 
 
 def detect_separator(spark: SparkSession, path: str,
-                     candidates: Sequence[str] = SEPARATORS) -> str:
+                     candidates: Sequence[str] = SEPARATORS, recursive: bool = False) -> str:
     """First candidate that splits the header into more than one column."""
-    line = header_line(spark, path)
+    line = header_line(spark, path, recursive)
     for sep in candidates:
         fields = next(csv.reader([line], delimiter=sep))
         if len(fields) > 1:
@@ -68,11 +68,11 @@ def detect_separator(spark: SparkSession, path: str,
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str,
-                    null_tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
+                    null_tokens: Iterable[str] = NULL_TOKENS, recursive: bool = False) -> DataFrame:
     """All columns as strings; null tokens replaced by NULL."""
     raw = (spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
            .option("mode", "FAILFAST").option("nullValue", None).option("emptyValue", "")
-           .option("encoding", "UTF-8").csv(path))
+           .option("encoding", "UTF-8").option("recursiveFileLookup", recursive).csv(path))
     tokens = list(null_tokens)
     return raw.select(*[F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string"))
                         .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])

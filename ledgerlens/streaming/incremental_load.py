@@ -43,12 +43,17 @@ def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
                            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops
     (run it on a schedule), otherwise it keeps watching the folder."""
-    sep = sep or detect_separator(spark, source_dir)
-    sample = read_text_table(spark, source_dir, sep)
-    types = infer_types(sample)
+    sep = sep or detect_separator(spark, source_dir, recursive=True)
+    sample = read_text_table(spark, source_dir, sep, recursive=True)
+    if spark.catalog.tableExists(table):
+        # Schema fixed at creation: later runs cast to the table's types.
+        existing = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
+        types = {c: existing.get(normalize_column_name(c), "string") for c in sample.columns}
+    else:
+        types = infer_types(sample)
     text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in sample.columns])
     reader = (spark.readStream.schema(text_schema).option("header", True).option("sep", sep)
-              .option("mode", "FAILFAST"))
+              .option("mode", "FAILFAST").option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
