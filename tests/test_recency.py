@@ -24,3 +24,38 @@ def test_recency_short_histories_and_same_day(spark):
     assert out[("2020-02", 3)] == ("2020-02-02", 23, 0)
     assert out[("2020-04", 4)] == ("2020-04-01", 31, 29)   # history spans three months
     assert len(out) == 9
+
+
+def brute_recency(rows):
+    """Per (month, customer): last purchase of the month and the two before it
+    in the customer's whole history, ordered by (date, key)."""
+    out = {}
+    by_cust = {}
+    for c, k, d in rows:
+        by_cust.setdefault(c, []).append((d, k))
+    for c, hist in by_cust.items():
+        hist.sort()
+        for i, (d, k) in enumerate(hist):
+            m = d.strftime("%Y-%m")
+            nxt = hist[i + 1][0].strftime("%Y-%m") if i + 1 < len(hist) else None
+            if nxt != m:  # last purchase of its month
+                p1 = hist[i - 1][0] if i >= 1 else None
+                p2 = hist[i - 2][0] if i >= 2 else None
+                out[(m, c)] = (d.date(), (d - p1).days if p1 else None,
+                               (p1 - p2).days if p2 else None)
+    return out
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 120)), min_size=1, max_size=60))
+def test_recency_matches_brute_force(spark, picks):
+    base = dt.datetime(2020, 1, 1)
+    rows = [(c, i, base + dt.timedelta(days=day)) for i, (c, day) in enumerate(picks)]
+    df = spark.createDataFrame(rows, "customerid long, salesorderid long, orderdate timestamp_ntz")
+    got = {(r.mes, r.customerid): (r.last_date, r.dias_uc_pc, r.dias_pc_apc)
+           for r in recency_days(purchase_recency(df, "customerid", "orderdate", "salesorderid")).collect()}
+    assert got == brute_recency(rows)
