@@ -113,8 +113,12 @@ def customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = T.read(spark, sf_dir, "orders")
     cutoff = last_months_cutoff(T.sales_header(spark, sf_dir), 1)
     recent = orders.where(F.col("o_orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
-    found = lookup(published, "c_custkey", recent.select(F.col("o_custkey").alias("c_custkey")))
-    return (found.join(orders, found.c_custkey == orders.o_custkey, "inner")
+    keys = recent.select(F.col("o_custkey").alias("c_custkey"))
+    found = lookup(published, "c_custkey", keys)
+    # The same key set filters the orders before they are shuffled for the
+    # join, so only the looked-up customers' orders move.
+    their_orders = lookup(orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", keys)
+    return (found.join(their_orders, "c_custkey", "inner")
             .select(*published.columns, "o_orderkey", "o_orderdate", "o_totalprice",
                     "o_orderstatus", "o_orderpriority"))
 
