@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.joins import broadcast_if_small
+from ledgerlens.session import scratch_root
+
+
+def key_set(keys: DataFrame, key: str) -> DataFrame:
+    """Distinct keys, computed once and written to the shared checkpoint
+    folder, for a key set that is checked and then used by several lookups
+    (otherwise each use would recompute it from its source)."""
+    scratch_root(keys.sparkSession)
+    return keys.select(F.col(key)).distinct().checkpoint(eager=True)
 
 
 def lookup(df: DataFrame, key: str, keys) -> DataFrame:

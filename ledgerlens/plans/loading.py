@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
-from ledgerlens.operators.lookup import lookup
+from ledgerlens.operators.lookup import key_set, lookup
 from ledgerlens.plans.reports import last_months_cutoff, monthly_status_report
 from ledgerlens.session import scratch_path
 from ledgerlens.sources.catalog import publish_table, table_roundtrip
@@ -113,7 +113,7 @@ def customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = T.read(spark, sf_dir, "orders")
     cutoff = last_months_cutoff(T.sales_header(spark, sf_dir), 1)
     recent = orders.where(F.col("o_orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
-    keys = recent.select(F.col("o_custkey").alias("c_custkey"))
+    keys = key_set(recent.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
     found = lookup(published, "c_custkey", keys)
     # The same key set filters the orders before they are shuffled for the
     # join, so only the looked-up customers' orders move.
