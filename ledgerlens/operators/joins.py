@@ -15,16 +15,16 @@ _CHECKED: dict[tuple, bool] = {}
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``take`` scans partitions incrementally and stops after ``max_rows + 1``
-    rows of one constant column, so the check costs a few partitions for a
-    small table and never moves more than ``max_rows + 1`` tiny rows.  The
-    answer is kept per session and plan (same plan over the same listed
-    files gives the same count).
+    ``limit(max_rows + 1).count()`` is counted on the executors (one number
+    reaches the driver) and every task stops reading after ``max_rows + 1``
+    rows, so the check stays cheap on a huge table.  The answer is kept per
+    session and plan (same plan over the same listed files gives the same
+    count).
     """
     spark = df.sparkSession
     key = (id(spark), spark.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]
 
 
