@@ -1 +1 @@
-"""plans."""
+"""The reports and jobs, the query registry and the DuckDB cross-check SQL."""
