@@ -81,3 +81,17 @@ def test_csv_sink_sorted_and_typed_read(spark, tmp_path):
     back = read_csv(spark, path, "Mes string, Name string, n bigint")
     assert dict(back.dtypes)["Mes"] == "string"
     assert back.count() == 3
+
+
+def test_replace_append_drop_tables(spark):
+    from ledgerlens.sources.catalog import append_table, drop_table, replace_table
+    df = spark.range(5).select(F.col("id").alias("k"), (F.col("id") % 2).alias("part"))
+    replace_table(df, "catalog_demo", partition_by=["part"])
+    append_table(df, "catalog_demo")
+    t = spark.table("catalog_demo")
+    assert t.count() == 10
+    assert t.where("part = 1").count() == 4
+    replace_table(df.select("k"), "catalog_demo")          # schema replaced as well
+    assert spark.table("catalog_demo").columns == ["k"]
+    drop_table(spark, "catalog_demo")
+    assert not spark.catalog.tableExists("catalog_demo")
