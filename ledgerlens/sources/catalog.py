@@ -18,8 +18,13 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None =
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    """Append rows; creates the table on first use."""
-    df.write.mode("append").saveAsTable(name)
+    """Append rows, matching columns by name; creates the table on first use.
+    An existing table keeps its own layout (partitioning, format)."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        df.select(*spark.table(name).columns).write.insertInto(name)
+    else:
+        df.write.mode("append").saveAsTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
