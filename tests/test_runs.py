@@ -111,3 +111,17 @@ def test_spaced_runs_rows(spark):
     rows = [(1, "a"), (3, "a"), (5, "a"), (7, "a"), (2, "b"), (4, "c"), (6, "b")]
     out = spaced_runs(as_df(spark, rows), "secuencial", "codigo", step=2).collect()
     assert [tuple(r) for r in out] == [(1, "a", 3, "a", 5, "a"), (3, "a", 5, "a", 7, "a")]
+
+
+def test_dense_index_equals_global_row_number_with_nulls(spark):
+    from pyspark.sql import Window
+    rng = random.Random(11)
+    rows = [(rng.choice([None, rng.randint(0, 30)]), rng.choice("pq")) for _ in range(300)]
+    df = as_df(spark, rows)
+    groups = df.groupBy("secuencial", "codigo").count()
+    w = Window.orderBy("secuencial", "codigo")          # one task: fine for a fixture
+    expect = {(r.secuencial, r.codigo): r.g for r in
+              groups.select("secuencial", "codigo", (F.row_number().over(w) - 1).alias("g")).collect()}
+    got = {(r.secuencial, r.codigo): r.gidx
+           for r in dense_index(df, "secuencial", "codigo", rows_per_bucket=40).collect()}
+    assert got == expect
