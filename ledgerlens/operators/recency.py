@@ -42,6 +42,6 @@ def purchase_recency(orders: DataFrame, customer_col: str, date_col: str, key_co
 def recency_days(recency: DataFrame) -> DataFrame:
     """Adds the two day counts (NULL where the history is too short)."""
     return recency.withColumns({
-        "dias_uc_pc": days_between("last_date", "prev_date"),
-        "dias_pc_apc": days_between("prev_date", "prev2_date"),
+        "diasuc_pc": days_between("last_date", "prev_date"),
+        "diaspc_apc": days_between("prev_date", "prev2_date"),
     })

@@ -224,8 +224,8 @@ l AS (
   FROM h)
 SELECT l.mes, l.customerid, n.nombre AS nombrecliente,
        CAST(l.orderdate AS DATE) AS fechaultcompra,
-       CAST(date_diff('day', CAST(l.p1 AS DATE), CAST(l.orderdate AS DATE)) AS BIGINT) AS dias_uc_pc,
-       CAST(date_diff('day', CAST(l.p2 AS DATE), CAST(l.p1 AS DATE)) AS BIGINT) AS dias_pc_apc
+       CAST(date_diff('day', CAST(l.p1 AS DATE), CAST(l.orderdate AS DATE)) AS BIGINT) AS diasuc_pc,
+       CAST(date_diff('day', CAST(l.p2 AS DATE), CAST(l.p1 AS DATE)) AS BIGINT) AS diaspc_apc
 FROM l JOIN names n ON n.customerid = l.customerid
 WHERE l.rn = 1
 """

@@ -238,7 +238,7 @@ def purchase_recency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = customer_names(spark, sf_dir).select("customerid", F.col("nombre").alias("nombrecliente"))
     return (rec.join(names, "customerid", "inner")
             .select("mes", "customerid", "nombrecliente",
-                    F.col("last_date").alias("fechaultcompra"), "dias_uc_pc", "dias_pc_apc"))
+                    F.col("last_date").alias("fechaultcompra"), "diasuc_pc", "diaspc_apc"))
 
 
 def positional_pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,8 @@ SELECT h.mes, h.customerid,
        concat_ws(' ', nullif(per.title, ''), nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
                  nullif(per.lastname_t, '')) AS nombrecliente,
        h.last_date AS fechaultcompra,
-       CAST(datediff(h.last_date, h.prev_date) AS BIGINT) AS dias_uc_pc,
-       CAST(datediff(h.prev_date, h.prev2_date) AS BIGINT) AS dias_pc_apc
+       CAST(datediff(h.last_date, h.prev_date) AS BIGINT) AS diasuc_pc,
+       CAST(datediff(h.prev_date, h.prev2_date) AS BIGINT) AS diaspc_apc
 FROM hist h
 JOIN sales_customer cc ON cc.customerid = h.customerid
 JOIN person_person per ON per.businessentityid = cc.personid

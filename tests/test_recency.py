@@ -15,7 +15,7 @@ def test_recency_short_histories_and_same_day(spark):
         (4, 40, t(2020, 1, 1)), (4, 41, t(2020, 2, 1)), (4, 42, t(2020, 3, 1)), (4, 43, t(2020, 4, 1)),
     ]
     df = spark.createDataFrame(rows, "customerid long, salesorderid long, orderdate timestamp_ntz")
-    out = {(r.mes, r.customerid): (r.last_date.isoformat(), r.dias_uc_pc, r.dias_pc_apc)
+    out = {(r.mes, r.customerid): (r.last_date.isoformat(), r.diasuc_pc, r.diaspc_apc)
            for r in recency_days(purchase_recency(df, "customerid", "orderdate", "salesorderid")).collect()}
     assert out[("2020-01", 1)] == ("2020-01-05", None, None)
     assert out[("2020-01", 2)] == ("2020-01-05", None, None)
@@ -56,6 +56,6 @@ def test_recency_matches_brute_force(spark, picks):
     base = dt.datetime(2020, 1, 1)
     rows = [(c, i, base + dt.timedelta(days=day)) for i, (c, day) in enumerate(picks)]
     df = spark.createDataFrame(rows, "customerid long, salesorderid long, orderdate timestamp_ntz")
-    got = {(r.mes, r.customerid): (r.last_date, r.dias_uc_pc, r.dias_pc_apc)
+    got = {(r.mes, r.customerid): (r.last_date, r.diasuc_pc, r.diaspc_apc)
            for r in recency_days(purchase_recency(df, "customerid", "orderdate", "salesorderid")).collect()}
     assert got == brute_recency(rows)
