@@ -78,11 +78,15 @@ def read_text_table(spark: SparkSession, path: str, sep: str,
                         .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
-def infer_types(df: DataFrame) -> dict[str, str]:
+def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
     """Column -> bigint / double / boolean / string from the values, in one
-    aggregation.  An all-NULL column is double (as the pandas reader has it)."""
+    aggregation over ``columns`` (default: all).  An all-NULL column is
+    double (as the pandas reader has it)."""
+    columns = list(df.columns if columns is None else columns)
+    if not columns:
+        return {}
     aggs = []
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(columns):
         v = F.col(f"`{c}`")
         present = v.isNotNull()
         aggs += [
@@ -95,7 +99,7 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         ]
     stats = df.agg(*aggs).collect()[0]
     out = {}
-    for i, c in enumerate(df.columns):
+    for i, c in enumerate(columns):
         n = stats[f"n{i}"]
         if n == 0:
             out[c] = "double"
@@ -137,8 +141,9 @@ def load_table(spark: SparkSession, path: str, table: str, sep: str | None = Non
     ``{"table", "rows", "bad_dates", "separator"}``."""
     sep = sep or detect_separator(spark, path)
     text = read_text_table(spark, path, sep, null_tokens)
-    types = infer_types(text)
     date_src = [c for c in text.columns if is_date_column(normalize_column_name(c))]
+    # Date-named columns become timestamps whatever they hold: not inferred.
+    types = infer_types(text, [c for c in text.columns if c not in date_src])
     # Keep the raw date text next to the parsed value so that the write can
     # count values that were present but did not parse (tolerant mode).
     raw = text.select("*", *[F.col(f"`{c}`").alias(f"__raw{i}") for i, c in enumerate(date_src)])

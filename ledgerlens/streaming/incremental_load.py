@@ -50,7 +50,8 @@ def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
         existing = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
         types = {c: existing.get(normalize_column_name(c), "string") for c in sample.columns}
     else:
-        types = infer_types(sample)
+        types = infer_types(sample, [c for c in sample.columns
+                                     if not is_date_column(normalize_column_name(c))])
     text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in sample.columns])
     reader = (spark.readStream.schema(text_schema).option("header", True).option("sep", sep)
               .option("mode", "FAILFAST").option("recursiveFileLookup", True))
@@ -59,7 +60,7 @@ def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
     raw = reader.csv(source_dir)
     cleaned = raw.select(*[F.when(F.col(f"`{c}`").isin(NULL_TOKENS), F.lit(None).cast("string"))
                            .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-    typed = cleaned.select(*[_cast(c, types[c], tolerant) for c in cleaned.columns])
+    typed = cleaned.select(*[_cast(c, types.get(c, "string"), tolerant) for c in cleaned.columns])
     writer = (typed.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
