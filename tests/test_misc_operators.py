@@ -95,3 +95,19 @@ def test_replace_append_drop_tables(spark):
     assert spark.table("catalog_demo").columns == ["k"]
     drop_table(spark, "catalog_demo")
     assert not spark.catalog.tableExists("catalog_demo")
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from ledgerlens import tables as T
+    from tests.conftest import SF_SMALL
+    publish_table(T.sales_header(spark, SF_SMALL), "orders_by_customer", "customerid", buckets=8)
+    publish_table(T.customer(spark, SF_SMALL), "customers_by_key", "customerid", buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("orders_by_customer").join(spark.table("customers_by_key"), "customerid")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == T.sales_header(spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
