@@ -88,7 +88,7 @@ def spaced_runs(df: DataFrame, order_col: str, code_col: str, step: int = 2,
 # --------------------------------------------------------------------------
 
 def dense_index(df: DataFrame, order_col: str, tie_col: str,
-                rows_per_bucket: int = 2_000_000, max_buckets: int = 100_000,
+                rows_per_bucket: int = 500_000, max_buckets: int = 200_000,
                 rel_error: float | None = None) -> DataFrame:
     """Distinct (order_col, tie_col) groups with their multiplicity ``n``, the
     group's ordinal ``gidx`` (0-based) and the position ``pos`` of its first
@@ -138,7 +138,8 @@ def dense_index(df: DataFrame, order_col: str, tie_col: str,
         (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
         .alias("_p_in"))
     if n_buckets == 1:
-        # One bucket holds at most rows_per_bucket rows (counted above).
+        # One bucket (one window task) holds at most rows_per_bucket rows,
+        # counted above.
         return local.select(order_col, tie_col, "n", F.col("_g_in").cast("bigint").alias("gidx"),
                             F.col("_p_in").cast("bigint").alias("pos"))
     totals = groups.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bg"), F.sum("n").alias("_bn"))

@@ -83,8 +83,9 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def territory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.operators.joins import broadcast_if_small
     n = read(spark, sf_dir, "nation")
-    r = read(spark, sf_dir, "region")
+    r = broadcast_if_small(read(spark, sf_dir, "region"))
     return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(
         F.col("n_nationkey").alias("territoryid"),
         F.col("n_name").alias("name_t"),
