@@ -88,7 +88,7 @@ def spaced_runs(df: DataFrame, order_col: str, code_col: str, step: int = 2,
 # --------------------------------------------------------------------------
 
 def dense_index(df: DataFrame, order_col: str, tie_col: str,
-                rows_per_bucket: int = 500_000, max_buckets: int = 200_000,
+                rows_per_bucket: int = 2_000_000, max_buckets: int = 200_000,
                 rel_error: float | None = None) -> DataFrame:
     """Distinct (order_col, tie_col) groups with their multiplicity ``n``, the
     group's ordinal ``gidx`` (0-based) and the position ``pos`` of its first
