@@ -52,26 +52,26 @@ PRODUCTS_RANKED = """products_ranked AS (
   SELECT mes, producto,
          row_number() OVER (PARTITION BY mes ORDER BY qty DESC, producto ASC NULLS LAST) AS rn
   FROM (
-    SELECT strftime(sh.orderdate, '%Y-%m') AS mes, pp.p_name AS producto, sum(sd.l_quantity) AS qty
-    FROM header sh
-    JOIN lineitem sd ON sh.salesorderid = sd.l_orderkey
-    JOIN part pp ON pp.p_partkey = sd.l_partkey
-    JOIN customer cc ON cc.c_custkey = sh.customerid
-    WHERE sh.status = 5
+    SELECT strftime(hdr.orderdate, '%Y-%m') AS mes, prod.p_name AS producto, sum(line.l_quantity) AS qty
+    FROM header hdr
+    JOIN lineitem line ON hdr.salesorderid = line.l_orderkey
+    JOIN part prod ON prod.p_partkey = line.l_partkey
+    JOIN customer cust ON cust.c_custkey = hdr.customerid
+    WHERE hdr.status = 5
     GROUP BY 1, 2) x)"""
 
 CUSTOMERS_RANKED = """customers_ranked AS (
   SELECT mes, cliente,
          row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, cliente ASC NULLS LAST) AS rn
   FROM (
-    SELECT strftime(sh.orderdate, '%Y-%m') AS mes,
-           per.title || '' || per.firstname_t || '' || per.middlename_t || '' || per.lastname_t AS cliente,
-           sum(CAST(sh.totaldue AS DECIMAL(18,4))) AS total
-    FROM header sh
-    JOIN lineitem sd ON sh.salesorderid = sd.l_orderkey
-    JOIN customer cc ON cc.c_custkey = sh.customerid
-    JOIN person per ON per.businessentityid = cc.c_custkey
-    WHERE sh.status = 5
+    SELECT strftime(hdr.orderdate, '%Y-%m') AS mes,
+           pers.title || '' || pers.firstname_t || '' || pers.middlename_t || '' || pers.lastname_t AS cliente,
+           sum(CAST(hdr.totaldue AS DECIMAL(18,4))) AS total
+    FROM header hdr
+    JOIN lineitem line ON hdr.salesorderid = line.l_orderkey
+    JOIN customer cust ON cust.c_custkey = hdr.customerid
+    JOIN person pers ON pers.businessentityid = cust.c_custkey
+    WHERE hdr.status = 5
     GROUP BY 1, 2) x)"""
 
 PRODUCTS_WIDE = """products_wide AS (
@@ -108,16 +108,16 @@ FROM products_wide p JOIN customers_wide c ON c.mes = p.mes
 TOP_CUSTOMERS_MONTHLY = f"""
 WITH {HEADER}, {PERSON},
 per_customer AS (
-  SELECT strftime(sh.orderdate, '%Y-%m') AS mes, sh.customerid,
-         sum(CAST(sh.totaldue AS DECIMAL(18,4))) AS total
-  FROM header sh JOIN customer cc ON cc.c_custkey = sh.customerid
-  WHERE sh.status = 5
+  SELECT strftime(hdr.orderdate, '%Y-%m') AS mes, hdr.customerid,
+         sum(CAST(hdr.totaldue AS DECIMAL(18,4))) AS total
+  FROM header hdr JOIN customer cust ON cust.c_custkey = hdr.customerid
+  WHERE hdr.status = 5
   GROUP BY 1, 2),
 named AS (
-  SELECT pc.*, concat_ws(' ', per.title, nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
-                         nullif(per.lastname_t, '')) AS nombre
-  FROM per_customer pc JOIN customer cc ON cc.c_custkey = pc.customerid
-  JOIN person per ON per.businessentityid = cc.c_custkey),
+  SELECT pc.*, concat_ws(' ', pers.title, nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
+                         nullif(pers.lastname_t, '')) AS nombre
+  FROM per_customer pc JOIN customer cust ON cust.c_custkey = pc.customerid
+  JOIN person pers ON pers.businessentityid = cust.c_custkey),
 ranked AS (
   SELECT mes, nombre,
          row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, customerid ASC) AS rn
@@ -132,19 +132,19 @@ FROM ranked WHERE rn <= 3 GROUP BY mes
 # Two scans joined on the month, as the source writes it.
 TERRITORY_VS_ORG_AVG = f"""
 WITH {HEADER}, {TERRITORY}, {ORDERS_T},
-prmt AS (
+by_territory AS (
   SELECT mes, name_t,
-         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS mntproceso
+         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS avg_subtotal
   FROM ot GROUP BY mes, name_t),
-prmm AS (
-  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS mntproceso
+by_month AS (
+  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS avg_subtotal
   FROM ot GROUP BY mes)
-SELECT prmt.mes, prmt.name_t AS nombreterritorio, prmm.mntproceso AS monthavg,
-       prmm.mntproceso - prmt.mntproceso AS diff,
-       CASE WHEN prmm.mntproceso - prmt.mntproceso > 0 THEN 'Above'
-            WHEN prmm.mntproceso - prmt.mntproceso = 0 THEN 'Equal'
+SELECT by_territory.mes, by_territory.name_t AS nombreterritorio, by_month.avg_subtotal AS monthavg,
+       by_month.avg_subtotal - by_territory.avg_subtotal AS diff,
+       CASE WHEN by_month.avg_subtotal - by_territory.avg_subtotal > 0 THEN 'Above'
+            WHEN by_month.avg_subtotal - by_territory.avg_subtotal = 0 THEN 'Equal'
             ELSE 'Below' END AS indicador
-FROM prmt JOIN prmm ON prmt.mes = prmm.mes
+FROM by_territory JOIN by_month ON by_territory.mes = by_month.mes
 """
 
 GROUP_VS_ORG_AVG_LAST6 = f"""
@@ -206,10 +206,10 @@ ORDER BY s.secuencial ASC
 """
 
 NAMES = """names AS (
-  SELECT cc.c_custkey AS customerid,
-         concat_ws(' ', per.title, nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
-                   nullif(per.lastname_t, '')) AS nombre
-  FROM customer cc JOIN person per ON per.businessentityid = cc.c_custkey)"""
+  SELECT cust.c_custkey AS customerid,
+         concat_ws(' ', pers.title, nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
+                   nullif(pers.lastname_t, '')) AS nombre
+  FROM customer cust JOIN person pers ON pers.businessentityid = cust.c_custkey)"""
 
 PURCHASE_RECENCY = f"""
 WITH {HEADER}, {PERSON}, {NAMES},

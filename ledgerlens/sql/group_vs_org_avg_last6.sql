@@ -7,12 +7,12 @@ WITH last6 AS (
   ORDER BY mes DESC LIMIT 6
 ),
 per_group AS (
-  SELECT date_format(sh.orderdate, 'yyyy-MM') AS mes, st.group_t AS territorygroup,
-         sum(CAST(round(sh.subtotal * 10000) AS BIGINT)) AS s, count(sh.subtotal) AS n
-  FROM sales_salesorderheader sh
-  JOIN sales_customer sc ON sh.customerid = sc.customerid
-  JOIN sales_salesterritory st ON sc.territoryid = st.territoryid
-  WHERE date_format(sh.orderdate, 'yyyy-MM') IN (SELECT mes FROM last6)
+  SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes, terr.group_t AS territorygroup,
+         sum(CAST(round(hdr.subtotal * 10000) AS BIGINT)) AS s, count(hdr.subtotal) AS n
+  FROM sales_salesorderheader hdr
+  JOIN sales_customer cust ON hdr.customerid = cust.customerid
+  JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
+  WHERE date_format(hdr.orderdate, 'yyyy-MM') IN (SELECT mes FROM last6)
   GROUP BY 1, 2
 ),
 avgs AS (

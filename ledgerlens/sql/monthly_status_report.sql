@@ -1,20 +1,20 @@
--- Transactions and amounts per month, territory and status (1..6).
+-- Transactions and amounts pers month, territory and status (1..6).
 -- Amounts are summed as whole 1/10000 units: exact and order-independent.
-SELECT date_format(sh.orderdate, 'yyyy-MM') AS mes,
-       st.name_t AS nombreterritorio,
-       CAST(sum(CASE WHEN sh.status = 1 THEN 1 ELSE 0 END) AS BIGINT) AS trproceso,
-       CAST(sum(CASE WHEN sh.status = 2 THEN 1 ELSE 0 END) AS BIGINT) AS traprobadas,
-       CAST(sum(CASE WHEN sh.status = 3 THEN 1 ELSE 0 END) AS BIGINT) AS tratrasadas,
-       CAST(sum(CASE WHEN sh.status = 4 THEN 1 ELSE 0 END) AS BIGINT) AS trrechazadas,
-       CAST(sum(CASE WHEN sh.status = 5 THEN 1 ELSE 0 END) AS BIGINT) AS trenviadas,
-       CAST(sum(CASE WHEN sh.status = 6 THEN 1 ELSE 0 END) AS BIGINT) AS trcanceladas,
-       CAST(CAST(sum(CASE WHEN sh.status = 1 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntproceso,
-       CAST(CAST(sum(CASE WHEN sh.status = 2 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntaprobadas,
-       CAST(CAST(sum(CASE WHEN sh.status = 3 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntatrasadas,
-       CAST(CAST(sum(CASE WHEN sh.status = 4 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntrechazadas,
-       CAST(CAST(sum(CASE WHEN sh.status = 5 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntenviadas,
-       CAST(CAST(sum(CASE WHEN sh.status = 6 THEN CAST(round(sh.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntcanceladas
-FROM sales_salesorderheader sh
-JOIN sales_customer sc ON sh.customerid = sc.customerid
-JOIN sales_salesterritory st ON sc.territoryid = st.territoryid
+SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes,
+       terr.name_t AS nombreterritorio,
+       CAST(sum(CASE WHEN hdr.status = 1 THEN 1 ELSE 0 END) AS BIGINT) AS trproceso,
+       CAST(sum(CASE WHEN hdr.status = 2 THEN 1 ELSE 0 END) AS BIGINT) AS traprobadas,
+       CAST(sum(CASE WHEN hdr.status = 3 THEN 1 ELSE 0 END) AS BIGINT) AS tratrasadas,
+       CAST(sum(CASE WHEN hdr.status = 4 THEN 1 ELSE 0 END) AS BIGINT) AS trrechazadas,
+       CAST(sum(CASE WHEN hdr.status = 5 THEN 1 ELSE 0 END) AS BIGINT) AS trenviadas,
+       CAST(sum(CASE WHEN hdr.status = 6 THEN 1 ELSE 0 END) AS BIGINT) AS trcanceladas,
+       CAST(CAST(sum(CASE WHEN hdr.status = 1 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntproceso,
+       CAST(CAST(sum(CASE WHEN hdr.status = 2 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntaprobadas,
+       CAST(CAST(sum(CASE WHEN hdr.status = 3 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntatrasadas,
+       CAST(CAST(sum(CASE WHEN hdr.status = 4 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntrechazadas,
+       CAST(CAST(sum(CASE WHEN hdr.status = 5 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntenviadas,
+       CAST(CAST(sum(CASE WHEN hdr.status = 6 THEN CAST(round(hdr.totaldue * 10000) AS BIGINT) ELSE 0 END) AS DECIMAL(38,0)) / 10000 AS DOUBLE) AS mntcanceladas
+FROM sales_salesorderheader hdr
+JOIN sales_customer cust ON hdr.customerid = cust.customerid
+JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
 GROUP BY 1, 2

@@ -1,7 +1,7 @@
 -- Per month and customer with a purchase: last purchase of the month and the
 -- days back to the two purchases before it (whole history).  Only the three
 -- latest purchases of each (customer, month) can be those predecessors, so
--- the history window runs over at most three rows per active month.
+-- the history window runs over at most three rows pers active month.
 WITH kept AS (
   SELECT customerid, salesorderid, orderdate, mes, r
   FROM (
@@ -18,12 +18,12 @@ hist AS (
   FROM kept
 )
 SELECT h.mes, h.customerid,
-       concat_ws(' ', nullif(per.title, ''), nullif(per.firstname_t, ''), nullif(per.middlename_t, ''),
-                 nullif(per.lastname_t, '')) AS nombrecliente,
+       concat_ws(' ', nullif(pers.title, ''), nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
+                 nullif(pers.lastname_t, '')) AS nombrecliente,
        h.last_date AS fechaultcompra,
        CAST(datediff(h.last_date, h.prev_date) AS BIGINT) AS diasuc_pc,
        CAST(datediff(h.prev_date, h.prev2_date) AS BIGINT) AS diaspc_apc
 FROM hist h
-JOIN sales_customer cc ON cc.customerid = h.customerid
-JOIN person_person per ON per.businessentityid = cc.personid
+JOIN sales_customer cust ON cust.customerid = h.customerid
+JOIN person_person pers ON pers.businessentityid = cust.personid
 WHERE h.r = 1

@@ -1,12 +1,12 @@
 -- Organisation's monthly average subtotal against each territory's, in one
--- scan: sums and counts per (month, territory), month totals as a window over
+-- scan: sums and counts pers (month, territory), month totals as a window over
 -- that small aggregate.
 WITH per_territory AS (
-  SELECT date_format(sh.orderdate, 'yyyy-MM') AS mes, st.name_t AS nombreterritorio,
-         sum(CAST(round(sh.subtotal * 10000) AS BIGINT)) AS s, count(sh.subtotal) AS n
-  FROM sales_salesorderheader sh
-  JOIN sales_customer sc ON sh.customerid = sc.customerid
-  JOIN sales_salesterritory st ON sc.territoryid = st.territoryid
+  SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes, terr.name_t AS nombreterritorio,
+         sum(CAST(round(hdr.subtotal * 10000) AS BIGINT)) AS s, count(hdr.subtotal) AS n
+  FROM sales_salesorderheader hdr
+  JOIN sales_customer cust ON hdr.customerid = cust.customerid
+  JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
   GROUP BY 1, 2
 ),
 avgs AS (

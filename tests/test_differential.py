@@ -12,17 +12,17 @@ from tests.conftest import SF_CHECK, SF_SMALL
 
 def test_monthly_status_report_dataframe_equals_sql(spark):
     T.register_views(spark, SF_CHECK)
-    counts = ",\n".join(f"sum(CASE WHEN sh.status = {c} THEN 1 ELSE 0 END) AS {n}"
+    counts = ",\n".join(f"sum(CASE WHEN hdr.status = {c} THEN 1 ELSE 0 END) AS {n}"
                         for c, _, n, _ in STATUS_CODES)
     amounts = ",\n".join(
-        f"CAST(sum(CASE WHEN sh.status = {c} THEN CAST(sh.totaldue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS {a}"
+        f"CAST(sum(CASE WHEN hdr.status = {c} THEN CAST(hdr.totaldue AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS {a}"
         for c, _, _, a in STATUS_CODES)
     sql = spark.sql(f"""
-        SELECT date_format(sh.orderdate, 'yyyy-MM') AS mes, st.name_t AS nombreterritorio,
+        SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes, terr.name_t AS nombreterritorio,
                {counts}, {amounts}
-        FROM sales_salesorderheader sh
-        JOIN sales_customer sc ON sh.customerid = sc.customerid
-        JOIN sales_salesterritory st ON sc.territoryid = st.territoryid
+        FROM sales_salesorderheader hdr
+        JOIN sales_customer cust ON hdr.customerid = cust.customerid
+        JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
         GROUP BY 1, 2""")
     df = R.monthly_status_report(spark, SF_CHECK)
     assert sql.count() == df.count()
