@@ -1,11 +1,12 @@
 """Column-level helpers: month keys, exact money sums, status codes, names."""
 
-from ledgerlens.functions.dates import days_between, month_key, month_start, parse_timestamps
+from ledgerlens.functions.dates import (days_between, month_key, month_num, month_start, month_text,
+                                        parse_timestamps)
 from ledgerlens.functions.money import MONEY, exact_avg, exact_sum, money
 from ledgerlens.functions.names import normalize_column_name, table_name_for
 from ledgerlens.functions.status import STATUS_CODES, status_label
 
 __all__ = [
     "MONEY", "STATUS_CODES", "days_between", "exact_avg", "exact_sum", "money",
-    "month_key", "month_start", "parse_timestamps", "normalize_column_name", "status_label", "table_name_for",
+    "month_key", "month_num", "month_start", "month_text", "parse_timestamps", "normalize_column_name", "status_label", "table_name_for",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.dates import days_between, month_key
+from ledgerlens.functions.dates import days_between, month_num, month_text
 
 
 def purchase_recency(orders: DataFrame, customer_col: str, date_col: str, key_col: str,
@@ -28,7 +28,7 @@ def purchase_recency(orders: DataFrame, customer_col: str, date_col: str, key_co
        predecessors of each month's last purchase.
     """
     w_month = Window.partitionBy(customer_col, "_mes").orderBy(F.col(date_col).desc(), F.col(key_col).desc())
-    kept = (orders.select(customer_col, date_col, key_col, month_key(date_col).alias("_mes"))
+    kept = (orders.select(customer_col, date_col, key_col, month_num(date_col).alias("_mes"))
             .withColumn("_r", F.row_number().over(w_month)).where(F.col("_r") <= depth))
     w_hist = Window.partitionBy(customer_col).orderBy(F.col(date_col), F.col(key_col))
     names = ["prev_date", "prev2_date"][: depth - 1]
@@ -36,7 +36,7 @@ def purchase_recency(orders: DataFrame, customer_col: str, date_col: str, key_co
         "_mes", customer_col, "_r", F.to_date(date_col).alias("last_date"),
         *[F.to_date(F.lag(date_col, i + 1).over(w_hist)).alias(n) for i, n in enumerate(names)])
     return with_prev.where(F.col("_r") == 1).select(
-        F.col("_mes").alias("mes"), customer_col, "last_date", *names)
+        month_text("_mes").alias("mes"), customer_col, "last_date", *names)
 
 
 def recency_days(recency: DataFrame) -> DataFrame:

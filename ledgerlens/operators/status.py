@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import UNITS_PER_MONEY, money_units
+from ledgerlens.functions.money import money_units, units_to_double
 from ledgerlens.functions.status import STATUS_CODES
 
 
@@ -15,19 +15,25 @@ def status_breakdown(df: DataFrame, keys: Sequence[str], status_col: str = "stat
                      amount_col: str = "totaldue", codes=STATUS_CODES) -> DataFrame:
     """One row per ``keys``: a count column and an amount column per code.
 
-    Codes absent from a group give 0, not NULL (``sum(case ... else 0)``).
-    The aggregate is partial-then-final, so each map task ships one row per
-    group, whatever the skew of the keys.  Amounts are summed as exact whole
-    units (see ``functions.money``).
+    Rows are first aggregated per (keys, status) -- two aggregates per row
+    instead of one CASE per code and column -- and that small result is
+    pivoted over the fixed code list.  Both aggregates are partial-then-
+    final, so each map task ships one row per group whatever the skew.
+    Codes absent from a group give 0; amounts are exact whole units (see
+    ``functions.money``).
     """
-    # Amount in whole units computed once per row, before the aggregate.
-    src = df.select(*keys, F.col(status_col).alias("_status"), money_units(amount_col).alias("_units"))
-    counts = [f"CAST(sum(CASE WHEN _status = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {cnt}"
+    values = [code for code, _, _, _ in codes]
+    per_status = (df.select(*keys, F.col(status_col).alias("_status"),
+                            money_units(amount_col).alias("_units"))
+                  .groupBy(*keys, "_status")
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("_units").alias("u")))
+    wide = per_status.groupBy(*keys).pivot("_status", values).agg(F.first("n").alias("n"),
+                                                                   F.first("u").alias("u"))
+    counts = [F.coalesce(F.col(f"{code}_n"), F.lit(0)).cast("bigint").alias(cnt)
               for code, _, cnt, _ in codes]
-    amounts = [f"CAST(CAST(sum(CASE WHEN _status = {code} THEN _units ELSE 0 END) AS DECIMAL(38,0))"
-               f" / {UNITS_PER_MONEY} AS DOUBLE) AS {amt}"
+    amounts = [units_to_double(F.coalesce(F.col(f"{code}_u"), F.lit(0))).alias(amt)
                for code, _, _, amt in codes]
-    return src.groupBy(*keys).agg(*[F.expr(e) for e in counts + amounts])
+    return wide.select(*keys, *counts, *amounts)
 
 
 def status_pivot(df: DataFrame, keys: Sequence[str], status_col: str = "status",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
-from ledgerlens.functions.dates import month_key
+from ledgerlens.functions.dates import month_num, month_text
 from ledgerlens.functions.money import money_units
 from ledgerlens.functions.status import SHIPPED
 from ledgerlens.operators.averages import group_and_overall_avg, indicator
@@ -37,13 +37,19 @@ def orders_with_territory(spark: SparkSession, sf_dir: str,
     return h.join(c, "customerid", "inner").join(t, "territoryid", "inner")
 
 
+def with_month_text(df: DataFrame, num_col: str = "_m", name: str = "mes") -> DataFrame:
+    """Replace the integer month used for grouping by its ``yyyy-MM`` text
+    (formatted once per output row, not once per input row)."""
+    return df.select(month_text(num_col).alias(name), *[c for c in df.columns if c != num_col])
+
+
 def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions and amounts per month, territory and status code."""
     src = orders_with_territory(spark, sf_dir).select(
-        month_key("orderdate").alias("mes"),
+        month_num("orderdate").alias("_m"),
         F.col("name_t").alias("nombreterritorio"),
         "status", "totaldue")
-    return status_breakdown(src, ["mes", "nombreterritorio"], "status", "totaldue")
+    return with_month_text(status_breakdown(src, ["_m", "nombreterritorio"], "status", "totaldue"))
 
 
 # --------------------------------------------------------------------------
@@ -64,7 +70,7 @@ def shipped_orders(spark: SparkSession, sf_dir: str, check_customer: bool = True
     h = T.sales_header(spark, sf_dir).where(F.col("status") == SHIPPED)
     if check_customer:
         h = h.join(T.customer(spark, sf_dir).select("customerid"), "customerid", "left_semi")
-    return h.withColumn("mes", month_key("orderdate"))
+    return h.withColumn("_m", month_num("orderdate"))
 
 
 def product_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,20 +82,20 @@ def product_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     Products sharing a name are merged afterwards, as the source groups by
     name.
     """
-    orders = shipped_orders(spark, sf_dir).select("salesorderid", "mes")
+    orders = shipped_orders(spark, sf_dir).select("salesorderid", "_m")
     lines = T.sales_detail(spark, sf_dir)
     per_product = (orders.join(lines, "salesorderid", "inner")
-                   .groupBy("mes", "productid").agg(F.sum("orderqty").alias("qty")))
+                   .groupBy("_m", "productid").agg(F.sum("orderqty").alias("qty")))
     return (per_product.join(T.product(spark, sf_dir), "productid", "inner")
-            .groupBy("mes", F.col("name_t").alias("producto"))
+            .groupBy("_m", F.col("name_t").alias("producto"))
             .agg(F.sum("qty").alias("qty")))
 
 
 def top_products_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 product names per month by units shipped (ties: name)."""
     ranked_by = [F.col("qty").desc(), F.col("producto").asc_nulls_last()]
-    return positional_pivot(product_quantities(spark, sf_dir), ["mes"], ranked_by, "producto",
-                            ["producto_n1", "producto_n2", "producto_n3"])
+    return with_month_text(positional_pivot(product_quantities(spark, sf_dir), ["_m"], ranked_by, "producto",
+                                            ["producto_n1", "producto_n2", "producto_n3"]))
 
 
 def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,11 +122,11 @@ def customer_totals_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan) and multiplied in, instead of joining every line row.
     """
     orders = shipped_orders(spark, sf_dir, check_customer=False).select(
-        "salesorderid", "customerid", "mes", "totaldue")
+        "salesorderid", "customerid", "_m", "totaldue")
     n_lines = T.sales_detail(spark, sf_dir).groupBy("salesorderid").agg(F.count(F.lit(1)).alias("n_lines"))
     weighted = orders.join(n_lines, "salesorderid", "inner")
     return (weighted.join(customer_names(spark, sf_dir), "customerid", "inner")
-            .groupBy("mes", "cliente")
+            .groupBy("_m", "cliente")
             .agg(F.sum(money_units("totaldue") * F.col("n_lines")).alias("total")))
 
 
@@ -128,20 +134,20 @@ def top_customers_monthly_per_line(spark: SparkSession, sf_dir: str) -> DataFram
     """Top 3 customer names per month by shipped amount, as the source
     computes it (per order line; NULL names form one group)."""
     ranked_by = [F.col("total").desc_nulls_first(), F.col("cliente").asc_nulls_last()]
-    return positional_pivot(customer_totals_per_line(spark, sf_dir), ["mes"], ranked_by, "cliente",
-                            ["cliente_n1", "cliente_n2", "cliente_n3"])
+    return with_month_text(positional_pivot(customer_totals_per_line(spark, sf_dir), ["_m"], ranked_by,
+                                            "cliente", ["cliente_n1", "cliente_n2", "cliente_n3"]))
 
 
 def top_customers_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 3 customers per month by invoiced shipped amount (each order
     once), per customer key, shown with the readable name; ties by key."""
-    orders = shipped_orders(spark, sf_dir, check_customer=False).select("customerid", "mes", "totaldue")
-    per_customer = orders.groupBy("mes", "customerid").agg(F.sum(money_units("totaldue")).alias("total"))
+    orders = shipped_orders(spark, sf_dir, check_customer=False).select("customerid", "_m", "totaldue")
+    per_customer = orders.groupBy("_m", "customerid").agg(F.sum(money_units("totaldue")).alias("total"))
     named = per_customer.join(customer_names(spark, sf_dir).select("customerid", "nombre"),
                               "customerid", "inner")
     ranked_by = [F.col("total").desc_nulls_first(), F.col("customerid").asc()]
-    return positional_pivot(named, ["mes"], ranked_by, "nombre",
-                            ["cliente_n1", "cliente_n2", "cliente_n3"])
+    return with_month_text(positional_pivot(named, ["_m"], ranked_by, "nombre",
+                                            ["cliente_n1", "cliente_n2", "cliente_n3"]))
 
 
 def top3_products_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +167,10 @@ def territory_vs_org_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     organisation's monthly average subtotal and (organisation - territory),
     'Above' when the organisation's average is the higher one."""
     src = orders_with_territory(spark, sf_dir).select(
-        month_key("orderdate").alias("mes"), "name_t", "subtotal")
-    avgs = group_and_overall_avg(src, "mes", "name_t", "subtotal")
+        month_num("orderdate").alias("_m"), "name_t", "subtotal")
+    avgs = group_and_overall_avg(src, "_m", "name_t", "subtotal")
     diff = F.col("overall_avg") - F.col("group_avg")
-    return avgs.select("mes", F.col("name_t").alias("nombreterritorio"),
+    return avgs.select(month_text("_m").alias("mes"), F.col("name_t").alias("nombreterritorio"),
                        F.col("overall_avg").alias("monthavg"), diff.alias("diff"),
                        indicator(diff).alias("indicador"))
 
@@ -176,9 +182,12 @@ def last_months_cutoff(header: DataFrame, n: int) -> str | None:
     month keys reach the driver.  The cut-off is then a literal, so the
     report's filter is pushed into the Parquet scan and skips row groups.
     """
-    months = (header.select(month_key("orderdate").alias("m")).distinct()
+    months = (header.select(month_num("orderdate").alias("m")).distinct()
               .orderBy(F.col("m").desc()).limit(n).collect())
-    return (min(r.m for r in months) + "-01") if months else None
+    if not months:
+        return None
+    m = min(r.m for r in months)
+    return f"{m // 100:04d}-{m % 100:02d}-01"
 
 
 def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +198,10 @@ def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
     if cutoff is not None:
         header = header.where(F.col("orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
     src = orders_with_territory(spark, sf_dir, header).select(
-        month_key("orderdate").alias("mes"), "group_t", "subtotal")
-    avgs = group_and_overall_avg(src, "mes", "group_t", "subtotal")
+        month_num("orderdate").alias("_m"), "group_t", "subtotal")
+    avgs = group_and_overall_avg(src, "_m", "group_t", "subtotal")
     diff = F.col("group_avg") - F.col("overall_avg")
-    return avgs.select(F.col("mes").alias("ordermonth"), F.col("group_t").alias("territorygroup"),
+    return avgs.select(month_text("_m").alias("ordermonth"), F.col("group_t").alias("territorygroup"),
                        F.col("overall_avg").alias("monthavg"), diff.alias("diff"),
                        indicator(diff).alias("indicator"))
 
@@ -252,5 +261,5 @@ def positional_pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_pivot_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per month and status as one column per code (pivot over the
     fixed code list; absent codes give 0)."""
-    header = T.sales_header(spark, sf_dir).select(month_key("orderdate").alias("mes"), "status")
-    return status_pivot(header, ["mes"], "status")
+    header = T.sales_header(spark, sf_dir).select(month_num("orderdate").alias("_m"), "status")
+    return with_month_text(status_pivot(header, ["_m"], "status"))
