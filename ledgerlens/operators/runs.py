@@ -137,11 +137,19 @@ def dense_index(df: DataFrame, order_col: str, tie_col: str,
         (F.row_number().over(w) - 1).alias("_g_in"),
         (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
         .alias("_p_in"))
+    # The numbered rows sit in at most n_buckets partitions; with fewer
+    # buckets than shuffle partitions they are spread round-robin again so
+    # that the steps after the index do not run in a few tasks.
+    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def spread(out: DataFrame) -> DataFrame:
+        return out.repartition(parallelism) if n_buckets < parallelism else out
+
     if n_buckets == 1:
         # One bucket (one window task) holds at most rows_per_bucket rows,
         # counted above.
-        return local.select(order_col, tie_col, "n", F.col("_g_in").cast("bigint").alias("gidx"),
-                            F.col("_p_in").cast("bigint").alias("pos"))
+        return spread(local.select(order_col, tie_col, "n", F.col("_g_in").cast("bigint").alias("gidx"),
+                                   F.col("_p_in").cast("bigint").alias("pos")))
     totals = groups.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bg"), F.sum("n").alias("_bn"))
     # One row per bucket: bounded by n_buckets, so a single ordered window and
     # a broadcast are safe here.
@@ -150,10 +158,10 @@ def dense_index(df: DataFrame, order_col: str, tie_col: str,
         "_bucket",
         F.coalesce(F.sum("_bg").over(wt), F.lit(0)).alias("_g0"),
         F.coalesce(F.sum("_bn").over(wt), F.lit(0)).alias("_p0"))
-    return (local.join(F.broadcast(offsets), "_bucket", "inner")
-            .select(order_col, tie_col, "n",
-                    (F.col("_g0") + F.col("_g_in")).cast("bigint").alias("gidx"),
-                    (F.col("_p0") + F.col("_p_in")).cast("bigint").alias("pos")))
+    return spread(local.join(F.broadcast(offsets), "_bucket", "inner")
+                  .select(order_col, tie_col, "n",
+                          (F.col("_g0") + F.col("_g_in")).cast("bigint").alias("gidx"),
+                          (F.col("_p0") + F.col("_p_in")).cast("bigint").alias("pos")))
 
 
 def ordered_run_counts(df: DataFrame, order_col: str, code_col: str, length: int = 3,
