@@ -1,6 +1,12 @@
--- Transactions and amounts pers month, territory and status (1..6).
+-- Transactions and amounts per month, territory and status (1..6).
 -- Amounts are summed as whole 1/10000 units: exact and order-independent.
-SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes,
+-- The month is grouped as the integer yyyymm and formatted once per row of
+-- the result, not once per order.
+SELECT format_string('%04d-%02d', m DIV 100, m % 100) AS mes, nombreterritorio,
+       trproceso, traprobadas, tratrasadas, trrechazadas, trenviadas, trcanceladas,
+       mntproceso, mntaprobadas, mntatrasadas, mntrechazadas, mntenviadas, mntcanceladas
+FROM (
+SELECT year(hdr.orderdate) * 100 + month(hdr.orderdate) AS m,
        terr.name_t AS nombreterritorio,
        CAST(sum(CASE WHEN hdr.status = 1 THEN 1 ELSE 0 END) AS BIGINT) AS trproceso,
        CAST(sum(CASE WHEN hdr.status = 2 THEN 1 ELSE 0 END) AS BIGINT) AS traprobadas,
@@ -18,3 +24,4 @@ FROM sales_salesorderheader hdr
 JOIN sales_customer cust ON hdr.customerid = cust.customerid
 JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
 GROUP BY 1, 2
+) per_month

@@ -1,8 +1,8 @@
 -- Organisation's monthly average subtotal against each territory's, in one
--- scan: sums and counts pers (month, territory), month totals as a window over
+-- scan: sums and counts per (month, territory), month totals as a window over
 -- that small aggregate.
 WITH per_territory AS (
-  SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes, terr.name_t AS nombreterritorio,
+  SELECT year(hdr.orderdate) * 100 + month(hdr.orderdate) AS m, terr.name_t AS nombreterritorio,
          sum(CAST(round(hdr.subtotal * 10000) AS BIGINT)) AS s, count(hdr.subtotal) AS n
   FROM sales_salesorderheader hdr
   JOIN sales_customer cust ON hdr.customerid = cust.customerid
@@ -10,13 +10,14 @@ WITH per_territory AS (
   GROUP BY 1, 2
 ),
 avgs AS (
-  SELECT mes, nombreterritorio,
+  SELECT m, nombreterritorio,
          try_divide(CAST(CAST(s AS DECIMAL(38,0)) / 10000 AS DOUBLE), n) AS territory_avg,
-         try_divide(CAST(CAST(sum(s) OVER (PARTITION BY mes) AS DECIMAL(38,0)) / 10000 AS DOUBLE),
-                    sum(n) OVER (PARTITION BY mes)) AS monthavg
+         try_divide(CAST(CAST(sum(s) OVER (PARTITION BY m) AS DECIMAL(38,0)) / 10000 AS DOUBLE),
+                    sum(n) OVER (PARTITION BY m)) AS monthavg
   FROM per_territory
 )
-SELECT mes, nombreterritorio, monthavg, monthavg - territory_avg AS diff,
+SELECT format_string('%04d-%02d', m DIV 100, m % 100) AS mes, nombreterritorio, monthavg,
+       monthavg - territory_avg AS diff,
        CASE WHEN monthavg - territory_avg > 0 THEN 'Above'
             WHEN monthavg - territory_avg = 0 THEN 'Equal'
             ELSE 'Below' END AS indicador
