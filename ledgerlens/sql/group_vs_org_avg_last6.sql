@@ -2,27 +2,27 @@
 -- in the orders (group - organisation; 'Above' when the group is higher).
 -- The six months are a six-row key set: a broadcast semi-join.
 WITH last6 AS (
-  SELECT mes FROM (
-    SELECT DISTINCT date_format(orderdate, 'yyyy-MM') AS mes FROM sales_salesorderheader) m
-  ORDER BY mes DESC LIMIT 6
+  SELECT m FROM (
+    SELECT DISTINCT year(orderdate) * 100 + month(orderdate) AS m FROM sales_salesorderheader) months
+  ORDER BY m DESC LIMIT 6
 ),
 per_group AS (
-  SELECT date_format(hdr.orderdate, 'yyyy-MM') AS mes, terr.group_t AS territorygroup,
+  SELECT year(hdr.orderdate) * 100 + month(hdr.orderdate) AS m, terr.group_t AS territorygroup,
          sum(CAST(round(hdr.subtotal * 10000) AS BIGINT)) AS s, count(hdr.subtotal) AS n
   FROM sales_salesorderheader hdr
   JOIN sales_customer cust ON hdr.customerid = cust.customerid
   JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
-  WHERE date_format(hdr.orderdate, 'yyyy-MM') IN (SELECT mes FROM last6)
+  WHERE year(hdr.orderdate) * 100 + month(hdr.orderdate) IN (SELECT m FROM last6)
   GROUP BY 1, 2
 ),
 avgs AS (
-  SELECT mes, territorygroup,
+  SELECT m, territorygroup,
          try_divide(CAST(CAST(s AS DECIMAL(38,0)) / 10000 AS DOUBLE), n) AS group_avg,
-         try_divide(CAST(CAST(sum(s) OVER (PARTITION BY mes) AS DECIMAL(38,0)) / 10000 AS DOUBLE),
-                    sum(n) OVER (PARTITION BY mes)) AS monthavg
+         try_divide(CAST(CAST(sum(s) OVER (PARTITION BY m) AS DECIMAL(38,0)) / 10000 AS DOUBLE),
+                    sum(n) OVER (PARTITION BY m)) AS monthavg
   FROM per_group
 )
-SELECT mes AS ordermonth, territorygroup, monthavg, group_avg - monthavg AS diff,
+SELECT format_string('%04d-%02d', m DIV 100, m % 100) AS ordermonth, territorygroup, monthavg, group_avg - monthavg AS diff,
        CASE WHEN group_avg - monthavg > 0 THEN 'Above'
             WHEN group_avg - monthavg = 0 THEN 'Equal'
             ELSE 'Below' END AS indicator
