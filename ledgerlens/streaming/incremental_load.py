@@ -18,8 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.functions.names import is_date_column, normalize_column_name
 from ledgerlens.session import scratch_path
-from ledgerlens.sources.csv_loader import (NULL_TOKENS, detect_separator, infer_types,
-                                           read_text_table)
+from ledgerlens.sources.csv_loader import (FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, detect_separator,
+                                           infer_types, read_text_table)
 from ledgerlens.sources.runlog import RunLog
 
 
@@ -32,8 +32,8 @@ def _cast(c: str, kind: str, tolerant: bool):
     if kind == "string":
         return v.alias(name)
     if kind == "boolean":
-        return (F.when(v.isin("True", "TRUE", "true"), F.lit(True))
-                .when(v.isin("False", "FALSE", "false"), F.lit(False)).alias(name))
+        return (F.when(v.isin(TRUE_TOKENS), F.lit(True))
+                .when(v.isin(FALSE_TOKENS), F.lit(False)).alias(name))
     return (v.try_cast(kind) if tolerant else v.cast(kind)).alias(name)
 
 
