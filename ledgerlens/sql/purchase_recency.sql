@@ -5,8 +5,8 @@
 WITH kept AS (
   SELECT customerid, salesorderid, orderdate, mes, r
   FROM (
-    SELECT customerid, salesorderid, orderdate, date_format(orderdate, 'yyyy-MM') AS mes,
-           row_number() OVER (PARTITION BY customerid, date_format(orderdate, 'yyyy-MM')
+    SELECT customerid, salesorderid, orderdate, year(orderdate) * 100 + month(orderdate) AS mes,
+           row_number() OVER (PARTITION BY customerid, year(orderdate) * 100 + month(orderdate)
                               ORDER BY orderdate DESC, salesorderid DESC) AS r
     FROM sales_salesorderheader) x
   WHERE r <= 3
@@ -17,7 +17,7 @@ hist AS (
          to_date(lag(orderdate, 2) OVER (PARTITION BY customerid ORDER BY orderdate, salesorderid)) AS prev2_date
   FROM kept
 )
-SELECT h.mes, h.customerid,
+SELECT format_string('%04d-%02d', h.mes DIV 100, h.mes % 100) AS mes, h.customerid,
        concat_ws(' ', nullif(pers.title, ''), nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
                  nullif(pers.lastname_t, '')) AS nombrecliente,
        h.last_date AS fechaultcompra,
