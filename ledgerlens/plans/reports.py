@@ -58,8 +58,7 @@ def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shipped_orders(spark: SparkSession, sf_dir: str, check_customer: bool = True) -> DataFrame:
     """Shipped orders with their month (integer yyyymm in ``_m``); with
-    ``check_customer`` only those
-    whose customer exists.
+    ``check_customer`` only those whose customer exists.
 
     The filter ``status = 5`` is pushed under every join.  The customer check
     is a left-semi join (equal to the source's inner join because customerid
