@@ -4,6 +4,8 @@
         --target sales.result --log run.log
     python -m ledgerlens load --folder /data/in --names Sales.SalesTerritory \\
         --database sales --log load.log
+    python -m ledgerlens report monthly_status_report --tables /data/tables \\
+        --csv /data/out/monthly_status_report
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (spark-submit
 or the cluster's defaults decide master and resources); ``--local`` starts a
@@ -46,6 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("--log", help="text log file")
     load.add_argument("--log-table")
 
+    rep = sub.add_parser("report", help="run a registered report and write it as CSV")
+    rep.add_argument("name", help="report name (see __spark_entry__.queries())")
+    rep.add_argument("--tables", required=True, help="folder with the Parquet tables")
+    rep.add_argument("--csv", required=True, help="output folder (header line, sorted)")
+
     args = parser.parse_args(argv)
     spark = _session(args.local)
     if args.command == "run-script":
@@ -54,6 +61,13 @@ def main(argv: list[str] | None = None) -> int:
                          log_table=args.log_table, source_database=args.source_db)
         print(json.dumps({"target": args.target, "columns": out.columns}))
         return 0
+    if args.command == "report":
+        from ledgerlens.plans.registry import QUERIES
+        from ledgerlens.sources.files import write_csv
+        df = QUERIES[args.name](spark, args.tables)
+        write_csv(df, args.csv, sort_by=df.columns)
+        print(json.dumps({"report": args.name, "csv": args.csv, "columns": df.columns}))
+        return 0
     from ledgerlens.sources.csv_loader import load_tables
     from ledgerlens.sources.runlog import RunLog
     log = RunLog(spark, args.log_table, args.log)

@@ -22,3 +22,13 @@ def test_cli_run_script_and_load(spark, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out[0]["table"] == "demo_table" and out[0]["rows"] == 2
     assert spark.table("demo_table").columns == ["key", "groupname_t_t"]
+
+
+def test_cli_report_to_csv(spark, tmp_path, capsys):
+    from tests.conftest import SF_SMALL
+    out = tmp_path / "r1"
+    assert cli.main(["report", "monthly_status_report", "--tables", SF_SMALL, "--csv", str(out)]) == 0
+    back = spark.read.option("header", True).csv(str(out))
+    assert back.columns[:2] == ["mes", "nombreterritorio"]
+    from ledgerlens.plans.reports import monthly_status_report
+    assert back.count() == monthly_status_report(spark, SF_SMALL).count()
