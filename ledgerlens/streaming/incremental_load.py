@@ -71,6 +71,11 @@ def run_incremental_load(spark: SparkSession, source_dir: str, table: str,
                          checkpoint: str, log: RunLog | None = None, **opts) -> int:
     """One scheduled run: load the files not seen yet, wait, log the number
     of rows taken in, return it."""
+    # Row counts come from the query's progress entries; keep enough of them
+    # for a run of many micro-batches (the default keeps the last 100).
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    if int(spark.conf.get(key, "100")) < 100_000:
+        spark.conf.set(key, "100000")
     q = start_incremental_load(spark, source_dir, table, checkpoint, available_now=True, **opts)
     q.awaitTermination()
     rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)

@@ -25,3 +25,16 @@ def test_incremental_load_appends_new_files_once(spark, tmp_path):
     rows = sorted(tuple(r) for r in df.collect())
     assert [r[0] for r in rows] == [1, 2, 3]
     assert rows[1][3] is None and rows[2][2] is None   # NULL token, tolerant bad date
+
+
+def test_incremental_load_counts_rows_over_many_batches(spark, tmp_path):
+    from ledgerlens.streaming import run_incremental_load
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for i in range(6):
+        write(src / f"part{i}.csv", f"Key;Value\n{i};{i * 1.5}\n{i + 100};1\n")
+    table = "streamed_many"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    rows = run_incremental_load(spark, str(src), table, str(tmp_path / "ck"), max_files_per_trigger=1)
+    assert rows == 12 == spark.table(table).count()
