@@ -26,6 +26,7 @@ def run_script(spark: SparkSession, script_path: str, target: str, log_path: str
     replace ``target`` with the result and log each step.  Returns the
     target table."""
     log = RunLog(spark, log_table, log_path)
+    status = "error"
     try:
         log.record("start", "ok", target, message=f"script={script_path}")
         if source_database:
@@ -36,10 +37,11 @@ def run_script(spark: SparkSession, script_path: str, target: str, log_path: str
         obs = Observation("script_rows")
         result.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(target)
         log.record("table written", "ok", target, obs.get.get("rows"))
+        status = "ok"
         return spark.table(target)
     except Exception as exc:
         log.record("failed", "error", target, message=str(exc).splitlines()[0][:500])
         raise
     finally:
-        log.record("finish", "ok", target)
+        log.record("finish", status, target)
         log.close()

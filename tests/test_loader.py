@@ -88,3 +88,13 @@ def test_run_script_writes_table_and_log(spark, tmp_path):
     assert any("table written" in ln and "rows=2" in ln for ln in lines)
     assert spark.table("script_log").where("status = 'ok'").count() >= 3
     assert read_script(write(tmp_path / "s.sql", "select 1;;\n")) == "select 1"
+
+
+def test_run_script_failure_is_logged(spark, tmp_path):
+    bad = write(tmp_path / "bad.sql", "SELECT no_such_column FROM no_such_table")
+    log_path = str(tmp_path / "fail.log")
+    with pytest.raises(Exception):
+        run_script(spark, bad, "never_written", log_path=log_path)
+    text = open(log_path).read()
+    assert "failed" in text and "finish target=never_written status=error" in text
+    assert not spark.catalog.tableExists("never_written")
