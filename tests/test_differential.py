@@ -55,3 +55,11 @@ def test_territory_file_loaded_with_name_rules(spark):
     terr = spark.table(f"{db}.sales_salesterritory")
     assert dict(terr.dtypes) == {"territoryid": "bigint", "name_t": "string", "group_t": "string"}
     assert terr.count() == 25
+
+
+def test_runs_by_key_equal_runs_by_order_without_gaps(spark):
+    # events: dense, unique sequence keys, so both readings must agree.
+    by_key = {r.codigo: r.cantidad_veces_seguidos for r in R.consecutive_code_counts(spark, SF_CHECK).collect()
+              if r.cantidad_veces_seguidos > 0}
+    by_order = {r.codigo: r.cantidad_veces_seguidos for r in R.consecutive_codes(spark, SF_CHECK).collect()}
+    assert by_key == by_order and len(by_key) == 5
