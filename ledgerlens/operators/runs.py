@@ -138,12 +138,17 @@ def dense_index(df: DataFrame, order_col: str, tie_col: str,
         (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
         .alias("_p_in"))
     # The numbered rows sit in at most n_buckets partitions; with fewer
-    # buckets than shuffle partitions they are spread round-robin again so
-    # that the steps after the index do not run in a few tasks.
+    # buckets than shuffle partitions they are spread again so that the
+    # steps after the index do not run in a few tasks.
     parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def spread(out: DataFrame) -> DataFrame:
-        return out.repartition(parallelism) if n_buckets < parallelism else out
+        # Contiguous ordinal ranges per partition (n_rows bounds the number of
+        # groups), so neighbouring groups stay together for what follows.
+        if n_buckets >= parallelism:
+            return out
+        part = F.floor(F.col("gidx") * parallelism / F.lit(max(n_rows, 1)))
+        return out.repartition(parallelism, part)
 
     if n_buckets == 1:
         # One bucket (one window task) holds at most rows_per_bucket rows,
