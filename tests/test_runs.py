@@ -125,3 +125,13 @@ def test_dense_index_equals_global_row_number_with_nulls(spark):
     got = {(r.secuencial, r.codigo): r.gidx
            for r in dense_index(df, "secuencial", "codigo", rows_per_bucket=40).collect()}
     assert got == expect
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from("ab")), min_size=0, max_size=80),
+       st.sampled_from([7, 1000]))
+def test_ordered_runs_with_spread_output(spark, rows, per_bucket):
+    got = {r.codigo: r.cantidad_veces_seguidos
+           for r in ordered_run_counts(as_df(spark, rows), "secuencial", "codigo",
+                                       rows_per_bucket=per_bucket, spread_min_rows=0).collect()}
+    assert got == brute_ordered(rows)
