@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -182,22 +183,27 @@ def _normalized_columns(columns: Sequence[str], types: dict[str, str], tolerant:
 
 
 def load_tables(spark: SparkSession, folder: str, names: Sequence[str], suffix: str = ".csv",
-                database: str | None = None, log: RunLog | None = None, **opts) -> list[dict]:
+                database: str | None = None, log: RunLog | None = None, parallel: int = 4,
+                **opts) -> list[dict]:
     """Load each ``<folder>/<name><suffix>`` into table ``table_name_for(name)``
     (in ``database`` when given).  A file that fails is logged and skipped;
-    the others are still loaded."""
-    results = []
-    for name in names:
+    the others are still loaded.  Up to ``parallel`` files are loaded at
+    once (their Spark jobs run side by side); results keep the given order.
+    """
+    def one(name: str) -> dict:
         path = f"{folder.rstrip('/')}/{name}{suffix}"
         table = table_name_for(name)
         if database:
             table = f"{database}.{table}"
         try:
-            results.append({"name": name, "status": "ok",
-                            **load_table(spark, path, table, log=log, **opts)})
+            return {"name": name, "status": "ok", **load_table(spark, path, table, log=log, **opts)}
         except Exception as exc:  # one bad file must not stop the batch
             msg = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
             if log is not None:
                 log.record("load", "error", table, None, msg)
-            results.append({"name": name, "status": "error", "table": table, "error": msg})
-    return results
+            return {"name": name, "status": "error", "table": table, "error": msg}
+
+    if parallel <= 1 or len(names) <= 1:
+        return [one(n) for n in names]
+    with ThreadPoolExecutor(max_workers=min(parallel, len(names))) as pool:
+        return list(pool.map(one, names))

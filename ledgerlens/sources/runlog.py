@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,6 +36,7 @@ class RunLog:
         self.run_id = run_id or uuid.uuid4().hex[:16]
         self.entries: list[tuple] = []
         self._pending: list[tuple] = []
+        self._lock = threading.Lock()  # steps may be recorded from loader threads
         self._logger = None
         if path:
             self._logger = logging.getLogger(f"ledgerlens.run.{self.run_id}")
@@ -48,18 +50,20 @@ class RunLog:
                rows: int | None = None, message: str | None = None) -> None:
         row = (self.run_id, dt.datetime.now(), step, target, status,
                None if rows is None else int(rows), message)
-        self.entries.append(row)
+        with self._lock:
+            self.entries.append(row)
+            self._pending.append(row)
         if self._logger is not None:
             text = f"{step} target={target} status={status} rows={rows}" + (f" {message}" if message else "")
             (self._logger.error if status == "error" else self._logger.info)(text)
-        self._pending.append(row)
 
     def flush(self) -> None:
         """Append the steps recorded since the last flush to the log table."""
-        if self.table and self._pending:
-            (self.spark.createDataFrame(self._pending, LOG_SCHEMA)
+        with self._lock:
+            pending, self._pending = self._pending, []
+        if self.table and pending:
+            (self.spark.createDataFrame(pending, LOG_SCHEMA)
              .coalesce(1).write.mode("append").saveAsTable(self.table))
-        self._pending = []
 
     def close(self) -> None:
         self.flush()
