@@ -5,13 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, prepare, quality
+from ledgerlens.llm import decontaminate, prepare, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and toxic passages of every document (maximum-scoring segments)."""
+    prepare(spark)
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document (positive-unlabelled learning)."""
     prepare(spark)
@@ -26,6 +32,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
