@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, prepare, quality, toxicity
+from ledgerlens.llm import decontaminate, prepare, quality, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that occur again."""
+    prepare(spark)
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document (FM-index per shard)."""
     prepare(spark)
@@ -34,6 +40,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
