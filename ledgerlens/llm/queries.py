@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, jaccard, prepare, quality, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, jaccard, mixing, prepare, quality, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken for the sources' target weights (subset-sum fit)."""
+    prepare(spark)
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 400 bytes that occur again."""
     prepare(spark)
@@ -47,6 +53,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_source_mixing": op6_source_mixing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
