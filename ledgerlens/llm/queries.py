@@ -5,13 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, jaccard, mixing, prepare, quality, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, jaccard, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document (trigram inverted index)."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and toxic passages of every document (maximum-scoring segments)."""
     prepare(spark)
@@ -36,6 +41,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document (permutation-filled lookup table)."""
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without strings of 400 bytes that occur again."""
     prepare(spark)
@@ -50,12 +60,17 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_source_mixing": op6_source_mixing,
+    "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": secrets.oracle_sql(),
+    "op7_sharding": sharding.oracle_sql(),
+}
