@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, jaccard, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, fingerprints, jaccard, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invertible sketch of every document and of its edited text, and their likeness."""
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken for the sources' target weights (subset-sum fit)."""
     prepare(spark)
@@ -64,6 +69,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_source_mixing": op6_source_mixing,
     "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
