@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, fingerprints, jaccard, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,12 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every document (conditional compression)."""
+    prepare(spark)
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -74,6 +80,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
