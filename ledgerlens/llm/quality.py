@@ -36,11 +36,11 @@ FEATURES = ("log_words", "same_as_last", "same_as_second_last", "distinct", "upp
 #: Quantile bins of a feature.
 BINS = 10
 #: Ridge term of the risk (this over the number of positives, this at least), and steps of its minimisation.
-RIDGE_OVER_POSITIVES, LEAST_RIDGE, STEPS = 4.0, 1e-4, 300
-#: Bins of the score histograms that the prior is estimated from.
-PRIOR_BINS = 200
+RIDGE_OVER_POSITIVES, LEAST_RIDGE, STEPS = 20.0, 1e-4, 300
+#: Bins of the score histograms that the prior is estimated from, and estimates made (each with the last one's weights).
+PRIOR_BINS, PRIOR_ROUNDS = 200, 2
 #: Least share of the positives above a threshold that may bound the prior.
-PRIOR_MASS = 0.3
+PRIOR_MASS = 0.7
 
 
 def class_of(chars: str) -> np.ndarray:
@@ -215,9 +215,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality
         return {"u": np.bincount(at, minlength=PRIOR_BINS).astype(float),
                 "p": np.bincount(at[positive], minlength=PRIOR_BINS).astype(float)}
 
-    got = gather(rows, histogram)
-    model.prior = estimate_prior(got["u"], got["p"])
-    model.weights = minimise_risk(model.prior, *args)
+    for _ in range(PRIOR_ROUNDS):
+        got = gather(rows, histogram)
+        model.prior = estimate_prior(got["u"], got["p"])
+        model.weights = minimise_risk(model.prior, *args)
     return model
 
 
