@@ -6,20 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def month_key(col: str | Column) -> Column:
-    """``yyyy-MM`` text of a date or timestamp (PostgreSQL ``to_char(x,'YYYY-MM')``).
-
-    Spark's pattern letters are lower-case ``yyyy``; ``YYYY`` is the week year.
-    """
-    return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy-MM")
-
-
-def month_start(month: str | Column) -> Column:
-    """First day of a ``yyyy-MM`` key, as a date."""
-    m = F.col(month) if isinstance(month, str) else month
-    return F.to_date(F.concat(m, F.lit("-01")))
-
-
 def days_between(later: str | Column, earlier: str | Column) -> Column:
     """Whole days from ``earlier`` to ``later`` as bigint (NULL if either is NULL)."""
     a = F.col(later) if isinstance(later, str) else later

@@ -1,11 +1,11 @@
 """Exact money arithmetic.
 
-Amounts carry at most four decimals.  They are summed as whole numbers of
-1/10000 (``bigint``): a long sum is exact, does not depend on the order in
-which partitions are combined, runs in generated code, and raises on
-overflow under ANSI mode instead of wrapping.  A decimal(18,4) sum would be
-equally exact, but its 28-digit buffer takes Spark's slow decimal path.
-The per-group result is turned into a double once, through an exact decimal.
+Amounts are summed as whole numbers of 1/10000 (``bigint``), the four decimals
+of the source system's money columns: such a sum does not depend on the order in
+which partitions are combined and runs in generated code.  An amount with more
+decimals is an error, never rounded away.  Sums are kept in two halves, so that
+no total a table can hold overflows, and the per-group result is turned into a
+double once, through an exact decimal.
 """
 
 from __future__ import annotations
@@ -13,34 +13,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Four decimal places, as in the source system's money columns.
-MONEY = "decimal(18,4)"
 UNITS_PER_MONEY = 10000
+#: Units of the upper half of a sum, as a power of two.
+HALF_BITS = 20
+#: What a double may be off a whole number of units, by its size.
+RELATIVE_ERROR = 1e-12
 
 
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def money(col: str | Column) -> Column:
-    return _c(col).cast(MONEY)
+def money_units(col: str | Column) -> Column:
+    """An amount as a whole number of 1/10000 (bigint); more decimals raise."""
+    units = (F.col(col) if isinstance(col, str) else col) * UNITS_PER_MONEY
+    whole = F.round(units)
+    exact = F.abs(units - whole) <= F.greatest(F.abs(units) * RELATIVE_ERROR, F.lit(1e-6))
+    return (F.when(units.isNull(), F.lit(None).cast("bigint")).when(exact, whole.cast("bigint"))
+            .otherwise(F.raise_error(F.concat(F.lit("amount with more than four decimals: "), (units / UNITS_PER_MONEY).cast("string"))).cast("bigint")))
 
 
-def money_units(col: str | Column) -> Column:
-    """An amount as a whole number of 1/10000 (bigint)."""
-    return F.round(_c(col) * UNITS_PER_MONEY).cast("bigint")
+def sum_units(units: Column) -> Column:
+    """Sum of whole units as decimal(38,0).  Upper and lower half are summed apart:
+    a bigint sum of either holds 2**43 rows of any amount."""
+    upper = F.sum(F.shiftright(units, HALF_BITS)).cast("decimal(20,0)")
+    lower = F.sum(units.bitwiseAND(F.lit((1 << HALF_BITS) - 1).cast("bigint"))).cast("decimal(20,0)")
+    return (upper * F.lit(1 << HALF_BITS).cast("decimal(7,0)") + lower).cast("decimal(38,0)")
 
 
 def units_to_double(units: Column) -> Column:
     """A sum of units back to an amount: exact decimal, then double."""
     return (units.cast("decimal(38,0)") / F.lit(UNITS_PER_MONEY)).cast("double")
-
-
-def exact_sum(col: str | Column) -> Column:
-    """Sum of an amount, exact, returned as double."""
-    return units_to_double(F.sum(money_units(col)))
-
-
-def exact_avg(col: str | Column) -> Column:
-    """Average of the non-NULL amounts: exact sum / count, as double."""
-    return F.try_divide(exact_sum(col), F.count(_c(col)))

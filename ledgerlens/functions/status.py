@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Status code, label, count column, amount column.
 STATUS_CODES = [
     (1, "In process", "trproceso", "mntproceso"),
@@ -17,12 +14,3 @@ STATUS_CODES = [
 
 SHIPPED = 5
 
-
-def status_label(col: str | Column) -> Column:
-    """Label of a status code; NULL for codes outside the list."""
-    c = F.col(col) if isinstance(col, str) else col
-    expr = None
-    for code, label, _, _ in STATUS_CODES:
-        expr = (F.when(c == code, F.lit(label)) if expr is None
-                else expr.when(c == code, F.lit(label)))
-    return expr

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import money_units, units_to_double
+from ledgerlens.functions.money import money_units, sum_units, units_to_double
 
 
 def indicator(diff: Column) -> Column:
@@ -24,7 +24,7 @@ def group_and_overall_avg(df: DataFrame, period_col: str, grain_col: str,
     depend on partition order.
     """
     agg = df.groupBy(period_col, grain_col).agg(
-        F.sum(money_units(value_col)).alias("_s"), F.count(F.col(value_col)).alias("_n"))
+        sum_units(money_units(value_col)).alias("_s"), F.count(F.col(value_col)).alias("_n"))
     w = Window.partitionBy(period_col)
     return agg.select(
         period_col, grain_col,

@@ -27,8 +27,8 @@ def lookup(df: DataFrame, key: str, keys) -> DataFrame:
     only when its size is checked to be small).
     """
     if isinstance(keys, DataFrame):
-        wanted = keys.select(F.col(key)).distinct()
-        return df.join(broadcast_if_small(wanted), key, "left_semi")
+        # a semi-join needs no distinct keys
+        return df.join(broadcast_if_small(keys.select(F.col(key))), key, "left_semi")
     if isinstance(keys, Iterable) and not isinstance(keys, (str, bytes)):
         return df.where(F.col(key).isin(list(keys)))
     return df.where(F.col(key) == F.lit(keys))

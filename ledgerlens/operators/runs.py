@@ -2,208 +2,129 @@
 
 Two readings of "the same code several times in a row":
 
-* by key arithmetic (``run_counts_by_key``): positions k, k-step, k-2*step,
-  ... must all exist; a gap breaks the run and duplicate keys multiply;
+* by key arithmetic (``run_counts_by_key``, ``spaced_runs``): positions k,
+  k-step, k-2*step, ... must all exist; a gap breaks the run and duplicate keys
+  multiply;
 * by ordering (``ordered_run_counts``): the rows sorted by key, gaps do not
   matter; duplicate keys are ordered by code.
 
-Neither builds a self-join: each row is sent, with a role tag, to the keys it
-is a predecessor of, and one aggregation per key counts what a self-join
-would have paired.  Duplicate or hot keys collapse in the map-side partial
-aggregate instead of multiplying rows.
+All of them first collapse the rows to (key, code) with a count: duplicates and
+hot keys meet before the shuffle and cannot swell a task.  The collapsed rows are
+cut into ranges of the key, windows run inside a range, and the few rows of a
+range that its neighbour needs are copied over.  The plan is the same for every
+size.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_root
+#: Key values in a range of ``run_counts_by_key``.
+RANGE_WIDTH = 16_384
 
 
-def _shifted(df: DataFrame, key: Column, shifts: list[Column], extra: list[str]) -> DataFrame:
-    """One output row per (input row, role): role r carries the row to key
-    ``shifts[r]``."""
-    tagged = F.explode(F.array(*[F.struct(s.alias("key"), F.lit(r).alias("role"))
-                                 for r, s in enumerate(shifts)]))
-    return df.select(tagged.alias("_t"), *extra).select("_t.key", "_t.role", *extra)
+def run_counts_by_key(df: DataFrame, order_col: str, code_col: str, length: int = 3, step: int = 1,
+                      count_col: str = "cantidad_veces_seguidos", width: int = RANGE_WIDTH) -> DataFrame:
+    """Per code: how many row chains k-(length-1)*step, ..., k-step, k of whole-number
+    positions carry that code throughout.
 
-
-def run_counts_by_key(df: DataFrame, order_col: str, code_col: str, length: int = 3,
-                      step: int = 1, count_col: str = "cantidad_veces_seguidos") -> DataFrame:
-    """Per code: how many positions k end a run ``k-(length-1)*step .. k``
-    with the same code at every position.
-
-    Equal to ``length`` self-joins ``s.k = d.k + step``, ``s.k = f.k + 2*step``
-    ... grouped by ``s.code`` and summing ``case when all codes equal``:
-    a code is listed (with 0) when it has any complete chain of positions,
-    whatever the codes there; duplicates of a key multiply.
+    A code is listed (with 0) when it has any complete chain of positions, whatever
+    the codes there; duplicates of a key multiply; NULL keys are in no chain.  A
+    range holds ``width`` positions, so at most that many times the codes; the last
+    (length-1)*step positions are copied to the next range, where they only look on.
     """
-    k, c = F.col(order_col), F.col(code_col)
-    rows = df.select(k.alias("_k"), c.alias("_c"))
-    x = _shifted(rows, F.col("_k"), [F.col("_k") + r * step for r in range(length)], ["_c"])
-    role = F.col("role")
-    # Per (key, code): how many rows of that code sit at key - r*step.
-    per_code = x.groupBy("key", "_c").agg(
-        *[F.count_if(role == r).alias(f"n{r}") for r in range(length)])
-    # Per key: is every predecessor position occupied (by any code)?
-    occupied = x.groupBy("key").agg(
-        *[F.max((role == r).cast("int")).alias(f"has{r}") for r in range(1, length)])
-    chain = None
-    for r in range(1, length):
-        term = F.col(f"has{r}") == 1
-        chain = term if chain is None else chain & term
-    matches = None
-    for r in range(length):
-        term = F.col(f"n{r}").cast("bigint")
-        matches = term if matches is None else matches * term
-    starts = per_code.where(F.col("n0") > 0).join(occupied.where(chain).select("key"), "key", "inner")
-    return (starts.groupBy(F.col("_c").alias(code_col))
-            .agg(F.sum(matches).cast("bigint").alias(count_col)))
+    reach = (length - 1) * step
+    width = max(width, reach)
+    key = F.col("_k")
+    rows = (df.where(F.col(order_col).isNotNull()).groupBy(F.col(order_col).cast("bigint").alias("_k"), F.col(code_col).alias("_c"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+    own = F.floor(key / F.lit(width)).cast("bigint")
+    copies = F.when(F.pmod(key, F.lit(width)) >= width - reach, F.array(own, own + 1)).otherwise(F.array(own))
+    ranged = rows.withColumn("_b", F.explode(copies)).repartition("_b")
+    at = Window.partitionBy("_b").orderBy("_k")
+    same = Window.partitionBy("_b", "_c").orderBy("_k")
+    back = [(r * step) for r in range(1, length)]
+    there = reduce(lambda a, b: a & b, [F.count(F.lit(1)).over(at.rangeBetween(-d, -d)) > 0 for d in back])
+    chains = reduce(lambda a, b: a * b, [F.coalesce(F.sum("_n").over(same.rangeBetween(-d, -d)), F.lit(0)) for d in back])
+    counted = ranged.select("_b", "_k", "_c", (F.col("_n") * chains).alias("_runs"), there.alias("_there"))
+    return (counted.where(F.col("_there") & (own == F.col("_b")))
+            .groupBy(F.col("_c").alias(code_col)).agg(F.sum("_runs").cast("bigint").alias(count_col)))
 
 
-def spaced_runs(df: DataFrame, order_col: str, code_col: str, step: int = 2,
-                prefixes=("f", "d", "s")) -> DataFrame:
-    """All columns of the row triples (k-2*step, k-step, k) that share one
-    code, oldest first, columns prefixed ``f_``, ``d_``, ``s_``.
-
-    The equal-code condition is part of the join key, so the equi-join pairs
-    only rows of one (position, code); the output is the triples themselves.
-    """
-    cols = df.columns
-    f_, d_, s_ = prefixes
-    side = {p: df.select(*[F.col(x).alias(f"{p}_{x}") for x in cols]) for p in prefixes}
-    s, d, f = side[s_], side[d_], side[f_]
-    sk, sc = F.col(f"{s_}_{order_col}"), F.col(f"{s_}_{code_col}")
-    j = s.join(d, (sk == F.col(f"{d_}_{order_col}") + step) & (sc == F.col(f"{d_}_{code_col}")), "inner")
-    j = j.join(f, (sk == F.col(f"{f_}_{order_col}") + 2 * step) & (sc == F.col(f"{f_}_{code_col}")), "inner")
-    out_cols = [f"{p}_{x}" for p in prefixes for x in cols]
-    return j.select(*out_cols).orderBy(F.col(f"{s_}_{order_col}").asc())
-
-
-# --------------------------------------------------------------------------
-# Dense position along an order, without a single-partition window
-# --------------------------------------------------------------------------
-
-# Below this many rows, one more shuffle to spread the numbered rows costs
-# more than the parallelism it buys (measured: 100k rows slower, 1M faster).
-SPREAD_MIN_ROWS = 250_000
-
-
-def dense_index(df: DataFrame, order_col: str, tie_col: str,
-                rows_per_bucket: int = 2_000_000, max_buckets: int = 200_000,
-                rel_error: float | None = None, spread_min_rows: int = SPREAD_MIN_ROWS) -> DataFrame:
-    """Distinct (order_col, tie_col) groups with their multiplicity ``n``, the
-    group's ordinal ``gidx`` (0-based) and the position ``pos`` of its first
-    row, both as a global ``row_number() - 1`` over (order_col, tie_col) would
-    give them.
-
-    A window without ``partitionBy`` would run in one task.  Instead the key
-    range is cut into buckets at approximate quantiles (bounded number of
-    literals), each bucket is numbered by its own window, and the per-bucket
-    totals (one row per bucket, at most ``max_buckets``) are turned into
-    offsets and broadcast back.  Duplicate keys are collapsed into one group
-    before anything is shuffled, so a hot key cannot swell a bucket.
+def ordered_run_counts(df: DataFrame, order_col: str, code_col: str, length: int = 3,
+                       count_col: str = "cantidad_veces_seguidos", ranges: int | None = None) -> DataFrame:
+    """Per code that occurs at least ``length`` times in a row when the rows are sorted
+    by (order_col, code_col): how many rows end such a run (a maximal run of L rows
+    counts L - length + 1).  Gaps in the key do not break a run; NULL keys come first.
+
+    The ranges are cut at quantiles of the (numeric) key, as many as there are
+    shuffle partitions unless ``ranges`` is given.  Every cut is a key that occurs, so
+    no range is empty, and the ``length - 1`` groups before a range's first one lie in
+    the ``length - 1`` ranges before it: their last groups are copied over.
     """
-    groups = df.groupBy(order_col, tie_col).agg(F.count(F.lit(1)).alias("n"))
-    n_rows = df.count()
-    n_buckets = max(1, min(max_buckets, math.ceil(n_rows / rows_per_bucket)))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        # Cut points only balance the buckets; correctness does not depend
-        # on their accuracy, so the sketch error is kept moderate.
-        eps = rel_error if rel_error is not None else max(1.0 / (4 * n_buckets), 1e-5)
-        cuts = sorted(set(df.approxQuantile(order_col, probs, eps)))
-    else:
-        cuts = []
-    # Bucket = index of the quantile interval holding the key: a monotone map
-    # of the key (binary search on the JVM); NULL keys sort first.
-    if cuts:
-        from pyspark.ml.feature import Bucketizer
-        splits = [-math.inf] + [float(v) for v in cuts] + [math.inf]
-        bz = Bucketizer(splits=splits, inputCol="_kd", outputCol="_b", handleInvalid="keep")
-        groups = bz.transform(groups.withColumn("_kd", F.col(order_col).cast("double")))
-        groups = groups.withColumn(
-            "_bucket", F.when(F.col(order_col).isNull(), F.lit(-1)).otherwise(F.col("_b").cast("int"))
-        ).drop("_kd", "_b")
+    need = length - 1
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(df.approxQuantile(order_col, [i / n for i in range(n)], 0.2 / n)))
+    groups = df.groupBy(F.col(order_col).alias("_k"), F.col(code_col).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    if len(cuts) > 1:
+        # range of a key by binary search; the first range starts with the least key
+        splits = [-math.inf, *map(float, cuts[1:]), math.inf]
+        groups = Bucketizer(splits=splits, inputCol="_d", outputCol="_r", handleInvalid="keep").transform(
+            groups.withColumn("_d", F.col("_k").cast("double"))).drop("_d")
     else:
-        groups = groups.withColumn("_bucket", F.lit(0))
-    if n_buckets > 1:
-        # Two branches read the bucketed groups; write them once to the
-        # shared checkpoint folder instead of scanning and aggregating twice
-        # (this also cuts the lineage a lost executor would have to redo).
-        scratch_root(df.sparkSession)
-        groups = groups.checkpoint(eager=True)
-    w = Window.partitionBy("_bucket").orderBy(order_col, tie_col)
-    local = groups.select(
-        order_col, tie_col, "n", "_bucket",
-        (F.row_number().over(w) - 1).alias("_g_in"),
-        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
-        .alias("_p_in"))
-    # The numbered rows sit in at most n_buckets partitions; with fewer
-    # buckets than shuffle partitions they are spread again so that the
-    # steps after the index do not run in a few tasks.
-    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def spread(out: DataFrame) -> DataFrame:
-        # Contiguous ordinal ranges per partition (n_rows bounds the number of
-        # groups), so neighbouring groups stay together for what follows.
-        if n_buckets >= parallelism or n_rows < spread_min_rows:
-            return out
-        part = F.floor(F.col("gidx") * parallelism / F.lit(max(n_rows, 1)))
-        return out.repartition(parallelism, part)
-
-    if n_buckets == 1:
-        # One bucket (one window task) holds at most rows_per_bucket rows,
-        # counted above.
-        return spread(local.select(order_col, tie_col, "n", F.col("_g_in").cast("bigint").alias("gidx"),
-                                   F.col("_p_in").cast("bigint").alias("pos")))
-    totals = groups.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bg"), F.sum("n").alias("_bn"))
-    # One row per bucket: bounded by n_buckets, so a single ordered window and
-    # a broadcast are safe here.
-    wt = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_bg").over(wt), F.lit(0)).alias("_g0"),
-        F.coalesce(F.sum("_bn").over(wt), F.lit(0)).alias("_p0"))
-    return spread(local.join(F.broadcast(offsets), "_bucket", "inner")
-                  .select(order_col, tie_col, "n",
-                          (F.col("_g0") + F.col("_g_in")).cast("bigint").alias("gidx"),
-                          (F.col("_p0") + F.col("_p_in")).cast("bigint").alias("pos")))
+        groups = groups.withColumn("_r", F.lit(0.0))
+    groups = groups.withColumn("_b", F.when(F.col("_k").isNull(), F.lit(-1)).otherwise(F.col("_r").cast("int"))).drop("_r")
+    order = [F.asc_nulls_first("_k"), F.asc_nulls_first("_c")]
+    inside = Window.partitionBy("_b").orderBy(*order)
+    numbered = (groups.repartition("_b")
+                .withColumn("_first", F.row_number().over(inside))
+                .withColumn("_last", F.row_number().over(Window.partitionBy("_b").orderBy(F.desc_nulls_last("_k"), F.desc_nulls_last("_c")))))
+
+    def ending(rows: DataFrame, window) -> DataFrame:
+        """Rows of each group that end a run, from the groups before it."""
+        before, same = F.lit(0).cast("bigint"), F.lit(True)
+        for r in range(1, length):
+            same = same & F.coalesce(F.lag("_c", r).over(window) == F.col("_c"), F.lit(False))
+            before = before + F.when(same, F.lag("_n", r).over(window)).otherwise(F.lit(0))
+        return rows.withColumn("_runs", F.greatest(F.lit(0), F.col("_n") - F.greatest(F.lit(0), need - before)))
+
+    # the first groups of a range look at the last ones of the ranges before it:
+    # at most length - 1 rows of a range on either side
+    whole = ending(numbered, inside).where(F.col("_first") > need).select("_c", "_runs")
+    heads = numbered.where(F.col("_first") <= need).select("_b", "_k", "_c", "_n", F.lit(True).alias("_own"))
+    tails = (numbered.where(F.col("_last") <= need)
+             .select(F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + need)).alias("_b"), "_k", "_c", "_n", F.lit(False).alias("_own")))
+    edge = ending(heads.unionByName(tails), inside).where("_own").select("_c", "_runs")
+    return (whole.unionByName(edge).groupBy(F.col("_c").alias(code_col))
+            .agg(F.sum("_runs").cast("bigint").alias(count_col))
+            .where(F.col(count_col) > 0))
 
 
-def ordered_run_counts(df: DataFrame, order_col: str, code_col: str, length: int = 3,
-                       count_col: str = "cantidad_veces_seguidos", **index_opts) -> DataFrame:
-    """Per code that occurs at least ``length`` times in a row when the rows
-    are sorted by (order_col, code_col): how many rows end such a run (a
-    maximal run of L rows counts L - length + 1).  Gaps in the key do not
-    break a run.
-
-    Works on the dense groups: a group is one (key, code) with ``n`` rows;
-    a run can only continue across groups that follow each other with the
-    same code, so each group needs its ``length - 1`` predecessors, which
-    arrive by the same shifted-key aggregation as above.
+def spaced_runs(df: DataFrame, order_col: str, code_col: str, step: int = 2,
+                names=("first", "middle", "last")) -> DataFrame:
+    """All columns of the row triples (k-2*step, k-step, k) that share one code, oldest
+    first, columns named ``first_...``, ``middle_...``, ``last_...``, ordered by the last
+    row, then by all columns.
+
+    Equal rows are collapsed to one with a count, so a joined pair stands for all
+    their combinations; these are spread over the tasks by their number before
+    they are written out, and the sort has that number as its last key.
     """
-    g = dense_index(df, order_col, code_col, **index_opts)
-    need = length - 1
-    x = _shifted(g, F.col("gidx"), [F.col("gidx") + r for r in range(length)], [code_col, "n"])
-    role = F.col("role")
-    per = x.groupBy("key").agg(
-        *[F.max(F.when(role == r, F.col(code_col))).alias(f"c{r}") for r in range(length)],
-        *[F.max(F.when(role == r, F.col("n"))).alias(f"n{r}") for r in range(length)])
-    per = per.where(F.col("c0").isNotNull())
-    # Rows right before this group that carry the same code, up to `need`.
-    before = F.lit(0).cast("bigint")
-    same = F.lit(True)
-    for r in range(1, length):
-        same = same & F.coalesce(F.col(f"c{r}") == F.col("c0"), F.lit(False))
-        before = before + F.when(same, F.col(f"n{r}")).otherwise(F.lit(0))
-    before = F.least(before, F.lit(need))
-    n0 = F.col("n0")
-    inside = F.greatest(n0 - need, F.lit(0))
-    across = F.greatest(F.lit(0), F.least(n0, F.lit(need)) - F.greatest(F.lit(0), F.lit(need) - before))
-    counted = per.select(F.col("c0").alias(code_col), (inside + across).alias("_runs"))
-    return (counted.groupBy(code_col).agg(F.sum("_runs").cast("bigint").alias(count_col))
-            .where(F.col(count_col) > 0))
+    cols = df.columns
+    rows = df.where(F.col(order_col).isNotNull() & F.col(code_col).isNotNull()).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    side = {p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in cols], F.col("_n").alias(f"_n_{p}"),
+                           (F.col(order_col) + d * step).alias("_at"), F.col(code_col).alias("_code"))
+            for d, p in zip((2, 1, 0), names)}
+    first, middle, last = (side[p] for p in names)
+    triples = last.join(middle, ["_at", "_code"]).join(first, ["_at", "_code"])
+    out_cols = [f"{p}_{c}" for p in names for c in cols]
+    many = triples.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"_n_{names[2]}"))))
+    many = many.repartition("_at", "_code", "_i")
+    for j, p in (("_j", names[1]), ("_h", names[0])):
+        many = many.withColumn(j, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(f"_n_{p}"))))
+    return many.orderBy(f"{names[2]}_{order_col}", *out_cols, "_i", "_j", "_h").select(*out_cols)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import money_units, units_to_double
+from ledgerlens.functions.money import money_units, sum_units, units_to_double
 from ledgerlens.functions.status import STATUS_CODES
 
 
@@ -26,7 +26,7 @@ def status_breakdown(df: DataFrame, keys: Sequence[str], status_col: str = "stat
     per_status = (df.select(*keys, F.col(status_col).alias("_status"),
                             money_units(amount_col).alias("_units"))
                   .groupBy(*keys, "_status")
-                  .agg(F.count(F.lit(1)).alias("n"), F.sum("_units").alias("u")))
+                  .agg(F.count(F.lit(1)).alias("n"), sum_units(F.col("_units")).alias("u")))
     wide = per_status.groupBy(*keys).pivot("_status", values).agg(F.first("n").alias("n"),
                                                                    F.first("u").alias("u"))
     counts = [F.coalesce(F.col(f"{code}_n"), F.lit(0)).cast("bigint").alias(cnt)

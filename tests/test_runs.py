@@ -1,14 +1,13 @@
-"""Run counts and the dense index against brute force on small inputs
-(gaps, duplicate keys, a hot key, several index buckets)."""
+"""Run counts against brute force on small inputs (gaps, duplicate keys, a hot
+key, several ranges)."""
 
-import random
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.runs import dense_index, ordered_run_counts, run_counts_by_key, spaced_runs
+from ledgerlens.operators.runs import ordered_run_counts, run_counts_by_key, spaced_runs
 
 
 def brute_by_key(rows, length=3, step=1):
@@ -83,55 +82,57 @@ def test_ordered_runs_ignore_gaps(spark):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from("ab")), min_size=0, max_size=80))
-def test_ordered_runs_random_many_buckets(spark, rows):
+@given(st.lists(st.tuples(st.integers(-20, 40), st.sampled_from("ab")), min_size=0, max_size=80), st.sampled_from([1, 7, 40]))
+def test_ordered_runs_random_many_ranges(spark, rows, ranges):
     df = as_df(spark, rows)
     got = {r.codigo: r.cantidad_veces_seguidos
-           for r in ordered_run_counts(df, "secuencial", "codigo", rows_per_bucket=7).collect()}
+           for r in ordered_run_counts(df, "secuencial", "codigo", ranges=ranges).collect()}
     assert got == brute_ordered(rows)
 
 
-def test_dense_index_matches_row_number(spark):
-    rng = random.Random(7)
-    rows = [(rng.choice([rng.randint(0, 50), 10**12 + rng.randint(0, 5)]), rng.choice("xyz"))
-            for _ in range(400)] + [(25, "x")] * 100
-    df = as_df(spark, rows)
-    idx = dense_index(df, "secuencial", "codigo", rows_per_bucket=37).collect()
-    groups = sorted(Counter(rows).items())
-    pos = 0
-    expect = {}
-    for g, ((k, c), n) in enumerate(groups):
-        expect[(k, c)] = (n, g, pos)
-        pos += n
-    got = {(r.secuencial, r.codigo): (r.n, r.gidx, r.pos) for r in idx}
-    assert got == expect
+def test_ordered_runs_with_null_keys_and_hot_key(spark):
+    rows = [(None, "x")] * 2 + [(3, "x")] * 50 + [(i, "x") for i in range(4, 9)] + [(8, "y"), (9, "x")]
+    got = {r.codigo: r.cantidad_veces_seguidos
+           for r in ordered_run_counts(as_df(spark, rows), "secuencial", "codigo", ranges=6).collect()}
+    seq = [c for _, c in sorted(rows, key=lambda t: (t[0] is not None, t[0] or 0, t[1]))]
+    assert got == {"x": sum(seq[i - 2:i + 1] == ["x"] * 3 for i in range(2, len(seq)))}
 
 
-def test_spaced_runs_rows(spark):
-    rows = [(1, "a"), (3, "a"), (5, "a"), (7, "a"), (2, "b"), (4, "c"), (6, "b")]
-    out = spaced_runs(as_df(spark, rows), "secuencial", "codigo", step=2).collect()
-    assert [tuple(r) for r in out] == [(1, "a", 3, "a", 5, "a"), (3, "a", 5, "a", 7, "a")]
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(-20, 40), st.sampled_from("abc")), min_size=0, max_size=80), st.sampled_from([3, 8]))
+def test_by_key_random_narrow_ranges(spark, rows, width):
+    got = {r.codigo: r.cantidad_veces_seguidos
+           for r in run_counts_by_key(as_df(spark, rows), "secuencial", "codigo", width=width).collect()}
+    assert got == brute_by_key(rows)
 
 
-def test_dense_index_equals_global_row_number_with_nulls(spark):
-    from pyspark.sql import Window
-    rng = random.Random(11)
-    rows = [(rng.choice([None, rng.randint(0, 30)]), rng.choice("pq")) for _ in range(300)]
-    df = as_df(spark, rows)
-    groups = df.groupBy("secuencial", "codigo").count()
-    w = Window.orderBy("secuencial", "codigo")          # one task: fine for a fixture
-    expect = {(r.secuencial, r.codigo): r.g for r in
-              groups.select("secuencial", "codigo", (F.row_number().over(w) - 1).alias("g")).collect()}
-    got = {(r.secuencial, r.codigo): r.gidx
-           for r in dense_index(df, "secuencial", "codigo", rows_per_bucket=40).collect()}
-    assert got == expect
-
-
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from("ab")), min_size=0, max_size=80),
-       st.sampled_from([7, 1000]))
-def test_ordered_runs_with_spread_output(spark, rows, per_bucket):
-    got = {r.codigo: r.cantidad_veces_seguidos
-           for r in ordered_run_counts(as_df(spark, rows), "secuencial", "codigo",
-                                       rows_per_bucket=per_bucket, spread_min_rows=0).collect()}
-    assert got == brute_ordered(rows)
+def test_plans_have_few_exchanges_and_no_single_partition(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+
+    def plan(out):
+        out.collect()
+        return out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+    by_key = plan(run_counts_by_key(df, "event_id", "event_type"))
+    assert by_key.count("Exchange ") <= 3 and "SinglePartition" not in by_key
+    assert "SinglePartition" not in plan(ordered_run_counts(df, "event_id", "event_type"))
+
+
+def test_spaced_runs_rows(spark):
+    rows = [(1, "a"), (3, "a"), (5, "a"), (7, "a"), (2, "b"), (4, "c"), (6, "b")]
+    out = spaced_runs(as_df(spark, rows), "secuencial", "codigo", step=2)
+    assert out.columns == [f"{p}_{c}" for p in ("first", "middle", "last") for c in ("secuencial", "codigo")]
+    assert [tuple(r) for r in out.collect()] == [(1, "a", 3, "a", 5, "a"), (3, "a", 5, "a", 7, "a")]
+
+
+def test_spaced_runs_multiply_duplicates_over_several_tasks(spark):
+    rows = [(2, "a")] * 30 + [(4, "a")] * 5 + [(6, "a")] * 40 + [(8, "b")]
+    out = spaced_runs(as_df(spark, rows), "secuencial", "codigo", step=2)
+    assert out.count() == 30 * 5 * 40
+    key = "spark.sql.adaptive.coalescePartitions.enabled"   # so few rows would be put together again
+    spark.conf.set(key, "false")
+    try:
+        parts = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 30 * 5 * 40
