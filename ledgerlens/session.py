@@ -34,7 +34,8 @@ DEFAULTS = {
 # The plan-time broadcast uses a file-size estimate (compressed bytes), not a
 # proven bound, so it is switched off unless the cluster chose a value other
 # than Spark's default.  Dimension sides are broadcast explicitly after a
-# row-count check (operators.joins.broadcast_if_small).
+# check of rows and bytes (operators.joins.broadcast_if_small).  A cluster that
+# wants Spark's default of 10 MB has to write it in another unit (10240k).
 STATIC_BROADCAST_KEY = "spark.sql.autoBroadcastJoinThreshold"
 SPARK_DEFAULT_STATIC_BROADCAST = ("10485760", "10485760b", "10MB", "10m")
 
@@ -93,12 +94,15 @@ def _local_dir(name: str) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged files and lineage cuts.
 
-    It is the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (a local test session) is a local folder chosen and registered.
+    It is the cluster's ``spark.checkpoint.dir``.  Only a local session that has
+    none gets a local folder; executors on other hosts could not see it, so
+    anywhere else a missing folder is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         root = _local_dir("checkpoints")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -107,6 +111,11 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def is_local(master: str | None) -> bool:
+    """Whether tasks run in the driver's own process (not ``local-cluster``)."""
+    return master is not None and (master == "local" or master.startswith("local["))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch folder."""
     return f"{scratch_root(spark)}/ledgerlens-{name}-{uuid.uuid4().hex[:12]}"

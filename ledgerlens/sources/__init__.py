@@ -1,13 +1,13 @@
 """Readers, writers and the catalog: delimited files, tables, scripts, JDBC, run log."""
 
-from ledgerlens.sources.catalog import append_table, drop_table, publish_table, replace_table, table_roundtrip
-from ledgerlens.sources.csv_loader import detect_separator, infer_types, load_table, load_tables, normalize
+from ledgerlens.sources.catalog import append_table, drop_table, publish_table, table_roundtrip
+from ledgerlens.sources.csv_loader import detect_separator, infer_types, load_table, load_tables
 from ledgerlens.sources.files import read_csv, write_csv
 from ledgerlens.sources.runlog import RunLog
 from ledgerlens.sources.scripts import read_script, run_script
 
 __all__ = [
     "RunLog", "append_table", "detect_separator", "drop_table", "infer_types", "load_table",
-    "load_tables", "normalize", "publish_table", "read_csv", "read_script", "replace_table",
+    "load_tables", "publish_table", "read_csv", "read_script",
     "run_script", "table_roundtrip", "write_csv",
 ]

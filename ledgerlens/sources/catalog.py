@@ -1,22 +1,10 @@
-"""Catalog tables: replace, append, round trip, keyed publication."""
+"""Catalog tables: append, round trip, keyed publication."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-                  mode: str = "overwrite") -> None:
-    """Create or replace ``name`` from the frame's schema and rows (one
-    distributed write; no rows pass through the driver)."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-
-
 def append_table(df: DataFrame, name: str) -> None:
     """Append rows, matching columns by name; creates the table on first use.
     An existing table keeps its own layout (partitioning, format)."""
@@ -33,24 +21,24 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def table_roundtrip(spark: SparkSession, df: DataFrame, name: str,
                     database: str = "default") -> DataFrame:
-    """Select the database, drop the table, save the frame as the table and
-    read it back with ``SELECT *``."""
-    spark.sql(f"USE {database}")
-    drop_table(spark, name)
-    df.write.mode("overwrite").saveAsTable(name)
-    return spark.sql(f"SELECT * FROM {name}")
+    """Select the database, drop the table, save the frame as the table and read it
+    back with ``SELECT *``.  The database is selected in a session of its own: the
+    caller's (and whatever else runs in it) keeps the one it has."""
+    own = spark.newSession()
+    own.sql(f"USE {database}")
+    drop_table(own, name)
+    df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+    return spark.sql(f"SELECT * FROM {database}.{name}")
 
 
-def publish_table(df: DataFrame, name: str, key: str, buckets: int | None = None) -> None:
+def publish_table(df: DataFrame, name: str, key: str, buckets: int) -> None:
     """Store a dataset for keyed access: bucketed and sorted by ``key``.
 
-    Each bucket file is sorted by the key, so an equality or IN filter on the
-    key (pushed into the scan) skips all but a few row groups by their
-    min/max statistics; with a bucketed scan (kept when a join or
-    aggregate uses it, or when ``autoBucketedScan`` is off) only the key's
-    bucket is read.  A join on the key with a table bucketed the same way
-    needs no shuffle on that side.
+    The rows are dealt to the buckets before the write, so every bucket is one
+    file.  Each file is sorted by the key: an equality or IN filter on the key
+    (pushed into the scan) skips all but a few row groups by their min/max
+    statistics, and a bucketed scan reads the key's bucket only.  A join on the
+    key with a table of as many buckets needs no shuffle on that side; the
+    number is the caller's choice because such tables must agree on it.
     """
-    spark = df.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key).saveAsTable(name))
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name))

@@ -2,8 +2,9 @@
 
 Steps for one file (or folder of part files):
 
-1. separator: the header line decides; the first candidate that splits it
-   into more than one column wins, a single-column file is rejected;
+1. separator: the candidates that split the header line into more than one
+   column are tried in order; a file that does not load under one is tried under
+   the next, and rejected if none is left;
 2. read every column as text (no Spark inference pass);
 3. null tokens (the usual spellings of "missing") become NULL;
 4. types: one aggregation over all columns decides, per column, whether
@@ -27,8 +28,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions.names import is_date_column, normalize_column_name, table_name_for
+from ledgerlens.sources.files import FORMAT
 from ledgerlens.sources.runlog import RunLog
 
 SEPARATORS = (",", ";")
@@ -57,23 +60,44 @@ def header_line(spark: SparkSession, path: str, recursive: bool = False) -> str:
     return rows[0][0].lstrip("﻿")
 
 
+def possible_separators(spark: SparkSession, path: str,
+                        candidates: Sequence[str] = SEPARATORS, recursive: bool = False) -> list[str]:
+    """The candidates that split the header into more than one column, in order."""
+    line = header_line(spark, path, recursive)
+    out = [sep for sep in candidates if len(header_fields(line, sep)) > 1]
+    if not out:
+        raise SeparatorError(f"{path}: one column under every separator {list(candidates)}")
+    return out
+
+
 def detect_separator(spark: SparkSession, path: str,
                      candidates: Sequence[str] = SEPARATORS, recursive: bool = False) -> str:
     """First candidate that splits the header into more than one column."""
-    line = header_line(spark, path, recursive)
-    for sep in candidates:
-        fields = next(csv.reader([line], delimiter=sep))
-        if len(fields) > 1:
-            return sep
-    raise SeparatorError(f"{path}: one column under every separator {list(candidates)}")
-
-
-def read_text_table(spark: SparkSession, path: str, sep: str,
-                    null_tokens: Iterable[str] = NULL_TOKENS, recursive: bool = False) -> DataFrame:
-    """All columns as strings; null tokens replaced by NULL."""
-    raw = (spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-           .option("mode", "FAILFAST").option("nullValue", None).option("emptyValue", "")
-           .option("encoding", "UTF-8").option("recursiveFileLookup", recursive).csv(path))
+    return possible_separators(spark, path, candidates, recursive)[0]
+
+
+def header_fields(line: str, sep: str) -> list[str]:
+    return next(csv.reader([line], delimiter=sep))
+
+
+def text_schema(fields: Sequence[str]) -> T.StructType:
+    """The header's columns as text; a blank name is numbered."""
+    return T.StructType([T.StructField(f or f"_c{i}", T.StringType(), True) for i, f in enumerate(fields)])
+
+
+def read_options(sep: str, fields: Sequence[str], recursive: bool = False, multi_line: bool = False) -> dict:
+    """Reader options: malformed rows fail, and so does a file whose header does not
+    name the columns of the first one in the same order (unless a name is blank)."""
+    return {**FORMAT, "sep": sep, "mode": "FAILFAST", "nullValue": None, "emptyValue": "", "multiLine": multi_line,
+            "enforceSchema": not all(fields), "recursiveFileLookup": recursive}
+
+
+def read_text_table(spark: SparkSession, path: str, sep: str, null_tokens: Iterable[str] = NULL_TOKENS,
+                    recursive: bool = False, multi_line: bool = False) -> DataFrame:
+    """All columns as strings; null tokens replaced by NULL.  ``multi_line`` allows
+    line breaks inside quotes; a file is then read by one task."""
+    fields = header_fields(header_line(spark, path, recursive), sep)
+    raw = spark.read.schema(text_schema(fields)).options(**read_options(sep, fields, recursive, multi_line)).csv(path)
     tokens = list(null_tokens)
     return raw.select(*[F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string"))
                         .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
@@ -130,18 +154,28 @@ def _parse_date(raw: Column, tolerant: bool) -> Column:
     return (F.try_to_timestamp(raw) if tolerant else F.to_timestamp(raw)).cast("timestamp_ntz")
 
 
-def normalize(df: DataFrame, types: dict[str, str], tolerant: bool = False) -> DataFrame:
-    """Apply the name and type rules to a text frame."""
-    return df.select(*_normalized_columns(df.columns, types, tolerant))
-
-
 def load_table(spark: SparkSession, path: str, table: str, sep: str | None = None,
-               tolerant: bool = False, null_tokens: Iterable[str] = NULL_TOKENS,
-               partition_by: Sequence[str] | None = None, log: RunLog | None = None) -> dict:
+               log: RunLog | None = None, **opts) -> dict:
     """Load one delimited file/folder into ``table`` (replaced).  Returns
-    ``{"table", "rows", "bad_dates", "separator"}``."""
-    sep = sep or detect_separator(spark, path)
-    text = read_text_table(spark, path, sep, null_tokens)
+    ``{"table", "rows", "bad_dates", "separator"}``.  Without ``sep`` the possible
+    separators are tried in order; options as for ``load_with_separator``."""
+    candidates = [sep] if sep else possible_separators(spark, path)
+    for i, candidate in enumerate(candidates):
+        try:
+            return load_with_separator(spark, path, table, candidate, log=log, **opts)
+        except Exception as exc:
+            if i == len(candidates) - 1:
+                raise
+            if log is not None:
+                log.record("separator rejected", "ok", table, None, f"sep={candidate!r}: {exc}")
+    raise SeparatorError(f"{path}: no separator")
+
+
+def load_with_separator(spark: SparkSession, path: str, table: str, sep: str,
+                        tolerant: bool = False, null_tokens: Iterable[str] = NULL_TOKENS,
+                        partition_by: Sequence[str] | None = None, multi_line: bool = False,
+                        log: RunLog | None = None) -> dict:
+    text = read_text_table(spark, path, sep, null_tokens, multi_line=multi_line)
     date_src = [c for c in text.columns if is_date_column(normalize_column_name(c))]
     # Date-named columns become timestamps whatever they hold: not inferred.
     types = infer_types(text, [c for c in text.columns if c not in date_src])
@@ -198,7 +232,7 @@ def load_tables(spark: SparkSession, folder: str, names: Sequence[str], suffix:
         try:
             return {"name": name, "status": "ok", **load_table(spark, path, table, log=log, **opts)}
         except Exception as exc:  # one bad file must not stop the batch
-            msg = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
+            msg = str(exc) or type(exc).__name__
             if log is not None:
                 log.record("load", "error", table, None, msg)
             return {"name": name, "status": "error", "table": table, "error": msg}

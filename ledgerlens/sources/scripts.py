@@ -24,9 +24,11 @@ def run_script(spark: SparkSession, script_path: str, target: str, log_path: str
                log_table: str | None = None, source_database: str | None = None) -> DataFrame:
     """Run the script against ``source_database`` (or the current one),
     replace ``target`` with the result and log each step.  Returns the
-    target table."""
+    target table (named with its database if ``source_database`` is given); the
+    caller's database stays selected."""
     log = RunLog(spark, log_table, log_path)
     status = "error"
+    before = spark.catalog.currentDatabase()
     try:
         log.record("start", "ok", target, message=f"script={script_path}")
         if source_database:
@@ -40,8 +42,10 @@ def run_script(spark: SparkSession, script_path: str, target: str, log_path: str
         status = "ok"
         return spark.table(target)
     except Exception as exc:
-        log.record("failed", "error", target, message=str(exc).splitlines()[0][:500])
+        log.record("failed", "error", target, message=str(exc))
         raise
     finally:
+        if source_database:
+            spark.catalog.setCurrentDatabase(before)
         log.record("finish", status, target)
         log.close()

@@ -13,13 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.functions.names import is_date_column, normalize_column_name
 from ledgerlens.session import scratch_path
-from ledgerlens.sources.csv_loader import (FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, detect_separator,
-                                           infer_types, read_text_table)
+from ledgerlens.sources.csv_loader import (FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS, detect_separator, header_fields,
+                                           header_line, infer_types, read_options, read_text_table, text_schema)
 from ledgerlens.sources.runlog import RunLog
 
 
@@ -32,35 +31,43 @@ def _cast(c: str, kind: str, tolerant: bool):
     if kind == "string":
         return v.alias(name)
     if kind == "boolean":
-        return (F.when(v.isin(TRUE_TOKENS), F.lit(True))
-                .when(v.isin(FALSE_TOKENS), F.lit(False)).alias(name))
+        known = F.when(v.isin(TRUE_TOKENS), F.lit(True)).when(v.isin(FALSE_TOKENS), F.lit(False)).when(v.isNull(), F.lit(None))
+        return (known if tolerant else known.otherwise(F.raise_error(F.concat(F.lit("not a boolean: "), v)).cast("boolean"))).alias(name)
     return (v.try_cast(kind) if tolerant else v.cast(kind)).alias(name)
 
 
 def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
                            checkpoint: str | None = None, sep: str | None = None,
-                           tolerant: bool = True, available_now: bool = True,
+                           tolerant: bool = False, available_now: bool = True, multi_line: bool = False,
                            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops
-    (run it on a schedule), otherwise it keeps watching the folder."""
-    sep = sep or detect_separator(spark, source_dir, recursive=True)
-    sample = read_text_table(spark, source_dir, sep, recursive=True)
+    (run it on a schedule), otherwise it keeps watching the folder.
+
+    A value that does not fit its column's type fails the stream; with ``tolerant``
+    it becomes NULL and is counted, per column, in the metrics ``misses`` of the
+    stream's progress.  A file whose header differs from the first one's fails."""
+    if sep is None:
+        sep = detect_separator(spark, source_dir, recursive=True)
+    fields = header_fields(header_line(spark, source_dir, recursive=True), sep)
+    columns = text_schema(fields).names
     if spark.catalog.tableExists(table):
         # Schema fixed at creation: later runs cast to the table's types.
         existing = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
-        types = {c: existing.get(normalize_column_name(c), "string") for c in sample.columns}
+        types = {c: existing.get(normalize_column_name(c), "string") for c in columns}
     else:
-        types = infer_types(sample, [c for c in sample.columns
-                                     if not is_date_column(normalize_column_name(c))])
-    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in sample.columns])
-    reader = (spark.readStream.schema(text_schema).option("header", True).option("sep", sep)
-              .option("mode", "FAILFAST").option("recursiveFileLookup", True))
+        sample = read_text_table(spark, source_dir, sep, recursive=True, multi_line=multi_line)
+        types = infer_types(sample, [c for c in columns if not is_date_column(normalize_column_name(c))])
+    reader = spark.readStream.schema(text_schema(fields)).options(**read_options(sep, fields, True, multi_line))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
     cleaned = raw.select(*[F.when(F.col(f"`{c}`").isin(NULL_TOKENS), F.lit(None).cast("string"))
                            .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-    typed = cleaned.select(*[_cast(c, types.get(c, "string"), tolerant) for c in cleaned.columns])
+    both = cleaned.select(*[_cast(c, types.get(c, "string"), tolerant) for c in columns],
+                          *[F.col(f"`{c}`").alias(f"__raw{i}") for i, c in enumerate(columns)])
+    names = [normalize_column_name(c) for c in columns]
+    typed = both.observe("misses", *[F.count_if(F.col(f"__raw{i}").isNotNull() & F.col(f"`{n}`").isNull()).alias(n)
+                                     for i, n in enumerate(names)]).select(*[F.col(f"`{n}`") for n in names])
     writer = (typed.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -69,16 +76,30 @@ def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
 
 def run_incremental_load(spark: SparkSession, source_dir: str, table: str,
                          checkpoint: str, log: RunLog | None = None, **opts) -> int:
-    """One scheduled run: load the files not seen yet, wait, log the number
-    of rows taken in, return it."""
-    # Row counts come from the query's progress entries; keep enough of them
-    # for a run of many micro-batches (the default keeps the last 100).
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    if int(spark.conf.get(key, "100")) < 100_000:
-        spark.conf.set(key, "100000")
-    q = start_incremental_load(spark, source_dir, table, checkpoint, available_now=True, **opts)
-    q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    """One scheduled run: load the files not seen yet, wait, log the rows taken in
+    and the values that did not fit (tolerant), return the rows.
+
+    Rows are counted in the table, before and after.  The misses come from the
+    progress of every batch, which is read while the stream runs; should a batch's
+    progress be gone before it was read, the log says so."""
+    before = spark.table(table).count() if spark.catalog.tableExists(table) else 0
+    query = start_incremental_load(spark, source_dir, table, checkpoint, available_now=True, **opts)
+    seen: dict[int, dict] = {}
+    while True:
+        done = query.awaitTermination(0.2)
+        for p in query.recentProgress:
+            found = (p["observedMetrics"] or {}).get("misses")
+            seen[int(p["batchId"])] = found.asDict() if found else {}
+        if done:
+            break
+    rows = spark.table(table).count() - before
+    misses: dict[str, int] = {}
+    for batch in seen.values():
+        for name, n in batch.items():
+            if n:
+                misses[name] = misses.get(name, 0) + int(n)
+    gone = max(seen) - min(seen) + 1 - len(seen) if seen else 0
     if log is not None:
-        log.record("incremental load", "ok", table, rows, f"batches={len(q.recentProgress)}")
+        log.record("incremental load", "ok", table, rows,
+                   f"batches={len(seen)} misses={misses}" + (f" (progress of {gone} batches not seen)" if gone else ""))
     return rows

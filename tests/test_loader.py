@@ -98,3 +98,35 @@ def test_run_script_failure_is_logged(spark, tmp_path):
     text = open(log_path).read()
     assert "failed" in text and "finish target=never_written status=error" in text
     assert not spark.catalog.tableExists("never_written")
+
+
+def test_quoted_values(spark, tmp_path):
+    p = write(tmp_path / "Quoted.csv", 'id;a\n1;"say ""hi"" bob"\n2;"say ""hi""; bob"\n3;"two\nlines"\n4;"C:\\dir\\"\n')
+    load_table(spark, p, "quoted_values", multi_line=True)
+    rows = [r.a for r in spark.table("quoted_values").orderBy("id").collect()]
+    assert rows == ['say "hi" bob', 'say "hi"; bob', "two\nlines", "C:\\dir\\"]
+
+
+def test_next_separator_is_tried(spark, tmp_path):
+    # the header splits under ',' too, but the rows do not
+    p = write(tmp_path / "Fall.csv", "id;name, first;x\n1;ann;2\n2;bob;3\n")
+    log = RunLog(spark)
+    res = load_table(spark, p, "fall_through", log=log)
+    assert res["separator"] == ";" and res["rows"] == 2
+    assert spark.table("fall_through").columns == ["id", "name,first_t", "x"]
+    assert any(e[2] == "separator rejected" for e in log.entries)
+
+
+def test_part_files_with_another_header_fail(spark, tmp_path):
+    folder = tmp_path / "Parts.csv"
+    folder.mkdir()
+    write(folder / "a.csv", "Id;Qty\n1;10\n")
+    write(folder / "b.csv", "Qty;Id\n77;2\n")
+    with pytest.raises(Exception):
+        load_table(spark, str(folder), "parts_table")
+
+
+def test_error_text_is_whole(spark, tmp_path):
+    write(tmp_path / "Bad.Dates.csv", "A,Some Date\n1,no date at all\n")
+    (res,) = load_tables(spark, str(tmp_path), ["Bad.Dates"])
+    assert res["status"] == "error" and "no date at all" in res["error"]

@@ -1,6 +1,8 @@
 """Session settings the reports rely on, and where scratch files go."""
 
-from ledgerlens.session import configure, scratch_path, scratch_root
+import pytest
+
+from ledgerlens.session import configure, is_local, scratch_path, scratch_root
 
 
 def test_configure_pins_zone_and_static_broadcast(spark):
@@ -27,3 +29,22 @@ def test_scratch_goes_below_the_checkpoint_dir(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root.rstrip("/") + "/") and a != b
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")

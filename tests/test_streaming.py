@@ -1,6 +1,10 @@
 """Incremental load: files present at start, then a new file; each row is
 taken in exactly once across runs."""
 
+import pytest
+
+from ledgerlens.sources.runlog import RunLog
+
 
 def write(path, text):
     with open(path, "w", encoding="utf-8") as fh:
@@ -18,7 +22,11 @@ def test_incremental_load_appends_new_files_once(spark, tmp_path):
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     assert run_incremental_load(spark, str(src), table, ckpt) == 2
     write(src / "part2.csv", "Order ID;Customer Name;Order Date;Total\n3;cy;bad date;4\n")
-    assert run_incremental_load(spark, str(src), table, ckpt) == 1
+    with pytest.raises(Exception):
+        run_incremental_load(spark, str(src), table, ckpt)      # strict: a bad value fails
+    log = RunLog(spark)
+    assert run_incremental_load(spark, str(src), table, ckpt, log=log, tolerant=True) == 1
+    assert "misses={'orderdate': 1}" in log.entries[-1][-1]
     assert run_incremental_load(spark, str(src), table, ckpt) == 0
     df = spark.table(table)
     assert df.columns == ["orderid", "customername_t", "orderdate", "total"]
@@ -38,3 +46,24 @@ def test_incremental_load_counts_rows_over_many_batches(spark, tmp_path):
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     rows = run_incremental_load(spark, str(src), table, str(tmp_path / "ck"), max_files_per_trigger=1)
     assert rows == 12 == spark.table(table).count()
+
+
+def test_values_and_headers_that_do_not_fit_fail(spark, tmp_path):
+    from ledgerlens.streaming import run_incremental_load
+
+    src, table, ckpt = tmp_path / "in", "streamed_strict", str(tmp_path / "ck")
+    src.mkdir()
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    write(src / "a.csv", 'Id;Qty;Label\n1;10;"say ""hi"" bob"\n2;20;"C:\\dir\\"\n')
+    assert run_incremental_load(spark, str(src), table, ckpt) == 2
+    assert [r.label for r in spark.table(table).orderBy("id").collect()] == ['say "hi" bob', "C:\\dir\\"]
+    write(src / "b.csv", "Id;Qty;Label\n3;3.5;x\n4;12 units;y\n")
+    with pytest.raises(Exception):
+        run_incremental_load(spark, str(src), table, ckpt)
+    log = RunLog(spark)
+    assert run_incremental_load(spark, str(src), table, ckpt, log=log, tolerant=True) == 2
+    assert "misses={'qty': 2}" in log.entries[-1][-1]
+    write(src / "c.csv", "Qty;Id;Label\n77;2;y\n")
+    with pytest.raises(Exception):
+        run_incremental_load(spark, str(src), table, ckpt, tolerant=True)
+    assert spark.table(table).count() == 4
