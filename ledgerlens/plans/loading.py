@@ -1,86 +1,174 @@
 """Loading, script, catalog and lookup jobs over the test tables.
 
 Each stages or reads whole tables, so its work grows with the data.  Staged
-files go below the shared scratch folder (``spark.checkpoint.dir``); tables
-go to the ``ledgerlens_stage`` database of the session catalog, away from the
-temp views that scripts use.
+files go below the shared scratch folder (``spark.checkpoint.dir``); every run
+has a database of its own there, so runs neither meet an earlier session's
+tables nor each other's.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
+from ledgerlens.functions.dates import parse_timestamps
 from ledgerlens.operators.lookup import key_set, lookup
-from ledgerlens.plans.reports import last_months_cutoff, monthly_status_report
-from ledgerlens.session import scratch_path
-from ledgerlens.sources.catalog import publish_table, table_roundtrip
+from ledgerlens.plans.reports import last_months_cutoff, monthly_status, monthly_status_report
+from ledgerlens.session import configure, scratch_path
+from ledgerlens.sources.catalog import append_table, publish_table, table_roundtrip
 from ledgerlens.sources.csv_loader import load_tables
 from ledgerlens.sources.files import read_csv, write_csv
 from ledgerlens.sources.runlog import RunLog
 from ledgerlens.sources.scripts import run_script
 
-STAGE_DB = "ledgerlens_stage"
 SQL_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "sql")
 
+#: Buckets of the published customers.
+CUSTOMER_BUCKETS = 8
 
-def _stage_db(spark: SparkSession) -> str:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_DB}")
-    return STAGE_DB
+
+def stage_db(spark: SparkSession) -> str:
+    """A new database of this run, located below the shared scratch folder."""
+    name = f"ledgerlens_{uuid.uuid4().hex[:16]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'db')}'")
+    return name
 
 
 def header_source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order header with its territory, with source-style column names."""
-    header = T.sales_header(spark, sf_dir)
-    cust = T.customer(spark, sf_dir).select("customerid", "territoryid")
-    return header.join(cust, "customerid", "inner").select(
+    """The order header with its territory, with source-style column names and a
+    remark that holds quotes, separators, a backslash or a null token."""
+    header = T.header_with_territory(spark, sf_dir)
+    remark = F.element_at(F.array(*map(F.lit, REMARKS)), F.pmod("salesorderid", F.lit(len(REMARKS))).cast("int") + 1)
+    return header.select(
         F.col("salesorderid").alias("SalesOrderID"), F.col("customerid").alias("CustomerID"),
         F.col("territoryid").alias("TerritoryID"), F.col("orderdate").alias("OrderDate"),
         F.col("status").alias("Status"), F.col("subtotal").alias("SubTotal"),
-        F.col("totaldue").alias("TotalDue"))
+        F.col("totaldue").alias("TotalDue"), remark.alias("Remark"))
 
 
-def stage_source_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
-    """Write the order header (';'-separated) and the territory table
-    (','-separated) as delimited files with source-style column names."""
-    write_csv(header_source_rows(spark, sf_dir), f"{folder}/Sales.SalesOrderHeader.csv", sep=";")
-    terr = T.territory(spark, sf_dir).select(
-        F.col("territoryid").alias("TerritoryID"), F.col("name_t").alias("Name"),
-        F.col("group_t").alias("Group"))
-    write_csv(terr, f"{folder}/Sales.SalesTerritory.csv", sep=",")
-    return ["Sales.SalesOrderHeader", "Sales.SalesTerritory"]
+REMARKS = ['plain', 'said "hi", left', 'a;b,c', 'NA', 'C:\\dir\\']
 
 
-def load_normalized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage the header and territory files, load both with separator
-    detection and the name/type rules, return the loaded header table."""
-    db = _stage_db(spark)
+def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
+    """Source file name -> rows with source-style column names, and separator."""
+    terr = T.territory(spark, sf_dir).select(
+        F.col("territoryid").alias("TerritoryID"), F.col("name_t").alias("Name"), F.col("group_t").alias("Group"))
+    named = {
+        "Person.Person": (T.person(spark, sf_dir).select(F.col("businessentityid").alias("Business Entity ID"), F.col("title").alias("Title"),
+                                                         F.col("firstname_t").alias("FirstName")), ","),
+        "Production.Product": (T.product(spark, sf_dir).select(F.col("productid").alias("ProductID"), F.col("name_t").alias("Name")), ","),
+        "Sales.Customer": (T.customer(spark, sf_dir).select(F.col("customerid").alias("CustomerID"), F.col("personid").alias("PersonID"),
+                                                            F.col("territoryid").alias("TerritoryID")), ";"),
+        "Sales.SalesOrderDetail": (T.sales_detail(spark, sf_dir).select(
+            F.col("salesorderid").alias("SalesOrderID"), F.col("productid").alias("ProductID"), F.col("orderqty").alias("OrderQty")), ";"),
+        "Secuenciales": (T.sequence(spark, sf_dir).select(F.col("secuencial").alias("Secuencial"), F.col("codigo").alias("Codigo")), ","),
+        "Sales.SalesOrderHeader": (header_source_rows(spark, sf_dir), ";"),
+        "Sales.SalesTerritory": (terr, ","),
+    }
+    return named
+
+
+def load_source_files(spark: SparkSession, sf_dir: str, db: str, names: list[str]) -> list[dict]:
+    """Stage the named tables as delimited files and load them into ``db``; a name
+    without a table has no file."""
     folder = scratch_path(spark, "load")
-    names = stage_source_files(spark, sf_dir, folder)
+    staged = source_tables(spark, sf_dir)
+    for name in names:
+        if name in staged:
+            rows, sep = staged[name]
+            write_csv(rows, f"{folder}/{name}.csv", sep=sep)
     log = RunLog(spark, f"{db}.run_log")
-    results = load_tables(spark, folder, names, database=db, log=log)
-    log.close()
+    try:
+        return load_tables(spark, folder, names, database=db, log=log)
+    finally:
+        log.close()
+
+
+def loaded(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
+    """The named tables after staging and loading; a failed load raises."""
+    db = stage_db(spark)
+    results = load_source_files(spark, sf_dir, db, names)
     failed = [r for r in results if r["status"] != "ok"]
     if failed:
         raise RuntimeError(f"load failed: {failed}")
-    return spark.table(f"{db}.sales_salesorderheader")
+    return {r["name"]: spark.table(r["table"]) for r in results}
+
+
+def load_normalized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage the header (';') and territory (',') files, load both with separator
+    detection and the name/type rules, return the header rows with their territory's."""
+    got = loaded(spark, sf_dir, ["Sales.SalesOrderHeader", "Sales.SalesTerritory"])
+    return got["Sales.SalesOrderHeader"].join(got["Sales.SalesTerritory"], "territoryid", "left")
+
+
+def monthly_status_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the header and territory files, then the monthly status report over the
+    loaded tables (the order's own territory)."""
+    got = loaded(spark, sf_dir, ["Sales.SalesOrderHeader", "Sales.SalesTerritory"])
+    return monthly_status(got["Sales.SalesOrderHeader"], got["Sales.SalesTerritory"])
+
+
+def load_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all eight source tables, one of which has no file and is skipped: a row
+    per table with its status and the rows found in the catalog."""
+    db = stage_db(spark)
+    results = load_source_files(spark, sf_dir, db, ["datos_base_clientes", *source_tables(spark, sf_dir)])
+    parts = []
+    for r in results:
+        rows = (spark.table(r["table"]).agg(F.count(F.lit(1)).alias("n_rows")) if r["status"] == "ok"
+                else spark.range(1).select(F.lit(None).cast("bigint").alias("n_rows")))
+        parts.append(rows.select(F.lit(r["name"]).alias("name"), F.lit(r["status"]).alias("status"), "n_rows"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def run_codes_script(spark: SparkSession, sf_dir: str) -> str:
+    """Run the consecutive-codes script over the report views into a table of this
+    run; returns the database.  The views live in a session of their own."""
+    own = configure(spark.newSession())
+    db = stage_db(spark)
+    T.register_views(own, sf_dir)
+    run_script(own, os.path.join(SQL_DIR, "consecutive_code_counts.sql"), f"{db}.resultado_script", log_table=f"{db}.run_log")
+    return db
 
 
 def script_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the consecutive-codes script file over the report views into a
-    result table, logging each step; return the result table."""
-    db = _stage_db(spark)
-    T.register_views(spark, sf_dir)
-    return run_script(spark, os.path.join(SQL_DIR, "consecutive_code_counts.sql"),
-                      f"{db}.resultado_script", log_table=f"{db}.run_log")
+    """Run a script file into a result table, logging each step; return the table."""
+    return spark.table(f"{run_codes_script(spark, sf_dir)}.resultado_script")
+
+
+def script_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The steps that the run log of such a run holds, in order."""
+    log = spark.table(f"{run_codes_script(spark, sf_dir)}.run_log")
+    return log.select("step", "status", F.col("rows").alias("n_rows"), F.element_at(F.split("target", r"\."), -1).alias("target"))
 
 
 def customer_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer table -> session catalog (dropped first) -> SELECT *."""
-    return table_roundtrip(spark, T.read(spark, sf_dir, "customer"), "ledgerlens_customer", "default")
+    return table_roundtrip(spark, T.read(spark, sf_dir, "customer"), "customer_copy", stage_db(spark))
+
+
+def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the customers to a new table in two parts, the second with its columns
+    in another order; return the table."""
+    rows = T.read(spark, sf_dir, "customer")
+    name = f"{stage_db(spark)}.customer_parts"
+    append_table(rows.where("c_custkey % 2 = 0"), name)
+    append_table(rows.where("c_custkey % 2 <> 0").select(*reversed(rows.columns)), name)
+    return spark.table(name)
+
+
+def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose date went through text and back, with the key as text."""
+    orders = T.sales_header(spark, sf_dir).select(
+        F.col("salesorderid").cast("string").alias("order_text"), F.date_format("orderdate", "yyyy-MM-dd HH:mm:ss").alias("orderdate"))
+    return parse_timestamps(orders, ["orderdate"])
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,22 +182,22 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_sort_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Not-equal and later-than filter, highest value first: events other
-    than 'view' after 2024-01-15 (both predicates reach the Parquet scan)."""
+    """Not-equal and later-than filter, highest value first (ties: event id): events
+    other than 'view' after 2024-01-15 (both predicates reach the Parquet scan)."""
     ev = T.read(spark, sf_dir, "events")
     return (ev.where((F.col("event_type") != "view")
                      & (F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")))
             .select("event_id", "event_type", F.to_date("ts").alias("event_date"), "value")
-            .orderBy(F.col("value").desc()))
+            .orderBy(F.col("value").desc(), "event_id"))
 
 
 def customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish the customers keyed by c_custkey, then look up every customer
     who ordered in the latest month: their customer row and all their
     orders."""
-    db = _stage_db(spark)
-    publish_table(T.read(spark, sf_dir, "customer"), f"{db}.customer_by_key", "c_custkey")
-    published = spark.table(f"{db}.customer_by_key")
+    name = f"{stage_db(spark)}.customer_by_key"
+    publish_table(T.read(spark, sf_dir, "customer"), name, "c_custkey", CUSTOMER_BUCKETS)
+    published = spark.table(name)
     orders = T.read(spark, sf_dir, "orders")
     cutoff = last_months_cutoff(T.sales_header(spark, sf_dir), 1)
     recent = orders.where(F.col("o_orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
@@ -129,20 +217,20 @@ def incremental_header_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     streaming loader.  Returns the loaded table (all orders, each once)."""
     from ledgerlens.streaming import run_incremental_load
 
-    db = _stage_db(spark)
+    db = stage_db(spark)
     table = f"{db}.sales_salesorderheader_stream"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
     inbox = scratch_path(spark, "inbox")
     checkpoint = scratch_path(spark, "inbox-checkpoint")
-    rows = header_source_rows(spark, sf_dir)
     # Middle month of the orders (month index median, one value).
-    mi = rows.agg(F.percentile_approx(F.year("OrderDate") * 12 + F.month("OrderDate") - 1, 0.5)).first()[0]
-    middle = f"{mi // 12:04d}-{mi % 12 + 1:02d}"
-    cut = F.lit(f"{middle}-01").cast("timestamp_ntz")
+    mi = T.sales_header(spark, sf_dir).agg(F.percentile_approx(F.year("orderdate") * 12 + F.month("orderdate") - 1, 0.5)).first()[0]
+    cut = F.lit(f"{mi // 12:04d}-{mi % 12 + 1:02d}-01").cast("timestamp_ntz")
+    staged = scratch_path(spark, "header")
+    header_source_rows(spark, sf_dir).drop("Remark").write.parquet(staged)
+    rows = spark.read.parquet(staged)
     log = RunLog(spark, f"{db}.run_log")
     write_csv(rows.where(F.col("OrderDate") < cut), f"{inbox}/batch1", sep=";")
     run_incremental_load(spark, inbox, table, checkpoint, log=log)
-    write_csv(rows.where(F.col("OrderDate") >= cut), f"{inbox}/batch2", sep=";")
+    write_csv(rows.where(~(F.col("OrderDate") < cut) | F.col("OrderDate").isNull()), f"{inbox}/batch2", sep=";")
     run_incremental_load(spark, inbox, table, checkpoint, log=log)
     log.close()
     return spark.table(table)

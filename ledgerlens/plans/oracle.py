@@ -1,282 +1,191 @@
 """DuckDB SQL for each registered query: the independent cross-check.
 
-The driver runs these on the same Parquet tables (registered as views under
-their file names) and compares row counts, column names and values with the
-Spark results.  Every computed column carries the same alias as on the Spark
-side.  Amount sums go through DECIMAL(18,4) on both sides so that they do not
-depend on summation order.
+The statements are written from the reports' descriptions in forms that the Spark
+side does not use: totals as windows over the orders, the best three as a sorted
+list, runs as counts over ranges of the key.  Every computed column carries the
+same alias as on the Spark side.  Amounts are added as decimals, so that sums do
+not depend on their order.
 """
 
 from __future__ import annotations
 
 from ledgerlens.functions.status import STATUS_CODES
 
-# Report-schema views over the test tables, written as DuckDB CTEs.
-HEADER = """header AS (
-  SELECT o_orderkey AS salesorderid, o_custkey AS customerid, o_orderdate AS orderdate,
-         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS status,
-         o_totalprice AS totaldue, o_totalprice AS subtotal
+# The report schema over the test tables: orders with month, status and territory.
+SALES = """sales AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS ordered, strftime(o_orderdate, '%Y-%m') AS mes,
+         left(o_orderpriority, 1)::INTEGER AS status, o_totalprice::DECIMAL(18,4) AS amount
   FROM orders)"""
-TERRITORY = """territory AS (
-  SELECT n_nationkey AS territoryid, n_name AS name_t, r_name AS group_t
-  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
-ORDERS_T = """ot AS (
-  SELECT h.*, t.name_t, t.group_t, strftime(h.orderdate, '%Y-%m') AS mes
-  FROM header h JOIN customer c ON h.customerid = c.c_custkey
-  JOIN territory t ON c.c_nationkey = t.territoryid)"""
-
-
-def _status_cols(status: str = "status", amount: str = "totaldue") -> str:
-    counts = [f"CAST(sum(CASE WHEN {status} = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {cnt}"
-              for code, _, cnt, _ in STATUS_CODES]
-    amounts = [f"CAST(sum(CASE WHEN {status} = {code} THEN CAST({amount} AS DECIMAL(18,4)) "
-               f"ELSE CAST(0 AS DECIMAL(18,4)) END) AS DOUBLE) AS {amt}"
-               for code, _, _, amt in STATUS_CODES]
-    return ",\n  ".join(counts + amounts)
+PLACED = """placed AS (
+  SELECT sales.*, n_name AS territory, r_name AS territory_group
+  FROM region, nation, customer, sales
+  WHERE customer_id = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey)"""
 
+STATUS_COLUMNS = ",\n       ".join(
+    [f"count(*) FILTER (status = {code}) AS {n}" for code, _, n, _ in STATUS_CODES]
+    + [f"coalesce(sum(amount) FILTER (status = {code}), 0)::DOUBLE AS {a}" for code, _, _, a in STATUS_CODES])
 
 MONTHLY_STATUS_REPORT = f"""
-WITH {HEADER}, {TERRITORY}, {ORDERS_T}
-SELECT mes, name_t AS nombreterritorio,
-  {_status_cols()}
-FROM ot
-GROUP BY mes, name_t
+WITH {SALES}, {PLACED}
+SELECT mes, territory AS nombreterritorio,
+       {STATUS_COLUMNS}
+FROM placed GROUP BY ALL
 """
 
-PERSON = """person AS (
-  SELECT c_custkey AS businessentityid, nullif(c_mktsegment, 'MACHINERY') AS title,
-         c_name AS firstname_t, '' AS middlename_t, '' AS lastname_t
-  FROM customer)"""
-
-PRODUCTS_RANKED = """products_ranked AS (
-  SELECT mes, producto,
-         row_number() OVER (PARTITION BY mes ORDER BY qty DESC, producto ASC NULLS LAST) AS rn
-  FROM (
-    SELECT strftime(hdr.orderdate, '%Y-%m') AS mes, prod.p_name AS producto, sum(line.l_quantity) AS qty
-    FROM header hdr
-    JOIN lineitem line ON hdr.salesorderid = line.l_orderkey
-    JOIN part prod ON prod.p_partkey = line.l_partkey
-    JOIN customer cust ON cust.c_custkey = hdr.customerid
-    WHERE hdr.status = 5
-    GROUP BY 1, 2) x)"""
-
-CUSTOMERS_RANKED = """customers_ranked AS (
-  SELECT mes, cliente,
-         row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, cliente ASC NULLS LAST) AS rn
-  FROM (
-    SELECT strftime(hdr.orderdate, '%Y-%m') AS mes,
-           pers.title || '' || pers.firstname_t || '' || pers.middlename_t || '' || pers.lastname_t AS cliente,
-           sum(CAST(hdr.totaldue AS DECIMAL(18,4))) AS total
-    FROM header hdr
-    JOIN lineitem line ON hdr.salesorderid = line.l_orderkey
-    JOIN customer cust ON cust.c_custkey = hdr.customerid
-    JOIN person pers ON pers.businessentityid = cust.c_custkey
-    WHERE hdr.status = 5
-    GROUP BY 1, 2) x)"""
-
-PRODUCTS_WIDE = """products_wide AS (
-  SELECT mes,
-         max(CASE WHEN rn = 1 THEN producto END) AS producto_n1,
-         max(CASE WHEN rn = 2 THEN producto END) AS producto_n2,
-         max(CASE WHEN rn = 3 THEN producto END) AS producto_n3
-  FROM products_ranked WHERE rn <= 3 GROUP BY mes)"""
-
-CUSTOMERS_WIDE = """customers_wide AS (
-  SELECT mes,
-         max(CASE WHEN rn = 1 THEN cliente END) AS cliente_n1,
-         max(CASE WHEN rn = 2 THEN cliente END) AS cliente_n2,
-         max(CASE WHEN rn = 3 THEN cliente END) AS cliente_n3
-  FROM customers_ranked WHERE rn <= 3 GROUP BY mes)"""
-
-TOP_PRODUCTS_MONTHLY = f"""
-WITH {HEADER}, {PRODUCTS_RANKED}, {PRODUCTS_WIDE}
-SELECT * FROM products_wide
-"""
-
-TOP_CUSTOMERS_MONTHLY_PER_LINE = f"""
-WITH {HEADER}, {PERSON}, {CUSTOMERS_RANKED}, {CUSTOMERS_WIDE}
-SELECT * FROM customers_wide
+CATEGORY_PIVOT_ONEHOT = f"""
+WITH {SALES}
+SELECT mes, {", ".join(f"count_if(status = {code})::BIGINT AS {n}" for code, _, n, _ in STATUS_CODES)}
+FROM sales GROUP BY mes
+"""
+
+# Shipped orders of known customers; a name is missing if any of its parts is.
+SHIPPED = f"""{SALES},
+shipped AS (
+  SELECT sales.*, c_name, c_mktsegment,
+         if(c_mktsegment <> 'MACHINERY', concat(c_mktsegment, c_name), NULL) AS glued,
+         concat_ws(' ', nullif(c_mktsegment, 'MACHINERY'), c_name) AS spaced
+  FROM sales JOIN customer ON customer_id = c_custkey WHERE status = 5)"""
+
+
+def best_three(table: str, name: str, order: str, prefix: str) -> str:
+    """The first three names of each month, from a sorted list of all."""
+    return f"""(SELECT mes, best[1] AS {prefix}_n1, best[2] AS {prefix}_n2, best[3] AS {prefix}_n3
+  FROM (SELECT mes, list({name} ORDER BY {order}) AS best FROM {table} GROUP BY mes))"""
+
+
+UNITS = """units AS (
+  SELECT mes, p_name, sum(l_quantity) AS n FROM shipped, lineitem, part
+  WHERE l_orderkey = order_id AND l_partkey = p_partkey GROUP BY ALL)"""
+# An order counts once for each of its lines.
+LINE_AMOUNTS = """line_amounts AS (
+  SELECT mes, glued, sum(amount * n_lines) AS total
+  FROM shipped JOIN (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1) ON l_orderkey = order_id
+  GROUP BY ALL)"""
+BEST_PRODUCTS = best_three("units", "p_name", "n DESC, p_name NULLS LAST", "producto")
+BEST_CUSTOMERS = best_three("line_amounts", "glued", "total DESC, glued NULLS LAST", "cliente")
+
+TOP_PRODUCTS_MONTHLY = f"WITH {SHIPPED}, {UNITS} FROM {BEST_PRODUCTS}"
+TOP_CUSTOMERS_MONTHLY_PER_LINE = f"WITH {SHIPPED}, {LINE_AMOUNTS} FROM {BEST_CUSTOMERS}"
+TOP3_PRODUCTS_CUSTOMERS = f"WITH {SHIPPED}, {UNITS}, {LINE_AMOUNTS} SELECT * FROM {BEST_PRODUCTS} JOIN {BEST_CUSTOMERS} USING (mes)"
+TOP_CUSTOMERS_MONTHLY = f"""
+WITH {SHIPPED},
+totals AS (SELECT mes, customer_id, any_value(spaced) AS spaced, sum(amount) AS total FROM shipped GROUP BY mes, customer_id)
+FROM {best_three("totals", "spaced", "total DESC, customer_id", "cliente")}
 """
 
-TOP3_PRODUCTS_CUSTOMERS = f"""
-WITH {HEADER}, {PERSON}, {PRODUCTS_RANKED}, {PRODUCTS_WIDE}, {CUSTOMERS_RANKED}, {CUSTOMERS_WIDE}
-SELECT p.mes, p.producto_n1, p.producto_n2, p.producto_n3,
-       c.cliente_n1, c.cliente_n2, c.cliente_n3
-FROM products_wide p JOIN customers_wide c ON c.mes = p.mes
-"""
 
-TOP_CUSTOMERS_MONTHLY = f"""
-WITH {HEADER}, {PERSON},
-per_customer AS (
-  SELECT strftime(hdr.orderdate, '%Y-%m') AS mes, hdr.customerid,
-         sum(CAST(hdr.totaldue AS DECIMAL(18,4))) AS total
-  FROM header hdr JOIN customer cust ON cust.c_custkey = hdr.customerid
-  WHERE hdr.status = 5
-  GROUP BY 1, 2),
-named AS (
-  SELECT pc.*, concat_ws(' ', pers.title, nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
-                         nullif(pers.lastname_t, '')) AS nombre
-  FROM per_customer pc JOIN customer cust ON cust.c_custkey = pc.customerid
-  JOIN person pers ON pers.businessentityid = cust.c_custkey),
-ranked AS (
-  SELECT mes, nombre,
-         row_number() OVER (PARTITION BY mes ORDER BY total DESC NULLS FIRST, customerid ASC) AS rn
-  FROM named)
-SELECT mes,
-       max(CASE WHEN rn = 1 THEN nombre END) AS cliente_n1,
-       max(CASE WHEN rn = 2 THEN nombre END) AS cliente_n2,
-       max(CASE WHEN rn = 3 THEN nombre END) AS cliente_n3
-FROM ranked WHERE rn <= 3 GROUP BY mes
+def against_everyone(grain: str, diff: str, names: tuple[str, str, str], where: str = "") -> str:
+    """Average of a group and of its whole month, both as windows over the orders."""
+    month, group, label = names
+    mean = lambda over: f"sum(amount) OVER (PARTITION BY {over})::DOUBLE / count(amount) OVER (PARTITION BY {over})"
+    return f"""
+WITH {SALES}, {PLACED},
+averaged AS (
+  SELECT DISTINCT mes, {grain}, {mean(f"mes, {grain}")} AS own, {mean("mes")} AS everyone FROM placed {where})
+SELECT mes AS {month}, {grain} AS {group}, everyone AS monthavg, {diff} AS diff,
+       ['Below', 'Equal', 'Above'][sign({diff})::INTEGER + 2] AS {label}
+FROM averaged
 """
 
-# Two scans joined on the month, as the source writes it.
-TERRITORY_VS_ORG_AVG = f"""
-WITH {HEADER}, {TERRITORY}, {ORDERS_T},
-by_territory AS (
-  SELECT mes, name_t,
-         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS avg_subtotal
-  FROM ot GROUP BY mes, name_t),
-by_month AS (
-  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS avg_subtotal
-  FROM ot GROUP BY mes)
-SELECT by_territory.mes, by_territory.name_t AS nombreterritorio, by_month.avg_subtotal AS monthavg,
-       by_month.avg_subtotal - by_territory.avg_subtotal AS diff,
-       CASE WHEN by_month.avg_subtotal - by_territory.avg_subtotal > 0 THEN 'Above'
-            WHEN by_month.avg_subtotal - by_territory.avg_subtotal = 0 THEN 'Equal'
-            ELSE 'Below' END AS indicador
-FROM by_territory JOIN by_month ON by_territory.mes = by_month.mes
-"""
 
-GROUP_VS_ORG_AVG_LAST6 = f"""
-WITH {HEADER}, {TERRITORY}, {ORDERS_T},
-last6 AS (
-  SELECT DISTINCT strftime(orderdate, '%Y-%m') AS mes FROM header ORDER BY mes DESC LIMIT 6),
-grp AS (
-  SELECT mes, group_t,
-         CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS a
-  FROM ot WHERE mes IN (SELECT mes FROM last6) GROUP BY mes, group_t),
-org AS (
-  SELECT mes, CAST(sum(CAST(subtotal AS DECIMAL(18,4))) AS DOUBLE) / count(subtotal) AS a
-  FROM ot WHERE mes IN (SELECT mes FROM last6) GROUP BY mes)
-SELECT grp.mes AS ordermonth, grp.group_t AS territorygroup, org.a AS monthavg,
-       grp.a - org.a AS diff,
-       CASE WHEN grp.a - org.a > 0 THEN 'Above' WHEN grp.a - org.a = 0 THEN 'Equal'
-            ELSE 'Below' END AS indicator
-FROM grp JOIN org ON grp.mes = org.mes
-"""
+TERRITORY_VS_ORG_AVG = against_everyone("territory", "everyone - own", ("mes", "nombreterritorio", "indicador"))
+GROUP_VS_ORG_AVG_LAST6 = against_everyone(
+    "territory_group", "own - everyone", ("ordermonth", "territorygroup", "indicator"),
+    "WHERE mes >= (SELECT list(DISTINCT mes ORDER BY mes DESC)[6] FROM sales)")
 
-SEQ = """seq AS (SELECT event_id AS secuencial, event_type AS codigo FROM events)"""
+# Rows of one key and code, counted.
+COUNTED = "counted AS (SELECT event_id AS k, event_type AS codigo, count(*) AS n FROM events GROUP BY ALL)"
 
-# The self-join form of the source.
 CONSECUTIVE_CODE_COUNTS = f"""
-WITH {SEQ}
-SELECT s.codigo,
-       CAST(sum(CASE WHEN s.codigo = d.codigo AND d.codigo = f.codigo THEN 1 ELSE 0 END) AS BIGINT)
-         AS cantidad_veces_seguidos
-FROM seq s
-JOIN seq d ON s.secuencial = d.secuencial + 1
-JOIN seq f ON s.secuencial = f.secuencial + 2
-GROUP BY s.codigo
-ORDER BY cantidad_veces_seguidos DESC
-"""
-
-# A global window (fine for a check at small scale).
-CONSECUTIVE_CODES = f"""
-WITH {SEQ},
-o AS (
-  SELECT codigo,
-         lag(codigo, 1) OVER (ORDER BY secuencial, codigo) AS p1,
-         lag(codigo, 2) OVER (ORDER BY secuencial, codigo) AS p2
-  FROM seq)
-SELECT codigo, CAST(count(*) AS BIGINT) AS cantidad_veces_seguidos
-FROM o WHERE codigo = p1 AND p1 = p2
-GROUP BY codigo
+WITH {COUNTED},
+looking_back AS (
+  SELECT codigo, n,
+         sum(n) OVER (own RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS n1,
+         sum(n) OVER (own RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING) AS n2,
+         count(*) OVER (ORDER BY k RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS any1,
+         count(*) OVER (ORDER BY k RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING) AS any2
+  FROM counted WINDOW own AS (PARTITION BY codigo ORDER BY k))
+SELECT codigo, sum(n * coalesce(n1 * n2, 0))::BIGINT AS cantidad_veces_seguidos
+FROM looking_back WHERE any1 > 0 AND any2 > 0 GROUP BY codigo
+"""
+
+# Runs as islands: the place in the whole order less the place among the code's rows.
+CONSECUTIVE_CODES = """
+WITH placed AS (
+  SELECT event_type AS codigo, row_number() OVER (ORDER BY event_id, event_type)
+         - row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS island
+  FROM events),
+runs AS (SELECT codigo, island, count(*) AS n FROM placed GROUP BY ALL)
+SELECT codigo, sum(n - 2)::BIGINT AS cantidad_veces_seguidos FROM runs WHERE n >= 3 GROUP BY codigo
 """
 
 SPACED_CODE_RUNS = f"""
-WITH {SEQ}
-SELECT f.secuencial AS f_secuencial, f.codigo AS f_codigo,
-       d.secuencial AS d_secuencial, d.codigo AS d_codigo,
-       s.secuencial AS s_secuencial, s.codigo AS s_codigo
-FROM seq s
-JOIN seq d ON s.secuencial = d.secuencial + 2
-JOIN seq f ON s.secuencial = f.secuencial + 4
-WHERE s.codigo = f.codigo AND f.codigo = d.codigo
-ORDER BY s.secuencial ASC
+WITH {COUNTED},
+triples AS (
+  SELECT k, codigo, n * sum(n) OVER (own RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING)
+         * sum(n) OVER (own RANGE BETWEEN 4 PRECEDING AND 4 PRECEDING) AS times
+  FROM counted WINDOW own AS (PARTITION BY codigo ORDER BY k))
+SELECT k - 4 AS first_secuencial, codigo AS first_codigo, k - 2 AS middle_secuencial, codigo AS middle_codigo,
+       k AS last_secuencial, codigo AS last_codigo
+FROM (SELECT k, codigo, unnest(range(times::BIGINT)) FROM triples WHERE times > 0)
 """
 
-NAMES = """names AS (
-  SELECT cust.c_custkey AS customerid,
-         concat_ws(' ', pers.title, nullif(pers.firstname_t, ''), nullif(pers.middlename_t, ''),
-                   nullif(pers.lastname_t, '')) AS nombre
-  FROM customer cust JOIN person pers ON pers.businessentityid = cust.c_custkey)"""
-
 PURCHASE_RECENCY = f"""
-WITH {HEADER}, {PERSON}, {NAMES},
-h AS (
-  SELECT customerid, salesorderid, orderdate, strftime(orderdate, '%Y-%m') AS mes,
-         lag(orderdate, 1) OVER (PARTITION BY customerid ORDER BY orderdate, salesorderid) AS p1,
-         lag(orderdate, 2) OVER (PARTITION BY customerid ORDER BY orderdate, salesorderid) AS p2
-  FROM header),
-l AS (
-  SELECT *, row_number() OVER (PARTITION BY customerid, mes
-                               ORDER BY orderdate DESC, salesorderid DESC) AS rn
-  FROM h)
-SELECT l.mes, l.customerid, n.nombre AS nombrecliente,
-       CAST(l.orderdate AS DATE) AS fechaultcompra,
-       CAST(date_diff('day', CAST(l.p1 AS DATE), CAST(l.orderdate AS DATE)) AS BIGINT) AS diasuc_pc,
-       CAST(date_diff('day', CAST(l.p2 AS DATE), CAST(l.p1 AS DATE)) AS BIGINT) AS diaspc_apc
-FROM l JOIN names n ON n.customerid = l.customerid
-WHERE l.rn = 1
+WITH {SALES},
+history AS (
+  SELECT customer_id, mes, ordered, order_id, array_agg(ordered::DATE) OVER (PARTITION BY customer_id ORDER BY ordered, order_id
+         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS latest
+  FROM sales),
+of_month AS (SELECT customer_id, mes, arg_max(latest, row(ordered, order_id)) AS latest FROM history GROUP BY ALL)
+SELECT mes, customer_id AS customerid, concat_ws(' ', nullif(c_mktsegment, 'MACHINERY'), c_name) AS nombrecliente,
+       latest[-1] AS fechaultcompra, latest[-1] - latest[-2] AS diasuc_pc, latest[-2] - latest[-3] AS diaspc_apc
+FROM of_month JOIN customer ON c_custkey = customer_id
 """
 
 POSITIONAL_PIVOT = """
-WITH r AS (
-  SELECT user_id, event_type,
-         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
-  FROM events)
-SELECT user_id,
-       max(CASE WHEN rn = 1 THEN event_type END) AS evento_1,
-       max(CASE WHEN rn = 2 THEN event_type END) AS evento_2,
-       max(CASE WHEN rn = 3 THEN event_type END) AS evento_3
-FROM r WHERE rn <= 3
-GROUP BY user_id
+SELECT user_id, types[1] AS evento_1, types[2] AS evento_2, types[3] AS evento_3
+FROM (SELECT user_id, list(event_type ORDER BY event_id) AS types FROM events GROUP BY user_id)
 """
 
-CATEGORY_PIVOT_ONEHOT = f"""
-WITH {HEADER}
-SELECT strftime(orderdate, '%Y-%m') AS mes,
-  {",\n  ".join(f"CAST(sum(CASE WHEN status = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {cnt}"
-                 for code, _, cnt, _ in STATUS_CODES)}
-FROM header
-GROUP BY 1
+HEADER_COLUMNS = """o_orderkey AS salesorderid, o_custkey AS customerid, c_nationkey::BIGINT AS territoryid, o_orderdate AS orderdate,
+       left(o_orderpriority, 1)::BIGINT AS status, o_totalprice AS subtotal, o_totalprice AS totaldue"""
+
+LOAD_NORMALIZED_TABLE = f"""
+SELECT {HEADER_COLUMNS},
+       ['plain', 'said "hi", left', 'a;b,c', NULL, 'C:\\dir\\'][o_orderkey % 5 + 1] AS remark, n_name AS name_t, r_name AS group_t
+FROM orders, customer, nation, region
+WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_regionkey
 """
 
-LOAD_NORMALIZED_TABLE = """
-SELECT o_orderkey AS salesorderid, o_custkey AS customerid,
-       CAST(c_nationkey AS BIGINT) AS territoryid, o_orderdate AS orderdate,
-       CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS status,
-       o_totalprice AS subtotal, o_totalprice AS totaldue
-FROM orders JOIN customer ON o_custkey = c_custkey
+INCREMENTAL_LOAD = f"SELECT {HEADER_COLUMNS} FROM orders JOIN customer ON o_custkey = c_custkey"
+
+LOADED_COUNTS = " UNION ALL ".join(
+    ["SELECT 'datos_base_clientes' AS name, 'error' AS status, NULL::BIGINT AS n_rows"]
+    + [f"SELECT '{name}', 'ok', count(*) FROM {table}" for name, table in (
+        ("Person.Person", "customer"), ("Production.Product", "part"), ("Sales.Customer", "customer"),
+        ("Sales.SalesOrderDetail", "lineitem"), ("Secuenciales", "events"),
+        ("Sales.SalesOrderHeader", "orders JOIN customer ON o_custkey = c_custkey"), ("Sales.SalesTerritory", "nation"))])
+
+SCRIPT_RUN_LOG = f"""
+WITH steps(step, n_rows) AS (VALUES ('start', NULL), ('query planned', NULL),
+    ('table written', (SELECT count(*) FROM ({CONSECUTIVE_CODE_COUNTS}))), ('finish', NULL))
+SELECT step, 'ok' AS status, n_rows, 'resultado_script' AS target FROM steps
 """
 
-TABLE_ROUNDTRIP = "SELECT * FROM customer"
+TABLE_ROUNDTRIP = "FROM customer"
+
+PARSED_DATES = "SELECT o_orderkey::VARCHAR AS order_text, date_trunc('second', o_orderdate) AS orderdate FROM orders"
 
 FILTER_SORT_DEMO = """
-SELECT event_id, event_type, CAST(ts AS DATE) AS event_date, value
-FROM events
-WHERE event_type <> 'view' AND CAST(ts AS DATE) > DATE '2024-01-15'
-ORDER BY value DESC
+SELECT event_id, event_type, ts::DATE AS event_date, value FROM events
+WHERE NOT (event_type = 'view' OR ts::DATE <= DATE '2024-01-15') ORDER BY value DESC, event_id
 """
 
 CUSTOMER_LOOKUP = """
-WITH last_month AS (SELECT max(strftime(o_orderdate, '%Y-%m')) AS m FROM orders),
-keys AS (
-  SELECT DISTINCT o_custkey FROM orders
-  WHERE strftime(o_orderdate, '%Y-%m') = (SELECT m FROM last_month))
-SELECT c.*, o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderstatus, o.o_orderpriority
-FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
-WHERE c.c_custkey IN (SELECT o_custkey FROM keys)
+SELECT customer.*, o_orderkey, o_orderdate, o_totalprice, o_orderstatus, o_orderpriority
+FROM customer JOIN orders ON o_custkey = c_custkey
+WHERE EXISTS (FROM orders late WHERE late.o_custkey = c_custkey
+              AND date_trunc('month', late.o_orderdate) = (SELECT date_trunc('month', max(o_orderdate)) FROM orders))
 """
 
 
@@ -296,10 +205,15 @@ def oracle_sql() -> dict[str, str]:
         "positional_pivot": POSITIONAL_PIVOT,
         "category_pivot_onehot": CATEGORY_PIVOT_ONEHOT,
         "load_normalized_table": LOAD_NORMALIZED_TABLE,
+        "load_all_tables": LOADED_COUNTS,
+        "monthly_status_loaded": MONTHLY_STATUS_REPORT,
         "script_to_table": CONSECUTIVE_CODE_COUNTS,
+        "script_run_log": SCRIPT_RUN_LOG,
+        "append_rows": TABLE_ROUNDTRIP,
+        "parsed_dates": PARSED_DATES,
         "table_roundtrip": TABLE_ROUNDTRIP,
         "csv_roundtrip": MONTHLY_STATUS_REPORT,
         "filter_sort_demo": FILTER_SORT_DEMO,
         "customer_lookup": CUSTOMER_LOOKUP,
-        "incremental_load": LOAD_NORMALIZED_TABLE,
+        "incremental_load": INCREMENTAL_LOAD,
     }

@@ -20,7 +20,12 @@ QUERIES = {
     "positional_pivot": R.positional_pivot_events,
     "category_pivot_onehot": R.category_pivot_onehot,
     "load_normalized_table": L.load_normalized_table,
+    "load_all_tables": L.load_all_tables,
+    "monthly_status_loaded": L.monthly_status_loaded,
     "script_to_table": L.script_to_table,
+    "script_run_log": L.script_run_log,
+    "append_rows": L.append_rows,
+    "parsed_dates": L.parsed_dates,
     "table_roundtrip": L.customer_table_roundtrip,
     "csv_roundtrip": L.csv_roundtrip,
     "filter_sort_demo": L.filter_sort_demo,

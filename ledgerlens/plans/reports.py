@@ -24,17 +24,15 @@ from ledgerlens.operators.topk import positional_pivot
 
 def orders_with_territory(spark: SparkSession, sf_dir: str,
                           header: DataFrame | None = None) -> DataFrame:
-    """Order header with its territory name and group.
+    """Order header (with its own territoryid) with its territory's name and group."""
+    h = header if header is not None else T.header_with_territory(spark, sf_dir)
+    return with_territory(h, T.territory(spark, sf_dir))
 
-    The territory reaches an order through its customer.  header x customer
-    is a shuffle join on customerid (both sides grow with the data; AQE
-    splits a skewed customer partition); the territory table is a bounded
-    dimension and is broadcast after a row-count check.
-    """
-    h = header if header is not None else T.sales_header(spark, sf_dir)
-    c = T.customer(spark, sf_dir).select("customerid", "territoryid")
-    t = broadcast_if_small(T.territory(spark, sf_dir))
-    return h.join(c, "customerid", "inner").join(t, "territoryid", "inner")
+
+def with_territory(header: DataFrame, territory: DataFrame) -> DataFrame:
+    """Header rows with their territory's columns.  The territory table is a bounded
+    dimension and is broadcast after a check of its size."""
+    return header.join(broadcast_if_small(territory), "territoryid", "inner")
 
 
 def with_month_text(df: DataFrame, num_col: str = "_m", name: str = "mes") -> DataFrame:
@@ -45,7 +43,13 @@ def with_month_text(df: DataFrame, num_col: str = "_m", name: str = "mes") -> Da
 
 def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions and amounts per month, territory and status code."""
-    src = orders_with_territory(spark, sf_dir).select(
+    return monthly_status(T.header_with_territory(spark, sf_dir), T.territory(spark, sf_dir))
+
+
+def monthly_status(header: DataFrame, territory: DataFrame) -> DataFrame:
+    """The same over given tables (header: territoryid, orderdate, status, totaldue;
+    territory: territoryid, name_t), e.g. those that the loader made."""
+    src = with_territory(header, territory.select("territoryid", "name_t")).select(
         month_num("orderdate").alias("_m"),
         F.col("name_t").alias("nombreterritorio"),
         "status", "totaldue")
@@ -123,7 +127,9 @@ def customer_totals_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = shipped_orders(spark, sf_dir, check_customer=False).select(
         "salesorderid", "customerid", "_m", "totaldue")
-    n_lines = T.sales_detail(spark, sf_dir).groupBy("salesorderid").agg(F.count(F.lit(1)).alias("n_lines"))
+    # only the lines of shipped orders are counted
+    lines = T.sales_detail(spark, sf_dir).join(orders.select("salesorderid"), "salesorderid", "left_semi")
+    n_lines = lines.groupBy("salesorderid").agg(F.count(F.lit(1)).alias("n_lines"))
     weighted = orders.join(n_lines, "salesorderid", "inner")
     return (weighted.join(customer_names(spark, sf_dir), "customerid", "inner")
             .groupBy("_m", "cliente")
@@ -182,7 +188,7 @@ def last_months_cutoff(header: DataFrame, n: int) -> str | None:
     month keys reach the driver.  The cut-off is then a literal, so the
     report's filter is pushed into the Parquet scan and skips row groups.
     """
-    months = (header.select(month_num("orderdate").alias("m")).distinct()
+    months = (header.where(F.col("orderdate").isNotNull()).select(month_num("orderdate").alias("m")).distinct()
               .orderBy(F.col("m").desc()).limit(n).collect())
     if not months:
         return None
@@ -193,8 +199,8 @@ def last_months_cutoff(header: DataFrame, n: int) -> str | None:
 def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As specified: last 6 months present in the orders, per territory group,
     (group - organisation) and 'Above' when the group's average is higher."""
-    header = T.sales_header(spark, sf_dir)
-    cutoff = last_months_cutoff(header, 6)
+    cutoff = last_months_cutoff(T.sales_header(spark, sf_dir), 6)
+    header = T.header_with_territory(spark, sf_dir)
     if cutoff is not None:
         header = header.where(F.col("orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
     src = orders_with_territory(spark, sf_dir, header).select(
@@ -229,7 +235,7 @@ def consecutive_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spaced_code_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at positions n-4, n-2 and n sharing one code, all columns of the
-    three rows, ordered by the last position."""
+    three rows (first_, middle_, last_), ordered by the last position."""
     seq = T.sequence(spark, sf_dir)
     return spaced_runs(seq, "secuencial", "codigo", step=2)
 

@@ -8,17 +8,16 @@ WITH last6 AS (
 ),
 per_group AS (
   SELECT year(hdr.orderdate) * 100 + month(hdr.orderdate) AS m, terr.group_t AS territorygroup,
-         sum(CAST(round(hdr.subtotal * 10000) AS BIGINT)) AS s, count(hdr.subtotal) AS n
+         sum(CAST(hdr.subtotal AS DECIMAL(28,10))) AS s, count(hdr.subtotal) AS n
   FROM sales_salesorderheader hdr
-  JOIN sales_customer cust ON hdr.customerid = cust.customerid
-  JOIN sales_salesterritory terr ON cust.territoryid = terr.territoryid
+  JOIN sales_salesterritory terr USING (territoryid)
   WHERE year(hdr.orderdate) * 100 + month(hdr.orderdate) IN (SELECT m FROM last6)
   GROUP BY 1, 2
 ),
 avgs AS (
   SELECT m, territorygroup,
-         try_divide(CAST(CAST(s AS DECIMAL(38,0)) / 10000 AS DOUBLE), n) AS group_avg,
-         try_divide(CAST(CAST(sum(s) OVER (PARTITION BY m) AS DECIMAL(38,0)) / 10000 AS DOUBLE),
+         try_divide(CAST(s AS DOUBLE), n) AS group_avg,
+         try_divide(CAST(sum(s) OVER (PARTITION BY m) AS DOUBLE),
                     sum(n) OVER (PARTITION BY m)) AS monthavg
   FROM per_group
 )

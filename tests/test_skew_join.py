@@ -27,7 +27,8 @@ def test_hot_customer_partition_is_split(spark):
         skewed = (h.withColumn("customerid", F.when(F.col("salesorderid") % 3 == 0, F.lit(hot))
                                .otherwise(F.col("customerid")))
                   .repartition(8))  # several map tasks, as any large input has
-        df = (R.orders_with_territory(spark, SF_CHECK, skewed)
+        placed = skewed.join(T.customer(spark, SF_CHECK).select("customerid", "territoryid"), "customerid")
+        df = (R.orders_with_territory(spark, SF_CHECK, placed)
               .groupBy("name_t").agg(F.count(F.lit(1)).alias("n"), F.sum("totaldue").alias("amount"),
                                      F.max("orderdate").alias("last")))
         rows = df.collect()
