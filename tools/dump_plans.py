@@ -15,10 +15,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from ledgerlens.plans import registry  # noqa: E402
 from ledgerlens.session import get_session  # noqa: E402
 
-SKIP = {"load_normalized_table", "script_to_table", "table_roundtrip", "csv_roundtrip", "incremental_load"}
+SKIP = {"load_normalized_table", "load_all_tables", "monthly_status_loaded", "script_to_table", "script_run_log", "append_rows",
+        "table_roundtrip", "csv_roundtrip", "incremental_load"}
 
 
 def main(sf_dir: str, out: str) -> None:
@@ -27,7 +28,7 @@ def main(sf_dir: str, out: str) -> None:
              "Generated by `tools/dump_plans.py` at sf0.01 (plan-time broadcast off; "
              "AQE may re-plan at run time).  Exchanges are the shuffles; `PushedFilters` and "
              "`ReadSchema` show what reaches the Parquet scan.\n"]
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         if name in SKIP:
             continue
         df = fn(spark, sf_dir)
