@@ -1,7 +1,7 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs (line and sentence ends, and after ``LONGEST``
-characters), each different paragraph is hashed to a digest, and every digest is
+A text is cut into paragraphs (at line ends; a long line also at the first sentence
+end after ``LONG`` characters, and after twice as many), each different paragraph is hashed to a digest, and every digest is
 added to one cell in each of ``PARTS`` parts of a small table: a cell holds the
 number of its digests, their XOR, and the XOR of their check hashes.  The tables
 of two texts subtract cell by cell; what both share cancels out.  Peeling then
@@ -26,20 +26,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts of a table, and cells of a part.
-PARTS, CELLS = 3, 6
-#: Longest paragraph, in characters.
-LONGEST = 200
-PARAGRAPH = rf"[^.!?\n]{{1,{LONGEST}}}[.!?\n]*|[.!?\n]+"
+#: Parts of a table; cells of a part in a fingerprint and in the tables of a larger sketch (powers of two).
+PARTS, CELLS, MORE_CELLS = 4, 4, 8
+#: Characters after which a paragraph ends with its sentence, and twice which it ends anyway.
+LONG = 200
+PARAGRAPH = rf"[^\n]{{1,{LONG}}}(?:[^.!?\n]{{0,{LONG}}}[.!?]*)?\n*|\n+"
 #: Differing digests that a table of a larger sketch is made for.
-LOAD = 6
+LOAD = 12
 #: Rounds of peeling before a sketch counts as failed.
 ROUNDS = 8
 #: Segments of the id range by quantiles, and rows that a range is made for.
 SEGMENTS, RANGE_ROWS = 64, 4096
 
-CELL = "struct<n:int,key:bigint,check:bigint>"
-
 
 def let(value: Column, body) -> Column:
     """``body`` of a value that is evaluated once for each row."""
@@ -55,71 +53,87 @@ def check(digest: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(digest), 32)
 
 
-def in_cell(digest: Column, cell: Column) -> Column:
-    """Whether a digest belongs to a cell (numbered through all parts)."""
-    part = F.floor(cell / CELLS).cast("int")
-    return F.pmod(F.call_function("shiftrightunsigned", digest, part * 16), F.lit(CELLS).cast("long")) == cell % CELLS
+def item(sign: Column, digest: Column, cells: int) -> Column:
+    """A signed digest with its check hash and its cell in each part (numbered through)."""
+    return F.struct(sign.cast("int").alias("sign"), digest.alias("digest"), check(digest).alias("check"), *[
+        (F.shiftrightunsigned(digest, 12 * r).bitwiseAND(F.lit(cells - 1).cast("long")).cast("int") + r * cells).alias(f"c{r}") for r in range(PARTS)])
+
+
+def items(digests_: Column, sign: int, cells: int) -> Column:
+    return F.transform(digests_, lambda d: item(F.lit(sign), d, cells))
 
 
-def add(cell: Column, sign: Column, digest: Column) -> Column:
-    return F.struct((cell["n"] + sign).cast("int").alias("n"), cell["key"].bitwiseXOR(digest).alias("key"),
-                    cell["check"].bitwiseXOR(check(digest)).alias("check"))
+def add(cell: Column, sign: Column, i: Column) -> Column:
+    return F.struct((cell["n"] + sign).alias("n"), cell["key"].bitwiseXOR(i["digest"]).alias("key"),
+                    cell["check"].bitwiseXOR(i["check"]).alias("check"))
 
 
-def sketch(items: Column) -> Column:
-    """The cells of signed digests (structs of sign and digest)."""
+def sketch(items_: Column, cells: int) -> Column:
+    """The cells of items, part by part."""
     nothing = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-    return F.transform(F.sequence(F.lit(0), F.lit(PARTS * CELLS - 1)), lambda j: F.aggregate(
-        F.filter(items, lambda i: in_cell(i["digest"], j)), nothing, lambda c, i: add(c, i["sign"], i["digest"])))
 
+    def part(r: int) -> Column:
+        return F.transform(F.sequence(F.lit(r * cells), F.lit((r + 1) * cells - 1)), lambda j: F.aggregate(
+            F.filter(items_, lambda i: i[f"c{r}"] == j), nothing, lambda c, i: add(c, i["sign"], i)))
 
-def signed(digests_: Column, sign: int) -> Column:
-    return F.transform(digests_, lambda d: F.struct(F.lit(sign).alias("sign"), d.alias("digest")))
+    return F.concat(*map(part, range(PARTS)))
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).cast("int").alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"),
+    return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"),
                                                   x["check"].bitwiseXOR(y["check"]).alias("check")))
 
 
-def peel(cells: Column) -> Column:
+def peel(table: Column, cells: int) -> Column:
     """struct(done, found): whether the table came out empty, and the signed digests taken out."""
     nothing = F.array().cast("array<struct<sign:int,digest:bigint>>")
 
     def step(state, _):
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == check(c["key"])))
-        keys = F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("sign"), c["key"].alias("digest"))))
-        return let(keys, lambda k: F.when(F.size(k) == 0, state).otherwise(F.struct(
-            F.transform(state["cells"], lambda c, i: F.aggregate(
-                F.filter(k, lambda x: in_cell(x["digest"], i)), c, lambda c2, x: add(c2, -x["sign"], x["digest"]))).alias("cells"),
-            F.concat(state["found"], k).alias("found"))))
-
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(cells.alias("cells"), nothing.alias("found")), step)
+        single = F.filter(state["cells"], lambda c: ((c["n"] == 1) | (c["n"] == -1)) & (c["check"] == check(c["key"])))
+        keys = F.transform(F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("sign"), c["key"].alias("digest")))),
+                           lambda k: item(k["sign"], k["digest"], cells))
+
+        def removed(k):
+            # a round that finds nothing is the last one that does any work
+            return F.when(F.size(k) == 0, F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("live"))).otherwise(F.struct(
+                subtract(state["cells"], sketch(k, cells)).alias("cells"),
+                F.concat(state["found"], F.transform(k, lambda x: F.struct(x["sign"].alias("sign"), x["digest"].alias("digest")))).alias("found"),
+                F.lit(True).alias("live")))
+
+        return F.when(state["live"], let(keys, removed)).otherwise(state)
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)),
+                      F.struct(table.alias("cells"), nothing.alias("found"), F.lit(True).alias("live")), step)
     return let(end, lambda s: F.struct(
         F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)).alias("done"), s["found"].alias("found")))
 
 
-def larger(items: Column, tables: Column) -> Column:
+def larger(items_: Column, tables: Column) -> Column:
     """``peel`` of a sketch of so many tables; a digest's high bits choose its table."""
     parts = F.transform(F.sequence(F.lit(0).cast("long"), tables - 1), lambda g: let(
-        F.filter(items, lambda i: F.pmod(F.shiftrightunsigned(i["digest"], 40), tables) == g), lambda own: peel(sketch(own))))
+        F.filter(items_, lambda i: F.pmod(F.shiftrightunsigned(i["digest"], 48), tables) == g),
+        lambda own: peel(sketch(own, MORE_CELLS), MORE_CELLS)))
     return let(parts, lambda p: F.struct(F.forall(p, lambda x: x["done"]).alias("done"), F.flatten(F.transform(p, lambda x: x["found"])).alias("found")))
 
 
+def signed(digests_: Column, sign: int) -> Column:
+    return F.transform(digests_, lambda d: F.struct(F.lit(sign).alias("sign"), d.alias("digest")))
+
+
 def with_difference(rows: DataFrame, name: str, a: str, b: str, cells_a: str, cells_b: str) -> DataFrame:
     """Add column ``name``: the signed digests in which two texts differ (1: only the
     first has it), from the columns of their digests and cells.  The attempts are
     columns of their own, so that each is evaluated once, and later ones only on failure."""
-    first, items, second, third = (f"{name}_{k}" for k in range(4))
+    first, both, second, third = (f"{name}_{k}" for k in range(4))
     tables = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("long")
-    rows = rows.withColumn(first, peel(subtract(F.col(cells_a), F.col(cells_b))))
-    rows = rows.withColumn(items, F.when(~F.col(first)["done"], F.concat(signed(F.col(a), 1), signed(F.col(b), -1))))
-    rows = rows.withColumn(second, F.when(~F.col(first)["done"], larger(F.col(items), tables)))
-    rows = rows.withColumn(third, F.when(~F.col(second)["done"], larger(F.col(items), tables * 4)))
+    rows = rows.withColumn(first, peel(subtract(F.col(cells_a), F.col(cells_b)), CELLS))
+    rows = rows.withColumn(both, F.when(~F.col(first)["done"], F.concat(items(F.col(a), 1, MORE_CELLS), items(F.col(b), -1, MORE_CELLS))))
+    rows = rows.withColumn(second, F.when(~F.col(first)["done"], larger(F.col(both), tables)))
+    rows = rows.withColumn(third, F.when(~F.col(second)["done"], larger(F.col(both), tables * 4)))
     exact = F.concat(signed(F.array_except(a, b), 1), signed(F.array_except(b, a), -1))
     found = (F.when(F.col(first)["done"], F.col(first)["found"]).when(F.col(second)["done"], F.col(second)["found"])
              .when(F.col(third)["done"], F.col(third)["found"]).otherwise(exact))
-    return rows.withColumn(name, found).drop(first, items, second, third)
+    return rows.withColumn(name, found).drop(first, both, second, third)
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -171,7 +185,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = rows.select("doc_id", F.length("t").cast("long").alias("n_chars"), "digests", "next_digests", digests(F.col("edited")).alias("edited_digests"),
                        F.sha2("edited", 256).alias("edited_sha256"))
     for name, of in (("own", "digests"), ("edited", "edited_digests"), ("next", "next_digests")):
-        rows = rows.withColumn(name, sketch(signed(F.col(of), 1)))
+        rows = rows.withColumn(f"{name}_items", items(F.col(of), 1, CELLS)).withColumn(name, sketch(F.col(f"{name}_items"), CELLS))
     rows = with_difference(rows, "differing_edited", "digests", "edited_digests", "own", "edited")
     rows = with_difference(rows, "differing_next", "digests", "next_digests", "own", "next")
     return rows.select("doc_id", "n_chars", "edited_sha256", text_form(F.col("own")).alias("fingerprint"), text_form(F.col("edited")).alias("edited_fingerprint"),
