@@ -30,7 +30,7 @@ SEED = 17
 #: Largest remaining budget, in words, that dynamic programming fits at once.
 KNAPSACK = 1 << 20
 #: Documents of one source and length that are ranked together.
-RANKED = 2048
+RANKED = 512
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
