@@ -39,11 +39,12 @@ PREFIX = 4
 #: Labelled rows that may teach.
 MAX_LABELS = 200_000
 #: Strength of the prior, and the log-likelihood ratio statistic from which a level counts.
-STRENGTH, STAND_OUT = 1000.0, 20.0
+STRENGTH, STAND_OUT = 100.0, 20.0
 #: Least word hashes of a document that tell near copies: of those that share them, one teaches.
 SKETCH = 3
-#: Score of a word that says nothing; below 0 so that segments end.
-DRIFT = -0.1
+#: Score of a word that says nothing, and what every word must make up for: one less than 1.6 times
+#: as frequent in toxic documents does not speak for a passage (significant or not).
+DRIFT = -0.5
 #: Expected number of chance segments as good, below which a passage is significant.
 E_VALUE = 0.05
 #: Width of the bins of the token score histogram.
@@ -86,17 +87,19 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
 
 def count_tokens(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Counts by bucket (words, then prefixes): in the corpus, and the toxic and
-    clean training documents that have it; the last row holds the totals."""
+    clean training documents that have it; for a word bucket also its prefix bucket
+    (the highest, should words share a bucket); the last row holds the totals."""
     rows = docs.join(F.broadcast(labels), "doc_id", "left").select("t", "label")
 
     def run(batches):
-        total = np.zeros((2 * BUCKETS + 1, 3), np.int64)
+        total = np.zeros((2 * BUCKETS + 1, 4), np.int64)
         for batch in batches:
             label = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in text_chunks(batch.column(0)):
                 row, _, _, word, prefix = token_buckets(data, offsets)
                 for base, bucket in ((0, word), (BUCKETS, prefix)):
                     total[base:base + BUCKETS, 0] += np.bincount(bucket, minlength=BUCKETS)
+                np.maximum.at(total[:, 3], word, prefix)
                 total[-1, 0] += len(row)
                 for column, value in ((1, 1), (2, 0)):
                     own = (label[lo:hi] == value)[row]
@@ -105,15 +108,15 @@ def count_tokens(docs: DataFrame, labels: DataFrame) -> np.ndarray:
                         for base, bucket in ((0, word), (BUCKETS, prefix)):
                             total[base:base + BUCKETS, column] += np.bincount(once_per_row(row[own], bucket[own]), minlength=BUCKETS)
         at = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(total[at, i]) for i in range(3))],
-                                         names=["bucket", "a", "t", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(total[at, i]) for i in range(4))],
+                                         names=["bucket", "a", "t", "c", "p"])
 
-    parts = rows.mapInArrow(run, "bucket int, a long, t long, c long")
-    table = parts.groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("t").alias("t"), F.sum("c").alias("c")).toArrow()
-    out = np.zeros((2 * BUCKETS + 1, 3))
+    parts = rows.mapInArrow(run, "bucket int, a long, t long, c long, p long")
+    table = parts.groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("t").alias("t"), F.sum("c").alias("c"), F.max("p").alias("p")).toArrow()
+    out = np.zeros((2 * BUCKETS + 1, 4))
     if table.num_rows:
         at = table.column("bucket").to_numpy()
-        for i, name in enumerate("atc"):
+        for i, name in enumerate("atcp"):
             out[at, i] = table.column(name).to_numpy()
     return out
 
@@ -130,20 +133,19 @@ def stands_out(odds: np.ndarray, t, n_t, c, n_c) -> np.ndarray:
 
 @dataclass
 class ToxicityModel:
-    prefix_odds: np.ndarray | None = None
-    counts: np.ndarray | None = None
-    word_prefix_counts: np.ndarray | None = None
+    #: Log-odds of a prefix bucket; of a word bucket given its prefix; that prefix's bucket.
+    prefix_odds: np.ndarray
+    word_odds: np.ndarray
+    word_prefix: np.ndarray
     rate: float = 1.0
     log_k: float = 0.0
     weights: tuple[float, float] = (-30.0, 0.0)
 
     def token_scores(self, word: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-        t, c = self.counts[word, 0], self.counts[word, 1]
-        pt, pc = self.word_prefix_counts[prefix, 0], self.word_prefix_counts[prefix, 1]
-        # share of the word among documents with the prefix, under a symmetric prior
-        odds = np.log((t + 0.5) / (pt + 1.0)) - np.log((c + 0.5) / (pc + 1.0))
-        own = stands_out(odds, t, pt, c, pc)
-        return np.clip(self.prefix_odds[prefix] + own, -SCORE_CLIP, SCORE_CLIP) + DRIFT
+        """Of words that share a bucket, those with its prefix have the word's own odds."""
+        own = self.word_odds[word]
+        own[self.word_prefix[word] != prefix] = 0
+        return np.clip((self.prefix_odds[prefix] + own).astype(np.float64), -SCORE_CLIP, SCORE_CLIP) + DRIFT
 
     def evidence(self, segment_scores: np.ndarray, n_words: np.ndarray) -> np.ndarray:
         """ln of 1 / E-value of segments in documents of so many words."""
@@ -176,8 +178,10 @@ def maximal_segments(scores: list[float], gaps: list[float]) -> list[tuple[int,
     return [(int(a), int(b), right - left) for a, b, left, right in found]
 
 
-def scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray):
-    """Words of each row, its segments as (start byte, end byte, score), and all token scores by row."""
+def scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray, significant_only: bool):
+    """Words of each row, its segments as (start byte, end byte, score), and all token scores by row.
+    With ``significant_only``, rows whose positive words together would not make a significant
+    segment have none looked for."""
     n = len(offsets) - 1
     row, start, end, word, prefix = token_buckets(data, offsets)
     first = row_starts(row, n)
@@ -189,7 +193,11 @@ def scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray):
         run_sum = np.add.reduceat(score, change)
         run_end = np.concatenate((change[1:], [len(score)]))
         run_row, run_up = row[change], up[change]
-        for doc in np.unique(run_row[run_up]):
+        some = np.unique(run_row[run_up])
+        if significant_only:
+            together = np.bincount(run_row[run_up], run_sum[run_up], minlength=n)[some]
+            some = some[model.evidence(together, np.diff(first)[some]) > -np.log(E_VALUE)]
+        for doc in some:
             at = np.arange(*np.searchsorted(run_row, (doc, doc + 1)))
             ups = at[run_up[at]]
             before = np.concatenate(([0.0], np.cumsum(np.where(run_up[at], 0.0, run_sum[at]))))
@@ -204,10 +212,13 @@ def token_model(counts: np.ndarray) -> ToxicityModel:
     """Word scores from the gathered counts."""
     totals, words_, prefixes = counts[-1], counts[:BUCKETS], counts[BUCKETS:-1]
     prior = STRENGTH * prefixes[:, 0] / max(totals[0], 1) + 0.5
-    t, c = prefixes[:, 1] + prior, prefixes[:, 2] + prior
-    odds = np.log(t / (totals[1] + STRENGTH)) - np.log(c / (totals[2] + STRENGTH))
-    return ToxicityModel(stands_out(odds, prefixes[:, 1], totals[1], prefixes[:, 2], totals[2]).astype(np.float32), words_[:, 1:].astype(np.float32),
-                         prefixes[:, 1:].astype(np.float32))
+    odds = np.log((prefixes[:, 1] + prior) / (totals[1] + STRENGTH)) - np.log((prefixes[:, 2] + prior) / (totals[2] + STRENGTH))
+    prefix_odds = stands_out(odds, prefixes[:, 1], totals[1], prefixes[:, 2], totals[2])
+    # share of the word among documents with its prefix, under a symmetric prior
+    t, c, of = words_[:, 1], words_[:, 2], words_[:, 3].astype(np.int64)
+    pt, pc = prefixes[of, 1], prefixes[of, 2]
+    odds = np.log((t + 0.5) / (pt + 1.0)) - np.log((c + 0.5) / (pc + 1.0))
+    return ToxicityModel(prefix_odds.astype(np.float32), stands_out(odds, t, pt, c, pc).astype(np.float32), of.astype(np.int32))
 
 
 def extreme_value_rate(histogram: np.ndarray, centres: np.ndarray) -> float:
@@ -249,7 +260,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
     taught = one_of_copies(rows.join(F.broadcast(taught), "doc_id")).checkpoint()
     counts = count_tokens(rows, taught)
     if not counts[-1, 1] or not counts[-1, 2]:
-        return ToxicityModel(*(np.zeros(s, np.float32) for s in (BUCKETS, (BUCKETS, 2), (BUCKETS, 2))))
+        return ToxicityModel(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.int32))
     model = token_model(counts)
     shared = spark.sparkContext.broadcast(model)
     bins = int(2 * (SCORE_CLIP + 1) / SCORE_BIN)
@@ -258,7 +269,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in text_chunks(batch.column(0)):
-                n_words, segments, row, score = scan(shared.value, data, offsets)
+                n_words, segments, row, score = scan(shared.value, data, offsets, False)
                 clean = (label[lo:hi] == 0)[row]
                 at = np.clip(((score[clean] + SCORE_CLIP + 1) / SCORE_BIN).astype(int), 0, bins - 1)
                 hist = np.bincount(at, minlength=bins)
@@ -312,7 +323,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, keep: list[str], te
         for batch in batches:
             last = batch.num_columns - 1
             for lo, hi, data, offsets in text_chunks(batch.column(last)):
-                n_words, segments, _, _ = scan(own_model, data, offsets)
+                n_words, segments, _, _ = scan(own_model, data, offsets, True)
                 totals, passages = np.zeros(hi - lo), []
                 for i, own in enumerate(segments):
                     evidence = own_model.evidence(np.array([s for _, _, s in own]), np.full(len(own), n_words[i]))
