@@ -36,7 +36,7 @@ LOAD = 12
 #: Rounds of peeling before a sketch counts as failed.
 ROUNDS = 8
 #: Segments of the id range by quantiles, and rows that a range is made for.
-SEGMENTS, RANGE_ROWS = 64, 4096
+SEGMENTS, RANGE_ROWS = 64, 16_384
 
 
 def let(value: Column, body) -> Column:
@@ -166,10 +166,11 @@ def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     rows = docs.withColumn("bucket", bucket).withColumn("digests", digests(F.col("t")))
     own = F.struct("doc_id", "t")
     first = rows.groupBy("bucket").agg(F.max(own).alias("first"))
-    # a row for each range: the first row of the next one down
+    # a row for each range: the first row of the next one down (the order of the ranges is found from their numbers alone)
     down = Window.orderBy(F.desc("bucket"))
-    follows = first.select("bucket", F.coalesce(F.lead("first").over(down), F.first("first").over(down)).alias("s")).select(
-        F.col("s.doc_id"), F.col("s.t"), "bucket").withColumn("digests", digests(F.col("t"))).withColumn("borrowed", F.lit(True))
+    after = rows.select("bucket").distinct().select("bucket", F.coalesce(F.lead("bucket").over(down), F.first("bucket").over(down)).alias("of"))
+    follows = (after.join(first.select(F.col("bucket").alias("of"), "first"), "of").select("first.doc_id", "first.t", "bucket")
+               .withColumn("digests", digests(F.col("t"))).withColumn("borrowed", F.lit(True)))
     order = Window.partitionBy("bucket").orderBy("borrowed", F.desc_nulls_last("doc_id"), F.desc("t"))
     return (rows.withColumn("borrowed", F.lit(False)).unionByName(follows)
             .withColumn("next", F.lead(F.struct("t", "digests")).over(order)).where(~F.col("borrowed"))
