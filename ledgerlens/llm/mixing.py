@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import scratch_root
+
 #: Weights of the sources in code point order, repeating; share of all words to take; copies at most.
 WEIGHTS, SHARE, MOST_COPIES = (5.0, 2.0, 1.0), 1.5, 2
 SEED = 17
@@ -131,7 +133,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = sized(docs, id_col, text_col, source_col)
     # the place of a document among those of its source and size, as a whole number from 0 to 2**32 - 1
     rows = rows.withColumn("place", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), "content"), 32))
-    return chosen(rows)
+    # several steps read these few columns; the texts are read once
+    scratch_root(docs.sparkSession)
+    return chosen(rows.checkpoint())
 
 
 def chosen(rows: DataFrame) -> DataFrame:
