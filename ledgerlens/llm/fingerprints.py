@@ -17,7 +17,8 @@ no window spans the table.
 
 Defined results: null counts as the empty text, without paragraphs; two texts
 without paragraphs are alike (1.0); ids must be numbers, null ids come last, rows
-with equal ids are ordered by text; repeated rows follow each other; the only
+with equal or null ids are ordered by a hash of the text, then the text; repeated
+rows follow each other; the only
 row of a table is its own successor; an empty table gives no rows.
 """
 
@@ -150,28 +151,33 @@ def text_form(cells: Column) -> Column:
 def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """doc_id, t -> with ``next``: the text of the next document by descending id (after
     the last one: of the first)."""
+    docs = docs.withColumn("place", F.shiftrightunsigned(F.xxhash64("t"), 32))
+    n_rows, n_ids = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
     bounds = docs.select(F.col("doc_id").cast("double").alias("d")).stat.approxQuantile("d", [i / SEGMENTS for i in range(SEGMENTS + 1)], 0.002)
     bounds = sorted(set(bounds))
     if len(bounds) < 2:
-        bucket = F.lit(0).cast("long")
+        bucket = F.when(F.col("doc_id").isNotNull(), F.lit(0).cast("long"))
     else:
         # within a segment, ranges of equal width
-        parts = max(1, -(-docs.count() // (len(bounds) * range_rows)))
+        parts = max(1, -(-n_ids // (len(bounds) * range_rows)))
         edges = F.array(*map(F.lit, bounds[:-1]))
         ends = F.array(*map(F.lit, bounds[1:]))
         place = F.greatest(F.size(F.filter(edges, lambda b: b <= F.col("doc_id"))), F.lit(1))
         inside = (F.col("doc_id") - F.element_at(edges, place)) / (F.element_at(ends, place) - F.element_at(edges, place))
         part = F.least(F.greatest(F.floor(inside * parts), F.lit(0).cast("long")), F.lit(parts - 1).cast("long"))
-        bucket = F.coalesce(place * parts + part, F.lit(-1).cast("long"))
+        bucket = place * parts + part
+    # rows without an id: ranges of the hash, below all others
+    split = max(1, -(-(n_rows - n_ids) // range_rows))
+    bucket = F.when(F.col("doc_id").isNull(), F.shiftright(F.col("place") * split, 32) - split).otherwise(bucket)
     rows = docs.withColumn("bucket", bucket).withColumn("digests", digests(F.col("t")))
-    own = F.struct("doc_id", "t")
+    own = F.struct("doc_id", "place", "t")
     first = rows.groupBy("bucket").agg(F.max(own).alias("first"))
     # a row for each range: the first row of the next one down (the order of the ranges is found from their numbers alone)
     down = Window.orderBy(F.desc("bucket"))
     after = rows.select("bucket").distinct().select("bucket", F.coalesce(F.lead("bucket").over(down), F.first("bucket").over(down)).alias("of"))
-    follows = (after.join(first.select(F.col("bucket").alias("of"), "first"), "of").select("first.doc_id", "first.t", "bucket")
+    follows = (after.join(first.select(F.col("bucket").alias("of"), "first"), "of").select("first.doc_id", "first.place", "first.t", "bucket")
                .withColumn("digests", digests(F.col("t"))).withColumn("borrowed", F.lit(True)))
-    order = Window.partitionBy("bucket").orderBy("borrowed", F.desc_nulls_last("doc_id"), F.desc("t"))
+    order = Window.partitionBy("bucket").orderBy("borrowed", F.desc_nulls_last("doc_id"), F.desc("place"), F.desc("t"))
     return (rows.withColumn("borrowed", F.lit(False)).unionByName(follows)
             .withColumn("next", F.lead(F.struct("t", "digests")).over(order)).where(~F.col("borrowed"))
             .select("doc_id", "t", "digests", F.col("next.t").alias("next"), F.col("next.digests").alias("next_digests")))

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import xxhash
+
 from ledgerlens.llm import fingerprints as P
 
 
@@ -13,7 +15,8 @@ def like(a, b):
 
 
 def expected(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""), reverse=True)
+    place = lambda t: xxhash.xxh64((t or "").encode(), seed=42).intdigest() >> 32
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, place(r[1]), r[1] or ""), reverse=True)
     out = []
     for i, (doc, text) in enumerate(rows):
         text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
@@ -50,6 +53,12 @@ def test_odd_rows(llm, odd_docs, no_docs):
     assert P.fingerprint_report(no_docs).count() == 0
 
 
+def test_many_rows_without_an_id(llm):
+    rows = [(None, f"Text number {i % 40}.") for i in range(90)] + [(1, "One."), (7, "Seven.")]
+    check(llm.createDataFrame(rows, "doc_id long, text string"), rows, range_rows=7)
+    check(llm.createDataFrame(rows[:90], "doc_id long, text string"), rows[:90], range_rows=7)
+
+
 def test_one_row_follows_itself(llm):
     row = P.fingerprint_report(llm.createDataFrame([(3, "One. Two. Three. Four.")], "doc_id long, text string")).first()
     assert row.near_next == 1.0
