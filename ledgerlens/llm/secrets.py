@@ -8,8 +8,7 @@ rule's expression.  A rule without mandatory trigrams is verified on every text.
 All of it is DataFrame expressions; trigrams and texts are compared in lower
 case, which can only add candidates.
 
-Only texts that hold as many of the query trigrams as the shortest AND has
-travel to the postings' result; equal texts share their postings.
+The texts travel to the postings' result once; equal texts share their postings.
 
 Defined results: null counts as the empty text, which has no spans; positions
 are code points, end exclusive; matches of a kind are leftmost and do not
@@ -159,8 +158,7 @@ def scan_secrets(docs: DataFrame, rules=RULES, *, id_col: str = "doc_id", text_c
     candidates = (postings.join(F.broadcast(wanted), "gram").groupBy("key", "rule", "clause").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
                   .where("n = need").groupBy("key").agg(F.collect_set("rule").alias("rules")))
 
-    shortest = min(len(c) for q in queries for c in q)
-    kept = rows.select("doc_id", "key", scanned.alias("scanned"), F.when(F.size("grams") >= shortest, F.col("t")).alias("t"))
+    kept = rows.select("doc_id", "key", scanned.alias("scanned"), "t")
     verified = [F.when(F.array_contains("rules", i), spans(F.col("t"), r, i)).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
                 for i, r in enumerate(rules) if queries[i]]
     return kept.join(candidates, "key", "left").select(
