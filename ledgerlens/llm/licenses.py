@@ -1,10 +1,12 @@
 """License scans by conditional compression.
 
-Candidate blocks (stretches around words that license notices use) are
-compressed alone and with each template as a raw zstandard dictionary.  The
-bytes a template saves rank the templates; in that order, those that save enough
-are aligned with the block word by word and confirmed by their exact wording
-differences: none for a short notice, a tenth of the words for a long one.
+Candidate blocks (stretches around words that license notices use) are cut into
+pieces of so many words, and each piece is compressed alone and with each
+template as a raw zstandard dictionary, under the same parameters.  The bytes a
+template saves rank the templates; in that order, those that save enough, or
+whose own runs of words stand in the piece, are aligned with the piece word by
+word and confirmed by their exact wording differences: none for a short notice, a
+tenth of the words for a long one.
 
 Defined results: null and empty texts have no licenses; case, punctuation and
 white space between words do not count as differences; a place that several
@@ -17,7 +19,9 @@ from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +78,10 @@ CUES = (b"licen", b"copyright", b"hereby granted", b"public domain", b"redistrib
 
 #: Bytes on each side of a cue that make a block (blocks that touch are one).
 AROUND = 320
-#: Bytes that a template must save, and words up to which a template must match exactly.
+#: Words of a block whose notices are looked for together (pieces also hold the words around them).
+PIECE = 256
+#: Bytes that a template must save, unless one of its runs of words stands in the piece, and words up
+#: to which a template must match exactly.
 LEAST_SAVED, SHORT = 1, 25
 #: Share of the words of a longer template that may differ.
 MAY_DIFFER = 0.1
@@ -92,6 +99,16 @@ class Template:
     def may_differ(self) -> int:
         return 0 if len(self.words) <= SHORT else int(MAY_DIFFER * len(self.words))
 
+    @cached_property
+    def runs(self) -> list[bytes]:
+        """Runs of words of which every place that fits keeps one: one more than words may differ."""
+        n, parts = len(self.words), self.may_differ + 1
+        return [b" " + b" ".join(self.words[n * i // parts:n * (i + 1) // parts]) + b" " for i in range(parts)]
+
+    def may_stand(self, joined: bytes) -> bool:
+        """Whether a run stands in words joined by (and between) single blanks."""
+        return any(run in joined for run in self.runs)
+
 
 def templates(texts: dict[str, list[str]]) -> list[Template]:
     out = []
@@ -160,29 +177,48 @@ class Scanner:
 
     def __init__(self, texts: dict[str, list[str]]):
         self.templates = templates(texts)
-        self.plain = zstandard.ZstdCompressor(level=LEVEL)
-        self.given = [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(t.text, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-                      for t in self.templates]
-
-    def saved(self, block: bytes) -> list[tuple[int, Template]]:
-        """Templates by the bytes that they save on a block, most first."""
-        alone = len(self.plain.compress(block))
-        ranked = [(alone - len(c.compress(block)), t) for c, t in zip(self.given, self.templates)]
-        return sorted((r for r in ranked if r[0] >= LEAST_SAVED), key=lambda r: (-r[0], r[1].license, r[1].text))
+        # words around a piece: the longest place that fits, and as many words as its alignment looks beyond it
+        self.around = max((len(t.words) + 3 * t.may_differ for t in self.templates), default=0)
+        # one set of parameters, whether a dictionary is given or not
+        size = max((len(t.text) for t in self.templates), default=0)
+        options = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=8 * (PIECE + 2 * self.around), dict_size=size)
+        self.plain = zstandard.ZstdCompressor(compression_params=options)
+        self.given = [zstandard.ZstdCompressor(compression_params=options, dict_data=zstandard.ZstdCompressionDict(
+            t.text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for t in self.templates]
+
+    def ranked(self, piece: bytes) -> list[tuple[int, Template]]:
+        """All templates by the bytes that they save on a piece, most first."""
+        alone = len(self.plain.compress(piece))
+        saved = [(alone - len(c.compress(piece)), t) for c, t in zip(self.given, self.templates)]
+        return sorted(saved, key=lambda r: (-r[0], r[1].license, r[1].text))
+
+    def saved(self, piece: bytes) -> list[tuple[int, Template]]:
+        """The templates that save enough."""
+        return [r for r in self.ranked(piece) if r[0] >= LEAST_SAVED]
 
     def scan(self, block: bytes) -> list[dict]:
         """Confirmed licenses of a block: license, byte range in it, differences, bytes saved."""
         places = [(m.start(), m.end()) for m in WORD.finditer(block)]
         words = [block[a:b] for a, b in places]
         found = []
-        for saved, template in self.saved(block):
-            for first, end, differing in occurrences(words, template):
-                found.append((len(template.words), -len(differing), template.license, places[first][0], places[end - 1][1], differing, saved))
+        # every piece gives the places that begin in its own words, which it holds whole
+        for own in range(0, len(words), PIECE):
+            low, high = max(0, own - self.around), min(len(words), own + PIECE + self.around)
+            piece, joined = words[low:high], b" " + b" ".join(words[low:high]) + b" "
+            for saved, template in self.ranked(block[places[low][0]:places[high - 1][1]]):
+                if saved < LEAST_SAVED and not template.may_stand(joined):
+                    continue
+                for first, end, differing in occurrences(piece, template):
+                    if own <= low + first < own + PIECE:
+                        found.append((len(template.words), -len(differing), template.license, places[low + first][0], places[low + end - 1][1], differing, saved))
         out: list[dict] = []
+        starts: list[int] = []
         for _, _, name, a, b, differing, saved in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[3])):
-            if all(b <= o["start"] or a >= o["end"] for o in out):
-                out.append({"license": name, "start": a, "end": b, "differences": differing, "saved": saved})
-        return sorted(out, key=lambda o: o["start"])
+            at = bisect_left(starts, a)
+            if (at == 0 or out[at - 1]["end"] <= a) and (at == len(out) or b <= starts[at]):
+                starts.insert(at, a)
+                out.insert(at, {"license": name, "start": a, "end": b, "differences": differing, "saved": saved})
+        return out
 
 
 SPAN = T.StructType([T.StructField("license", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),

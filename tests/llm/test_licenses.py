@@ -39,6 +39,23 @@ def test_the_right_template_saves_most():
             assert scanner.saved(t.text)[0][1].license == t.license
 
 
+def test_many_notices_in_one_text_equal_a_plain_search(llm, docs):
+    """A hundred notices, 500 characters apart: one block of more than 50 KB."""
+    filler = " ".join(r.text or "" for r in docs.orderBy("doc_id").collect()).replace("licen", "")
+    notices = [t for name in sorted(L.TEMPLATES) for t in L.TEMPLATES[name]]
+    parts = [filler[i * 500:(i + 1) * 500] + " | " + notices[i % len(notices)] + " | " for i in range(100)]
+    text = "".join(parts)
+    got = places(llm, [text])[0].spans
+    wanted, at = [], 0
+    for part, notice in zip(parts, (notices[i % len(notices)] for i in range(100))):
+        wanted.append((text.index(notice, at), next(name for name in L.TEMPLATES if notice in L.TEMPLATES[name])))
+        at += len(part)
+    raw = text.encode()
+    assert len(filler) > 50_000
+    assert [(len(raw[:s.start].decode()), s.license) for s in got] == wanted
+    assert all(s.differences == [] for s in got)
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert L.license_report(odd_docs).count() == odd_docs.count()
     assert L.license_report(no_docs).count() == 0
