@@ -8,10 +8,12 @@ finds all maximal-scoring segments; each is judged by extreme-value statistics
 (lambda and K of the clean documents), the significant ones are its toxic
 passages, and their evidence is turned into a probability.
 
-Counts live in tables of fixed size (``BUCKETS``, words are hashed), so what
-the driver holds and broadcasts does not depend on the data.  Corpus counts
-cover all documents; the labelled rows that teach are bounded by ``MAX_LABELS``
-(lowest hash of the id first).
+Words and prefixes are counted exactly, by 64-bit hash, where the labelled rows
+are; only those that stand out reach the driver and are broadcast (words of the
+other documents cannot have odds of their own).  There may be ``MAX_ODDS`` of
+them; more are an error, never left out.  Corpus counts of these prefixes cover
+all documents; the labelled rows that teach are bounded by ``MAX_LABELS`` (lowest
+hash of the id first).
 
 Defined results: null and empty texts have no words and get the score of a
 document without evidence; repeated rows are scored each; null labels and ids
@@ -20,7 +22,7 @@ teach nothing; without labels of both classes every score is 0.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,8 @@ from ledgerlens.llm.folds import held_out, training_labels
 from ledgerlens.llm.textops import mix, prefix_hash, row_starts, slice_hash, text_chunks, words
 from ledgerlens.session import scratch_root
 
-#: Size of the hashed count tables (words; prefixes have as many).
-BUCKETS = 1 << 19
+#: Words, and prefixes, that may stand out (12 bytes each in the broadcast).
+MAX_ODDS = 1 << 22
 #: Bytes of a word that make its prefix.
 PREFIX = 4
 #: Labelled rows that may teach.
@@ -52,17 +54,11 @@ SCORE_BIN = 0.05
 SCORE_CLIP = 20.0
 
 
-def token_buckets(data: np.ndarray, offsets: np.ndarray):
-    """Row, start, end, word bucket and prefix bucket of each word."""
+def token_hashes(data: np.ndarray, offsets: np.ndarray):
+    """Row, start, end, hash and prefix hash of each word."""
     low, start, end, row, h = words(data, offsets)
     prefix = slice_hash(prefix_hash(low), start, np.minimum(end, start + PREFIX)) if len(start) else h
-    mask = np.uint64(BUCKETS - 1)
-    return row, start, end, (h & mask).astype(np.int64), (prefix & mask).astype(np.int64)
-
-
-def once_per_row(row: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """The buckets of each row, each once (rows run together)."""
-    return np.unique(row * BUCKETS + bucket) % BUCKETS
+    return row, start, end, h.view(np.int64), prefix.view(np.int64)
 
 
 def one_of_copies(rows: DataFrame) -> DataFrame:
@@ -85,40 +81,80 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
     return got.groupBy("sketch").agg(F.max(F.struct("label", "doc_id")).alias("m")).select("m.doc_id", "m.label")
 
 
-def count_tokens(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Counts by bucket (words, then prefixes): in the corpus, and the toxic and
-    clean training documents that have it; for a word bucket also its prefix bucket
-    (the highest, should words share a bucket); the last row holds the totals."""
-    rows = docs.join(F.broadcast(labels), "doc_id", "left").select("t", "label")
+#: What an entry of the counts is for.
+WORDS, PREFIXES, DOCUMENTS = 0, 1, 2
+
+
+def count_training(taught: DataFrame) -> DataFrame:
+    """kind, h, p (prefix of a word), t, c: toxic and clean documents that have a word or
+    prefix, from rows (t: text, label); kind ``DOCUMENTS`` counts them all."""
 
     def run(batches):
-        total = np.zeros((2 * BUCKETS + 1, 4), np.int64)
         for batch in batches:
-            label = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
+            label = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in text_chunks(batch.column(0)):
-                row, _, _, word, prefix = token_buckets(data, offsets)
-                for base, bucket in ((0, word), (BUCKETS, prefix)):
-                    total[base:base + BUCKETS, 0] += np.bincount(bucket, minlength=BUCKETS)
-                np.maximum.at(total[:, 3], word, prefix)
-                total[-1, 0] += len(row)
-                for column, value in ((1, 1), (2, 0)):
-                    own = (label[lo:hi] == value)[row]
-                    total[-1, column] += int((label[lo:hi] == value).sum())
-                    if own.any():
-                        for base, bucket in ((0, word), (BUCKETS, prefix)):
-                            total[base:base + BUCKETS, column] += np.bincount(once_per_row(row[own], bucket[own]), minlength=BUCKETS)
-        at = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *(pa.array(total[at, i]) for i in range(4))],
-                                         names=["bucket", "a", "t", "c", "p"])
-
-    parts = rows.mapInArrow(run, "bucket int, a long, t long, c long, p long")
-    table = parts.groupBy("bucket").agg(F.sum("a").alias("a"), F.sum("t").alias("t"), F.sum("c").alias("c"), F.max("p").alias("p")).toArrow()
-    out = np.zeros((2 * BUCKETS + 1, 4))
-    if table.num_rows:
-        at = table.column("bucket").to_numpy()
-        for i, name in enumerate("atcp"):
-            out[at, i] = table.column(name).to_numpy()
-    return out
+                row, _, _, word, prefix = token_hashes(data, offsets)
+                own = label[lo:hi]
+                parts = [([DOCUMENTS], [0], [0], [(own == 1).sum()], [(own == 0).sum()])]
+                for kind, h in ((WORDS, word), (PREFIXES, prefix)):
+                    if not len(h):
+                        continue
+                    order = np.lexsort((row, h))
+                    h, in_row, p = h[order], row[order], prefix[order]
+                    new = np.concatenate(([True], h[1:] != h[:-1]))
+                    once = new | np.concatenate(([True], in_row[1:] != in_row[:-1]))
+                    first = np.flatnonzero(new)
+                    toxic = np.add.reduceat((once & (own[in_row] == 1)).astype(np.int64), first)
+                    clean = np.add.reduceat((once & (own[in_row] == 0)).astype(np.int64), first)
+                    parts.append((np.full(len(first), kind), h[first], p[first], toxic, clean))
+                columns = [np.concatenate([np.asarray(part[i], np.int64) for part in parts]) for i in range(5)]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0].astype(np.int32)), *map(pa.array, columns[1:])], names=["kind", "h", "p", "t", "c"])
+
+    parts = taught.select("t", "label").mapInArrow(run, "kind int, h long, p long, t long, c long")
+    return parts.groupBy("kind", "h", "p").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).checkpoint()
+
+
+def standing_out(counts: DataFrame) -> dict[str, np.ndarray]:
+    """h, t, c, of_t, of_c of the rows whose class shares differ significantly, by hash."""
+    names = ["h", "t", "c", "of_t", "of_c"]
+
+    def run(batches):
+        for batch in batches:
+            _, t, c, of_t, of_c = (column.to_numpy().astype(float) for column in batch.columns)
+            yield batch.filter(pa.array(stands_out(np.ones(len(t)), t, of_t, c, of_c) > 0))
+
+    found = counts.select(*[F.col(n).cast("long") for n in names]).mapInArrow(run, ", ".join(f"{n} long" for n in names)).checkpoint()
+    n = found.count()
+    if n > MAX_ODDS:
+        raise ValueError(f"{n} words or prefixes stand out, more than MAX_ODDS = {MAX_ODDS}")
+    table = found.toArrow()
+    out = {name: table.column(name).to_numpy() for name in names}
+    order = np.argsort(out["h"])
+    return {name: values[order] for name, values in out.items()}
+
+
+def count_corpus(rows: DataFrame, prefixes: np.ndarray) -> tuple[np.ndarray, int]:
+    """How often all documents have each of some prefixes (hashes in order), and their words in all."""
+    shared = rows.sparkSession.sparkContext.broadcast(prefixes)
+
+    def run(batches):
+        n, keys = np.zeros(len(shared.value) + 1, np.int64), shared.value
+        for batch in batches:
+            for _, _, data, offsets in text_chunks(batch.column(0)):
+                prefix = token_hashes(data, offsets)[4]
+                n[-1] += len(prefix)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, prefix), len(keys) - 1)
+                    n[:-1] += np.bincount(at[keys[at] == prefix], minlength=len(keys))
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["at", "n"])
+
+    got = rows.select("t").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(prefixes) + 1)
+    if got.num_rows:
+        out[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    shared.unpersist()
+    return out[:-1], int(out[-1])
 
 
 def stands_out(odds: np.ndarray, t, n_t, c, n_c) -> np.ndarray:
@@ -131,21 +167,31 @@ def stands_out(odds: np.ndarray, t, n_t, c, n_c) -> np.ndarray:
     return np.where(g >= STAND_OUT, odds, 0.0)
 
 
+@dataclass
+class Odds:
+    """Log-odds by hash (in order); hashes that it does not hold have 0."""
+
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(h), np.float32)
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where(self.keys[at] == h, self.values[at], np.float32(0))
+
+
 @dataclass
 class ToxicityModel:
-    #: Log-odds of a prefix bucket; of a word bucket given its prefix; that prefix's bucket.
-    prefix_odds: np.ndarray
-    word_odds: np.ndarray
-    word_prefix: np.ndarray
+    #: Log-odds of a prefix; of a word given its prefix.
+    prefix_odds: Odds = field(default_factory=Odds)
+    word_odds: Odds = field(default_factory=Odds)
     rate: float = 1.0
     log_k: float = 0.0
     weights: tuple[float, float] = (-30.0, 0.0)
 
     def token_scores(self, word: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-        """Of words that share a bucket, those with its prefix have the word's own odds."""
-        own = self.word_odds[word]
-        own[self.word_prefix[word] != prefix] = 0
-        return np.clip((self.prefix_odds[prefix] + own).astype(np.float64), -SCORE_CLIP, SCORE_CLIP) + DRIFT
+        return np.clip((self.prefix_odds.of(prefix) + self.word_odds.of(word)).astype(np.float64), -SCORE_CLIP, SCORE_CLIP) + DRIFT
 
     def evidence(self, segment_scores: np.ndarray, n_words: np.ndarray) -> np.ndarray:
         """ln of 1 / E-value of segments in documents of so many words."""
@@ -183,7 +229,7 @@ def scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray, significan
     With ``significant_only``, rows whose positive words together would not make a significant
     segment have none looked for."""
     n = len(offsets) - 1
-    row, start, end, word, prefix = token_buckets(data, offsets)
+    row, start, end, word, prefix = token_hashes(data, offsets)
     first = row_starts(row, n)
     score = model.token_scores(word, prefix) if len(row) else np.zeros(0)
     segments: list[list[tuple[int, int, float]]] = [[] for _ in range(n)]
@@ -208,17 +254,24 @@ def scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray, significan
     return np.diff(first), segments, row, score
 
 
-def token_model(counts: np.ndarray) -> ToxicityModel:
-    """Word scores from the gathered counts."""
-    totals, words_, prefixes = counts[-1], counts[:BUCKETS], counts[BUCKETS:-1]
-    prior = STRENGTH * prefixes[:, 0] / max(totals[0], 1) + 0.5
-    odds = np.log((prefixes[:, 1] + prior) / (totals[1] + STRENGTH)) - np.log((prefixes[:, 2] + prior) / (totals[2] + STRENGTH))
-    prefix_odds = stands_out(odds, prefixes[:, 1], totals[1], prefixes[:, 2], totals[2])
-    # share of the word among documents with its prefix, under a symmetric prior
-    t, c, of = words_[:, 1], words_[:, 2], words_[:, 3].astype(np.int64)
-    pt, pc = prefixes[of, 1], prefixes[of, 2]
-    odds = np.log((t + 0.5) / (pt + 1.0)) - np.log((c + 0.5) / (pc + 1.0))
-    return ToxicityModel(prefix_odds.astype(np.float32), stands_out(odds, t, pt, c, pc).astype(np.float32), of.astype(np.int32))
+def token_model(rows: DataFrame, taught: DataFrame) -> ToxicityModel | None:
+    """Word scores from the texts (t) and the labels of some of them; None without both classes."""
+    counts = count_training(rows.join(F.broadcast(taught), "doc_id"))
+    n_t, n_c = counts.where(F.col("kind") == DOCUMENTS).agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    if not n_t or not n_c:
+        return None
+    prefixes = counts.where(F.col("kind") == PREFIXES).drop("kind", "p")
+    p = standing_out(prefixes.withColumns({"of_t": F.lit(n_t), "of_c": F.lit(n_c)}))
+    used, total = count_corpus(rows, p["h"])
+    prior = STRENGTH * used / max(total, 1) + 0.5
+    odds = np.log((p["t"] + prior) / (n_t + STRENGTH)) - np.log((p["c"] + prior) / (n_c + STRENGTH))
+    # share of the word among documents with its prefix, under a symmetric prior; the statistic is
+    # at most twice as many as have the word by ln of all documents, so rarer words need no look
+    enough = STAND_OUT / (2 * np.log(n_t + n_c))
+    w = standing_out(counts.where((F.col("kind") == WORDS) & (F.col("t") + F.col("c") >= float(enough) * 0.999)).drop("kind")
+                     .join(prefixes.select(F.col("h").alias("p"), F.col("t").alias("of_t"), F.col("c").alias("of_c")), "p"))
+    own = np.log((w["t"] + 0.5) / (w["of_t"] + 1.0)) - np.log((w["c"] + 0.5) / (w["of_c"] + 1.0))
+    return ToxicityModel(Odds(p["h"], odds.astype(np.float32)), Odds(w["h"], own.astype(np.float32)))
 
 
 def extreme_value_rate(histogram: np.ndarray, centres: np.ndarray) -> float:
@@ -258,10 +311,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
     taught = (training_labels(labels, label_col).select(F.col("doc_id").cast("string").alias("doc_id"), "label")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).checkpoint())
     taught = one_of_copies(rows.join(F.broadcast(taught), "doc_id")).checkpoint()
-    counts = count_tokens(rows, taught)
-    if not counts[-1, 1] or not counts[-1, 2]:
-        return ToxicityModel(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.int32))
-    model = token_model(counts)
+    model = token_model(rows, taught)
+    if model is None:
+        return ToxicityModel()
     shared = spark.sparkContext.broadcast(model)
     bins = int(2 * (SCORE_CLIP + 1) / SCORE_BIN)
 

@@ -70,6 +70,27 @@ def test_held_out_labels_teach_nothing(planted):
     assert a == b
 
 
+def test_words_keep_their_odds_in_a_large_vocabulary(llm):
+    """Toxic and clean words share their prefixes, next to three million other words."""
+    rng = random.Random(8)
+    ends = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(24)]
+    bad, good = ([rng.choice(("vile", "grob")) + e for e in part] for part in (ends[:8], ends[8:]))
+    rows, labels = [], []
+    for i in range(900):
+        toxic = int(rng.random() < 0.3)
+        text = [rng.choice("klmnopqr") * rng.randint(5, 9) for _ in range(rng.randint(8, 40))] + [rng.choice(good) for _ in range(3)]
+        for _ in range(3):
+            text.insert(rng.randrange(len(text)), rng.choice(bad if toxic else good))
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic, 1))
+    labels = llm.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    other = llm.range(1000, 4000).select(F.col("id").alias("doc_id"), F.expr(
+        "concat_ws(' ', transform(sequence(1, 1000), x -> substr(hex(xxhash64(id, x)), 1, 9)))").alias("text"))
+    docs = llm.createDataFrame(rows, "doc_id long, text string").union(other)
+    got = X.toxicity_scores(docs, labels).join(labels, "doc_id").where("held_out")
+    assert got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("double"))).first()[0] > 0.95
+
+
 def test_odd_rows(planted, odd_docs, no_docs):
     _, labels = planted
     got = X.toxicity_scores(odd_docs, labels.union(labels.limit(3)))
