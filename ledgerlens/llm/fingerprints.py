@@ -1,7 +1,8 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
 A text is cut into paragraphs (at line ends; a long line also at the first sentence
-end after ``LONG`` characters, and after twice as many), each different paragraph is hashed to a digest, and every digest is
+end after ``LONG`` characters, and after twice as many; near the start of a text, where
+``HEAD`` says so, after fewer), each different paragraph is hashed to a digest, and every digest is
 added to one cell in each of ``PARTS`` parts of a small table: a cell holds the
 number of its digests, their XOR, and the XOR of their check hashes.  The tables
 of two texts subtract cell by cell; what both share cancels out.  Peeling then
@@ -31,7 +32,21 @@ from pyspark.sql import functions as F
 PARTS, CELLS, MORE_CELLS = 4, 4, 8
 #: Characters after which a paragraph ends with its sentence, and twice which it ends anyway.
 LONG = 200
-PARAGRAPH = rf"[^\n]{{1,{LONG}}}(?:[^.!?\n]{{0,{LONG}}}[.!?]*)?\n*|\n+"
+#: (place, length): a paragraph that begins before the place has this length instead, so that half of
+#: a short text has whole paragraphs.  The cuts depend only on the text before them: a text that is
+#: changed further on keeps its paragraphs up to there.
+HEAD = ((12, 3), (48, 8), (240, 40), (720, 90))
+
+
+def paragraph(length: int) -> str:
+    return rf"[^\n]{{1,{length}}}(?:[^.!?\n]{{0,{length}}}[.!?]*)?\n*"
+
+
+def before(place: int) -> str:
+    return rf"(?<![\s\S]{{{place}}})"
+
+
+PARAGRAPH = rf"{before(HEAD[-1][0])}(?:{'|'.join(before(n) + paragraph(k) for n, k in HEAD)})|{paragraph(LONG)}|\n+"
 #: Differing digests that a table of a larger sketch is made for.
 LOAD = 12
 #: Rounds of peeling before a sketch counts as failed.

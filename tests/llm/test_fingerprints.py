@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import xxhash
@@ -71,3 +72,11 @@ def test_differing_digests_are_recovered(llm):
     edited = text[:len(text) - len(text) // 2] + after[:len(text) // 2]
     signs = sorted(d.sign for d in got[2].differing_edited)
     assert signs == [-1] * len(paragraphs(edited) - paragraphs(text)) + [1] * len(paragraphs(text) - paragraphs(edited))
+
+
+def test_short_one_line_texts_are_like_their_edited_texts(llm):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(80))[:12 + i] + "." * (i % 2)) for i in range(400)]
+    got = check(llm.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert all(r.near_edited > r.near_next for r in got)
