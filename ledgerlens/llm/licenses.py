@@ -6,7 +6,7 @@ template as a raw zstandard dictionary, under the same parameters.  The bytes a
 template saves rank the templates; in that order, those that save enough, or
 whose own runs of words stand in the piece, are aligned with the piece word by
 word and confirmed by their exact wording differences: none for a short notice, a
-tenth of the words for a long one.
+tenth of the words for a long one, but no word that tells licenses apart.
 
 Defined results: null and empty texts have no licenses; case, punctuation and
 white space between words do not count as differences; a place that several
@@ -32,37 +32,57 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm.textops import LOWER_ASCII, text_chunks
 
+def gnu(subject: str, name: str, version: str) -> str:
+    return (f"This {subject} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+            f"by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.")
+
+
+def gnu_only(subject: str, name: str, version: str) -> list[str]:
+    start = f"This {subject} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}"
+    return [f"{start} as published by the Free Software Foundation; version {version} of the License.",
+            f"{start} version {version} as published by the Free Software Foundation."]
+
+
+BSD_1 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+         "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+         "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+         "disclaimer in the documentation and/or other materials provided with the distribution.")
+BSD_AD = ("All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+          "This product includes software developed by the copyright holder.")
+BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+             "this software without specific prior written permission.")
+LESSER = "Lesser General Public License"
+
 # Notices as their licenses word them.
 TEMPLATES = {
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.",
+                 gnu("program", "Affero General Public License", "3"), *gnu_only("program", "Affero General Public License", "3")],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
         "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
         "either express or implied. See the License for the specific language governing permissions and limitations under the License."],
-    "BSD-2-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
-        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
-        "disclaimer in the documentation and/or other materials provided with the distribution."],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license."],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", BSD_1],
+    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license.",
+                     f"{BSD_1} 3. {BSD_NAMES}"],
+    "BSD-4-Clause": [f"{BSD_1} 3. {BSD_AD} 4. {BSD_NAMES}"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
-    "GPL-2.0": [
-        "This work is licensed under the GNU General Public License, version 2.",
-        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+                "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring "
+                "rights to this work."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
+                gnu("program", "General Public License", "2"), *gnu_only("program", "General Public License", "2")],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
+                gnu("program", "General Public License", "3"), *gnu_only("program", "General Public License", "3")],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
         "the above copyright notice and this permission notice appear in all copies."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+    "LGPL-2.0": [gnu("library", "Library General Public License", "2"), *gnu_only("library", "Library General Public License", "2")],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", gnu("library", LESSER, "2.1"), *gnu_only("library", LESSER, "2.1")],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", gnu("library", LESSER, "3"), *gnu_only("library", LESSER, "3")],
     "MIT": [
         "Released under the MIT License.", "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
@@ -70,11 +90,20 @@ TEMPLATES = {
         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+                "file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.",
+                  "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                  "compiled binary, for any purpose, commercial or non-commercial, and by any means."],
 }
+for _name, _notices in TEMPLATES.items():
+    _notices += [f"SPDX-License-Identifier: {_name}{end}" for end in (("", "-only", "-or-later") if "GPL" in _name else ("",))]
+#: The licenses of an SPDX line: names joined by operators.
+SPDX = re.compile(rb"spdx-license-identifier:([( \t]*[a-z0-9.+-]+[) \t]*(?:(?<=[) \t])(?:and|or|with)[( \t]+[a-z0-9.+-]+[) \t]*)*)")
 # Lower-case words that license notices use.
-CUES = (b"licen", b"copyright", b"hereby granted", b"public domain", b"redistribut", b"spdx", b"free software", b"all rights reserved")
+CUES = (b"licen", b"copyright", b"hereby granted", b"public domain", b"redistribut", b"spdx", b"free software", b"all rights reserved",
+        b"free to copy", b"endorse", b"advertising materials")
 
 #: Bytes on each side of a cue that make a block (blocks that touch are one).
 AROUND = 320
@@ -86,6 +115,10 @@ LEAST_SAVED, SHORT = 1, 25
 #: Share of the words of a longer template that may differ.
 MAY_DIFFER = 0.1
 LEVEL = 9
+#: Words that tell licenses apart, which never may differ (see ``telling``).
+TELLING = re.compile(rb"(?:.*-)?(?:affero|lesser|nc|sa|nd|noncommercial|sharealike|noderivatives|noderivs|endorse|advertising)(?:-.*)?|v?\d+(?:\.\d+)+|v\d+")
+#: Clauses that follow a notice in a license of another name: words that do not stand within so many words after it.
+FURTHER, FURTHER_WORDS = {"BSD-2-Clause": {b"endorse", b"advertising"}}, 80
 WORD = re.compile(rb"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 
 
@@ -140,6 +173,17 @@ def blocks(low: bytes, offsets: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
+def telling(words, first: int, end: int) -> list[bytes]:
+    """Of some words those that tell licenses apart, versions and the name of the Library GPL by the words beside them."""
+    def tells(i: int) -> bool:
+        word, last = words[i], words[i - 1] if i else b""
+        following = words[i + 1] if i + 1 < len(words) else b""
+        return (TELLING.fullmatch(word) is not None or word.isdigit() and last in (b"version", b"v")
+                or word == b"library" and following == b"general")
+
+    return [words[i] for i in range(first, end) if tells(i)]
+
+
 def occurrences(words: list[bytes], template: Template) -> list[tuple[int, int, list[str]]]:
     """(first word, end word, differences) of each place where the template's wording
     is kept closely enough."""
@@ -164,7 +208,8 @@ def occurrences(words: list[bytes], template: Template) -> list[tuple[int, int,
             codes.pop()
         differing = [(c, own[a + c[1]:a + c[2]], wanted[c[3]:c[4]]) for c in codes if c[0] != "equal"]
         first, end = low + a + codes[0][1], low + a + codes[-1][2]
-        if sum(max(len(x), len(y)) for _, x, y in differing) <= spare:
+        same = telling(words, first, end) == telling(wanted, 0, len(wanted))
+        if sum(max(len(x), len(y)) for _, x, y in differing) <= spare and (same or not differing):
             found.append((first, end, [f"{b' '.join(y).decode()} > {b' '.join(x).decode()}" for _, x, y in differing]))
         else:
             first, end = low + match.a, low + match.a + match.size
@@ -196,6 +241,29 @@ class Scanner:
         """The templates that save enough."""
         return [r for r in self.ranked(piece) if r[0] >= LEAST_SAVED]
 
+    def goes_on(self, words: list[bytes], end: int, template: Template) -> bool:
+        """Whether clauses of another license follow a long notice (before its disclaimer or the next notice)."""
+        further = FURTHER.get(template.license)
+        if not further or len(template.words) <= SHORT:
+            return False
+        for i, word in enumerate(words[end:end + FURTHER_WORDS], end):
+            if word in further:
+                return True
+            if word == b"redistribution" or words[i:i + 4] == [b"this", b"software", b"is", b"provided"]:
+                return False
+        return False
+
+    def spdx(self, block: bytes) -> list[tuple]:
+        """Places of the known names of SPDX lines after the first, which a template has with its line."""
+        known = {t.license.lower().encode(): t.license for t in self.templates}
+        found = []
+        for line in SPDX.finditer(block):
+            for m in re.finditer(rb"[a-z0-9.+-]+", line[1]):
+                name = known.get(re.sub(rb"(?:\+|-only|-or-later)?\.*$", b"", m[0]))
+                if name:
+                    found.append((1, 0, name, line.start(1) + m.start(), line.start(1) + m.end(), [], 0))
+        return found
+
     def scan(self, block: bytes) -> list[dict]:
         """Confirmed licenses of a block: license, byte range in it, differences, bytes saved."""
         places = [(m.start(), m.end()) for m in WORD.finditer(block)]
@@ -209,8 +277,11 @@ class Scanner:
                 if saved < LEAST_SAVED and not template.may_stand(joined):
                     continue
                 for first, end, differing in occurrences(piece, template):
+                    if self.goes_on(words, low + end, template):
+                        continue
                     if own <= low + first < own + PIECE:
                         found.append((len(template.words), -len(differing), template.license, places[low + first][0], places[low + end - 1][1], differing, saved))
+        found += self.spdx(block)
         out: list[dict] = []
         starts: list[int] = []
         for _, _, name, a, b, differing, saved in sorted(found, key=lambda f: (-f[0], -f[1], f[2], f[3])):

@@ -56,6 +56,31 @@ def test_many_notices_in_one_text_equal_a_plain_search(llm, docs):
     assert all(s.differences == [] for s in got)
 
 
+def test_standard_notices_are_not_taken_for_another_license(llm):
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software "
+           "Foundation, either version {} of the License, or (at your option) any later version.")
+    lesser = gpl.replace("This program", "This library")
+    bsd = next(t for t in L.TEMPLATES["BSD-2-Clause"] if t.startswith("Redistribution"))
+    third = (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.")
+    end = " THIS SOFTWARE IS PROVIDED AS IS, and nobody may endorse it."
+    wanted = [
+        (gpl.format("General Public License", "3"), "GPL-3.0"), (gpl.format("General Public License", "2"), "GPL-2.0"),
+        (gpl.format("Affero General Public License", "3"), "AGPL-3.0"), (gpl.format("Lesser General Public License", "3"), "LGPL-3.0"),
+        (gpl.format("Lesser General Public License", "2.1"), "LGPL-2.1"), (lesser.format("Lesser General Public License", "2.1"), "LGPL-2.1"),
+        (lesser.format("Library General Public License", "2"), "LGPL-2.0"), (lesser.format("General Public License", "3"), "GPL-3.0"),
+        (gpl.format("Wider Affero Public License", "9"), ""), (bsd + end, "BSD-2-Clause"), (bsd.replace("1. ", "* ").replace("2. ", "* ") + end, "BSD-2-Clause"),
+        (bsd + third + end, "BSD-3-Clause"), (bsd + third.replace("the copyright holder", "Example Corporation") + end, "BSD-3-Clause"),
+        (bsd + " 3. The name of the author may not be used to endorse or promote products derived from this software without specific prior "
+         "written permission." + end, "BSD-3-Clause"),
+        ("// SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\nand isc", "Apache-2.0,MIT"), ("SPDX-License-Identifier: LicenseRef-Own AND ISC", "ISC"),
+        ("SPDX-License-Identifier: MIT not Apache-2.0", "MIT"),
+    ]
+    got = places(llm, [text for text, _ in wanted])
+    assert [got[i].licenses for i in range(len(wanted))] == [name for _, name in wanted]
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert L.license_report(odd_docs).count() == odd_docs.count()
     assert L.license_report(no_docs).count() == 0
