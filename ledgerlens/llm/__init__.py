@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, their queries and helpers.
+"""Training-data operators: corpus operators, their queries and helpers.
 
 Nothing else in the library imports this package.  Operators that run Python in
 tasks need the package on the executors (installed, or shipped with

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, prepare, quality, secrets, sharding, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, pieces, prepare, quality, secrets, sharding, suffixdedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+#: The model file of the encoding query, from the installed tokenizer files.
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op12_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text they decode to (backtracking)."""
+    import public_tokenizers
+
+    prepare(spark)
+    return pieces.encoding_report(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -81,6 +93,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op12_sentencepiece_encoding": op12_sentencepiece_encoding,
 }
 
 ORACLE_SQL: dict[str, str] = {
