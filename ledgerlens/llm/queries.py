@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, pieces, prepare, quality, secrets, sharding, suffixdedup, toxicity
+from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, pieces, prepare, quality, secrets, sharding, suffixdedup, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,12 @@ def op12_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_report(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings on their largest components (contour integration)."""
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
@@ -94,6 +100,7 @@ QUERIES = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scan": op10_license_scan,
     "op12_sentencepiece_encoding": op12_sentencepiece_encoding,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
