@@ -46,6 +46,9 @@ ROUNDS = 12
 NO_VARIANCE = 1e-14
 #: The longest vectors: a matrix of 128 MB on the driver.
 MAX_LENGTH = 4096
+#: Vectors summed by a task: many more than a matrix has rows, so that the tasks'
+#: matrices are small against the vectors.
+TASK_VECTORS = 1 << 16
 #: Exact sums are split here.
 HALF = 1 << 64
 #: Entries of vectors handled at a time in a task.
@@ -261,7 +264,9 @@ class Whitening:
         return y.astype(float) - self.rest
 
     def whitened(self, x: np.ndarray) -> np.ndarray:
-        return self.centred(x) @ self.vectors / np.sqrt(self.values)
+        """By row, so that a row's numbers do not depend on the rows beside it."""
+        y = self.centred(x)
+        return np.stack([(y * v).sum(axis=1) for v in self.vectors.T], axis=1) / np.sqrt(self.values)
 
     def deviation(self, x: np.ndarray) -> list[int | None]:
         """Exact sum of (n*x - S)**2 of each row; None beyond a long."""
@@ -318,7 +323,7 @@ def whiten(rows: DataFrame, *, vector_col: str = "embedding", id_col: str = "vec
     length, n = int(common["length"]), int(common["count"])
     if length > MAX_LENGTH:
         raise ValueError(f"vectors of {length} entries: more than {MAX_LENGTH}")
-    fit = fit.where(F.size("x") == length)
+    fit = fit.where(F.size("x") == length).coalesce(-(-n // TASK_VECTORS))
     model = fit_whitening(fit, length, n, components)
     k = len(model.values)
     if not k:
