@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, fingerprints, jaccard, licenses, mixing, pieces, prepare, quality, secrets, sharding, suffixdedup, toxicity, whitening
+from ledgerlens.llm import collocations, decontaminate, fingerprints, jaccard, licenses, mixing, pieces, prepare, quality, secrets, sharding, suffixdedup, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language (FM-index per shard over word ids)."""
+    prepare(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: The model file of the encoding query, from the installed tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -99,6 +105,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_sentencepiece_encoding": op12_sentencepiece_encoding,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
