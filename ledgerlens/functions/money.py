@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 UNITS_PER_MONEY = 10000
 #: Units of the upper half of a sum, as a power of two.
 HALF_BITS = 20
-#: What a double may be off a whole number of units, by its size.
-RELATIVE_ERROR = 1e-12
+#: What the double of an amount with four decimals may be off a whole number of units,
+#: by its size: half a unit in the last place each for the amount and for the product.
+RELATIVE_ERROR = 2.0 ** -52
 
 
 def money_units(col: str | Column) -> Column:
