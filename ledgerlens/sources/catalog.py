@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.sources.versions import drop_replaceable, physical_table
+
 
 def append_table(df: DataFrame, name: str) -> None:
     """Append rows, matching columns by name; creates the table on first use.
     An existing table keeps its own layout (partitioning, format)."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        df.select(*spark.table(name).columns).write.insertInto(name)
+        df.select(*spark.table(name).columns).write.insertInto(physical_table(spark, name))
     else:
         df.write.mode("append").saveAsTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_replaceable(spark, name)
 
 
 def table_roundtrip(spark: SparkSession, df: DataFrame, name: str,

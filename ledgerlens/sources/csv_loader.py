@@ -3,8 +3,8 @@
 Steps for one file (or folder of part files):
 
 1. separator: the candidates that split the header line into more than one
-   column are tried in order; a file that does not load under one is tried under
-   the next, and rejected if none is left;
+   column are tried in order; a file whose rows do not fit under one is tried under
+   the next, and rejected if none is left (any other failure is final);
 2. read every column as text (no Spark inference pass);
 3. null tokens (the usual spellings of "missing") become NULL;
 4. types: one aggregation over all columns decides, per column, whether
@@ -14,7 +14,8 @@ Steps for one file (or folder of part files):
    ``group`` or ``name``; a column whose name contains ``date`` becomes a
    timestamp (strict: a bad value fails the load; tolerant: it becomes NULL
    and is counted);
-6. one overwrite write to the catalog, observed for row and bad-date counts.
+6. one write of a new version of the table, observed for row and bad-date counts;
+   the table shows it once it is whole (``sources.versions``).
 
 Steps 4 and 6 are the only passes over the data; both run on the executors.
 Only the header line and one row of per-column flags reach the driver.
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions.names import is_date_column, normalize_column_name, table_name_for
 from ledgerlens.sources.files import FORMAT
 from ledgerlens.sources.runlog import RunLog
+from ledgerlens.sources.versions import replace_table
 
 SEPARATORS = (",", ";")
 
@@ -49,10 +51,25 @@ INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
+# How Spark names rows or headers that do not fit the columns.
+MISFITS = ("MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD", "CSV header does not conform to the schema",
+           "Number of column in CSV header is not equal")
+
+
 class SeparatorError(ValueError):
     pass
 
 
+def is_misfit(exc: BaseException) -> bool:
+    """Whether a load failed because rows or headers do not fit the columns, as they
+    do under a wrong separator (and not because of a value, a file or an executor)."""
+    texts, cause = [str(exc)], getattr(exc, "_origin", None)
+    while cause is not None:
+        texts.append(str(cause.getMessage()))
+        cause = cause.getCause()
+    return any(m in t for m in MISFITS for t in texts)
+
+
 def header_line(spark: SparkSession, path: str, recursive: bool = False) -> str:
     rows = spark.read.option("recursiveFileLookup", recursive).text(path).limit(1).collect()
     if not rows:
@@ -164,7 +181,7 @@ def load_table(spark: SparkSession, path: str, table: str, sep: str | None = Non
         try:
             return load_with_separator(spark, path, table, candidate, log=log, **opts)
         except Exception as exc:
-            if i == len(candidates) - 1:
+            if i == len(candidates) - 1 or not is_misfit(exc):
                 raise
             if log is not None:
                 log.record("separator rejected", "ok", table, None, f"sep={candidate!r}: {exc}")
@@ -191,11 +208,8 @@ def load_with_separator(spark: SparkSession, path: str, table: str, sep: str,
     obs = Observation(f"load_{table}")
     observed = (typed.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(failed).alias("bad_dates"))
                 .drop(*[f"__raw{i}" for i in range(len(date_src))]))
-    writer = observed.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    # Overwrite replaces the table (schema included), as drop + create does.
-    writer.saveAsTable(table)
+    # The table is replaced (schema included), as drop + create does.
+    replace_table(observed, table, (lambda w: w.partitionBy(*partition_by)) if partition_by else None)
     m = obs.get
     result = {"table": table, "rows": int(m.get("rows") or 0),
               "bad_dates": int(m.get("bad_dates") or 0), "separator": sep}

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.sources.runlog import RunLog
+from ledgerlens.sources.versions import replace_table
 
 
 def read_script(path: str) -> str:
@@ -23,7 +23,7 @@ def read_script(path: str) -> str:
 def run_script(spark: SparkSession, script_path: str, target: str, log_path: str | None = None,
                log_table: str | None = None, source_database: str | None = None) -> DataFrame:
     """Run the script against ``source_database`` (or the current one),
-    replace ``target`` with the result and log each step.  Returns the
+    replace ``target`` with the result (whole or not at all) and log each step.  Returns the
     target table (named with its database if ``source_database`` is given); the
     caller's database stays selected."""
     log = RunLog(spark, log_table, log_path)
@@ -36,9 +36,7 @@ def run_script(spark: SparkSession, script_path: str, target: str, log_path: str
         text = read_script(script_path)
         result = spark.sql(text)
         log.record("query planned", "ok", target)
-        obs = Observation("script_rows")
-        result.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(target)
-        log.record("table written", "ok", target, obs.get.get("rows"))
+        log.record("table written", "ok", target, replace_table(result, target))
         status = "ok"
         return spark.table(target)
     except Exception as exc:
