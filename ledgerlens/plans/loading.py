@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens import tables as T
 from ledgerlens.functions.dates import parse_timestamps
+from ledgerlens.operators.hotkeys import spread_join
 from ledgerlens.operators.lookup import key_set, lookup
-from ledgerlens.plans.reports import last_months_cutoff, monthly_status, monthly_status_report
+from ledgerlens.plans.reports import (last_months_cutoff, monthly_status, monthly_status_report,
+                                      status_by_month_and_territory)
 from ledgerlens.session import configure, scratch_path
 from ledgerlens.sources.catalog import append_table, publish_table, table_roundtrip
 from ledgerlens.sources.csv_loader import load_tables
 from ledgerlens.sources.files import read_csv, write_csv
+from ledgerlens.sources.ledger import append_once, committed_rows, new_rows, write_batches
 from ledgerlens.sources.runlog import RunLog
 from ledgerlens.sources.scripts import run_script
 
@@ -164,6 +167,47 @@ def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def replace_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the header file, then the same file with a bad date in its last order, which
+    fails while the table is being written: the first load's rows are all there.  A row
+    per order, with how many of the two loads succeeded."""
+    db = stage_db(spark)
+    first, second = scratch_path(spark, "load"), scratch_path(spark, "load")
+    header = header_source_rows(spark, sf_dir).drop("Remark")
+    last = header.agg(F.max("SalesOrderID")).first()[0]
+    write_csv(header, f"{first}/Sales.SalesOrderHeader.csv", sep=";")
+    date = F.date_format("OrderDate", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    write_csv(header.withColumn("OrderDate", F.when(F.col("SalesOrderID") == last, F.lit("no date")).otherwise(date)),
+              f"{second}/Sales.SalesOrderHeader.csv", sep=";")
+    results = [load_tables(spark, folder, ["Sales.SalesOrderHeader"], database=db)[0] for folder in (first, second)]
+    succeeded = sum(r["status"] == "ok" for r in results)
+    return spark.table(results[0]["table"]).withColumn("loads_ok", F.lit(succeeded).cast("bigint"))
+
+
+def append_batches_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders sent in batches of a year, some of them twice: the first half, all of them,
+    and all again after the last year's rows had been written without being committed.
+    The committed rows, with their batch."""
+    orders = T.read(spark, sf_dir, "orders").withColumn("batch_id", F.year("o_orderdate").cast("string"))
+    name = f"{stage_db(spark)}.orders_by_batch"
+    middle, last = orders.agg(F.percentile_approx(F.year("o_orderdate"), 0.5), F.max(F.year("o_orderdate"))).first()
+    append_once(orders.where(F.year("o_orderdate") <= middle), name)
+    append_once(orders.where(F.year("o_orderdate") < last), name)
+    write_batches(new_rows(orders, name, "batch_id"), name, "batch_id")  # a run that ended before its commit
+    append_once(orders, name)
+    append_once(orders, name)
+    return committed_rows(spark, name)
+
+
+def monthly_status_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly status report over joins that spread hot keys: orders with their
+    customers, then with the few territories (every one of which is hot)."""
+    customers = T.customer(spark, sf_dir).select("customerid", "territoryid")
+    placed = spread_join(T.sales_header(spark, sf_dir), customers, ["customerid"])
+    named = spread_join(placed, T.territory(spark, sf_dir).select("territoryid", "name_t"), ["territoryid"])
+    return status_by_month_and_territory(named)
+
+
 def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose date went through text and back, with the key as text."""
     orders = T.sales_header(spark, sf_dir).select(

@@ -159,6 +159,10 @@ WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey AND n_regionkey = r_re
 
 INCREMENTAL_LOAD = f"SELECT {HEADER_COLUMNS} FROM orders JOIN customer ON o_custkey = c_custkey"
 
+REPLACE_AFTER_FAILED_LOAD = f"SELECT {HEADER_COLUMNS}, 1::BIGINT AS loads_ok FROM orders JOIN customer ON o_custkey = c_custkey"
+
+APPEND_BATCHES_ONCE = "SELECT orders.*, strftime(o_orderdate, '%Y') AS batch_id FROM orders"
+
 LOADED_COUNTS = " UNION ALL ".join(
     ["SELECT 'datos_base_clientes' AS name, 'error' AS status, NULL::BIGINT AS n_rows"]
     + [f"SELECT '{name}', 'ok', count(*) FROM {table}" for name, table in (
@@ -216,4 +220,7 @@ def oracle_sql() -> dict[str, str]:
         "filter_sort_demo": FILTER_SORT_DEMO,
         "customer_lookup": CUSTOMER_LOOKUP,
         "incremental_load": INCREMENTAL_LOAD,
+        "replace_after_failed_load": REPLACE_AFTER_FAILED_LOAD,
+        "append_batches_once": APPEND_BATCHES_ONCE,
+        "monthly_status_hot_keys": MONTHLY_STATUS_REPORT,
     }

@@ -31,4 +31,7 @@ QUERIES = {
     "filter_sort_demo": L.filter_sort_demo,
     "customer_lookup": L.customer_lookup,
     "incremental_load": L.incremental_header_load,
+    "replace_after_failed_load": L.replace_after_failed_load,
+    "append_batches_once": L.append_batches_once,
+    "monthly_status_hot_keys": L.monthly_status_hot_keys,
 }

@@ -49,7 +49,12 @@ def monthly_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_status(header: DataFrame, territory: DataFrame) -> DataFrame:
     """The same over given tables (header: territoryid, orderdate, status, totaldue;
     territory: territoryid, name_t), e.g. those that the loader made."""
-    src = with_territory(header, territory.select("territoryid", "name_t")).select(
+    return status_by_month_and_territory(with_territory(header, territory.select("territoryid", "name_t")))
+
+
+def status_by_month_and_territory(orders: DataFrame) -> DataFrame:
+    """The report over orders that have their territory's name (orderdate, name_t, status, totaldue)."""
+    src = orders.select(
         month_num("orderdate").alias("_m"),
         F.col("name_t").alias("nombreterritorio"),
         "status", "totaldue")
