@@ -28,7 +28,8 @@ document at least, and memory follows that or ``SHARD_WORDS``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ TOP = 2000
 #: Most words of a phrase.
 DEPTH = 3
 #: Words of a shard.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 #: Bits of the frequent pairs' bitmap for each pair, and at most (32 MB).
 BITS_EACH, MAX_BITS = 16, 1 << 28
 #: Scores are whole numbers of this fraction.
@@ -68,20 +69,21 @@ class Transform:
     def __init__(self, text: np.ndarray, symbols: int, depth: int):
         self.n, self.symbols = len(text), symbols
         bits = int(symbols).bit_length()
-        ahead = [np.concatenate((text[k:], np.zeros(min(k, self.n), np.int64))) for k in range(depth)]
         if bits * depth <= 63:
-            key = np.zeros(self.n, np.int64)
-            for a in ahead:
-                key = key << bits | a
+            key = text.astype(np.int64)
+            for k in range(1, depth):
+                key <<= bits
+                key[:self.n - k] |= text[k:]
             order = np.argsort(key, kind="stable")
+            del key
         else:
-            order = np.lexsort(ahead[::-1])
+            order = np.lexsort([np.concatenate((text[k:], np.zeros(min(k, self.n), text.dtype))) for k in range(depth)][::-1])
         self.bwt = text[order - 1]
+        del order
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols))))
         place = np.argsort(self.bwt, kind="stable")
         #: symbol and place of every entry, in the order of the suffixes that the entries begin
-        self.entries = self.bwt[place] * self.n + place
-        self.edges = np.concatenate(([0], np.cumsum(self.bwt < 2)))
+        self.entries = self.bwt[place].astype(np.int64) * self.n + place
 
     def extensions(self, low: np.ndarray, count: np.ndarray):
         """Every interval with each word before it: (interval, word, occurrences, start of
@@ -98,7 +100,8 @@ class Transform:
 
     def extended(self, low: np.ndarray, count: np.ndarray) -> np.ndarray:
         """How many occurrences of each interval have a word before them in their piece."""
-        return count - (self.edges[low + count] - self.edges[low])
+        edges = np.concatenate(([0], np.cumsum(self.bwt < 2, dtype=np.int32)))
+        return count - (edges[low + count] - edges[low])
 
 
 class Phrases:
@@ -115,15 +118,20 @@ class WordIndex:
     """Both transforms of a shard's pieces (word numbers from 2; 1 stands between pieces)."""
 
     def __init__(self, text: np.ndarray, symbols: int, depth: int = DEPTH):
-        end = np.zeros(1, np.int64)
-        self.forward = Transform(np.concatenate((text, end)), symbols, depth)
-        self.backward = Transform(np.concatenate((text[::-1], end)), symbols, depth)
-        self.symbols = symbols
+        self.text, self.symbols, self.depth = text, symbols, depth
+
+    @cached_property
+    def forward(self) -> Transform:
+        return Transform(np.append(self.text, self.text.dtype.type(0)), self.symbols, self.depth)
+
+    @cached_property
+    def backward(self) -> Transform:
+        return Transform(np.append(self.text[::-1], self.text.dtype.type(0)), self.symbols, self.depth)
 
     def words(self) -> Phrases:
-        word = np.arange(2, self.symbols)
-        count = np.diff(self.forward.first)[2:]
-        return Phrases(word[:, None], self.forward.first[2:-1], self.backward.first[2:-1], count)
+        """All words; their intervals are the same in both transforms."""
+        first = self.backward.first
+        return Phrases(np.arange(2, self.symbols)[:, None], first[2:-1], first[2:-1], np.diff(first)[2:])
 
     def right(self, phrases: Phrases) -> Phrases:
         """The phrases with every word that follows them."""
@@ -166,14 +174,14 @@ class Shard:
         self.languages.append((languages, row))
         self.size += len(start)
 
-    def index(self) -> tuple[np.ndarray, np.ndarray, WordIndex]:
+    def index(self, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, WordIndex]:
         """Distinct keys, the place of a first occurrence of each, and the index over their numbers."""
         keys = np.concatenate(self.keys)
         distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
         new = np.concatenate(self.starts_piece)
-        text = np.ones(len(keys) + new.sum() + 1, np.int64)
+        text = np.ones(len(keys) + new.sum() + 1, np.int32)
         text[np.arange(len(keys)) + np.cumsum(new)] = number + 2
-        return distinct, first, WordIndex(text, len(distinct) + 2)
+        return distinct, first, WordIndex(text, len(distinct) + 2, depth)
 
     def spelled(self, places: np.ndarray) -> tuple[list[str], list[str]]:
         """Words at places in the shard, and their languages."""
@@ -231,7 +239,7 @@ def word_and_pair_counts(source: DataFrame, shard_words: int) -> DataFrame:
     """h1, h2 (null for a word), f: counts of all words and pairs."""
     def run(batches):
         for shard in shards(batches, shard_words):
-            keys, _, index = shard.index()
+            keys, _, index = shard.index(depth=2)
             words = index.words()
             yield pa.RecordBatch.from_arrays([longs(keys), pa.nulls(len(keys), pa.int64()), longs(words.count)], names=["h1", "h2", "n"])
             pairs = index.right(words)
@@ -241,28 +249,30 @@ def word_and_pair_counts(source: DataFrame, shard_words: int) -> DataFrame:
     return source.mapInArrow(run, "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("f"))
 
 
-def pair_bit(first, second, mask: int):
-    """Place of a pair in the bitmap (Spark columns or numpy arrays of hashes)."""
-    if isinstance(first, Column):
-        return first.bitwiseXOR(F.shiftleft(second, 1)).bitwiseAND(F.lit(mask))
-    return (first ^ (second << 1)) & mask
+def pair_places(first: np.ndarray, second: np.ndarray, mask: int) -> list[np.ndarray]:
+    """The two places of a pair of hashes in the bitmap."""
+    return [(first ^ (second << 1)) & mask, ((first >> 24) ^ (second >> 11)) & mask]
+
+
+def pair_places_sql(mask: int) -> list[Column]:
+    """The same of the columns h1, h2."""
+    return [F.expr(f"(h1 ^ shiftleft(h2, 1)) & {mask}L"), F.expr(f"(shiftright(h1, 24) ^ shiftright(h2, 11)) & {mask}L")]
 
 
 def pair_bitmap(pairs: DataFrame, max_bits: int = MAX_BITS) -> np.ndarray:
     """Bitmap of the pairs: bits for each pair up to ``max_bits`` in all."""
     n = pairs.count()
     bits = min(max_bits, max(1 << 16, 1 << (BITS_EACH * max(n, 1) - 1).bit_length()))
-    place = pair_bit(F.col("h1"), F.col("h2"), bits - 1)
-    made = (pairs.select(F.shiftright(place, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-            .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())
+    made = (pairs.select(F.explode(F.array(*pair_places_sql(bits - 1))).alias("place"))
+            .groupBy(F.shiftright("place", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(place & 63L AS int)))").alias("bits")).toArrow())
     out = np.zeros(bits >> 6, np.int64)
     out[made.column("at").to_numpy()] = made.column("bits").to_numpy()
     return out
 
 
 def in_bitmap(bitmap: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    place = pair_bit(first, second, (len(bitmap) << 6) - 1)
-    return (bitmap[place >> 6] >> (place & 63) & 1).astype(bool)
+    both = [bitmap[place >> 6] >> (place & 63) & 1 for place in pair_places(first, second, (len(bitmap) << 6) - 1)]
+    return (both[0] & both[1]).astype(bool)
 
 
 def phrase_rows(source: DataFrame, bitmap, shard_words: int) -> DataFrame:
