@@ -21,10 +21,12 @@ from ledgerlens.operators.lookup import key_set, lookup
 from ledgerlens.plans.reports import (last_months_cutoff, monthly_status, monthly_status_report,
                                       status_by_month_and_territory)
 from ledgerlens.session import configure, scratch_path
+from ledgerlens.sources.arriving import load_arriving
 from ledgerlens.sources.catalog import append_table, publish_table, table_roundtrip
 from ledgerlens.sources.csv_loader import load_tables
-from ledgerlens.sources.files import read_csv, write_csv
+from ledgerlens.sources.files import FORMAT, read_csv, write_csv
 from ledgerlens.sources.ledger import append_once, committed_rows, new_rows, write_batches
+from ledgerlens.sources.quarantine import REJECTED_SUFFIX, load_split
 from ledgerlens.sources.runlog import RunLog
 from ledgerlens.sources.scripts import run_script
 
@@ -199,6 +201,44 @@ def append_batches_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_rows(spark, name)
 
 
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header file in which some rows have a separator too many, a bad date or a bad
+    amount: each order once, whether it was loaded and, if not, why."""
+    header = header_source_rows(spark, sf_dir)
+    key = F.col("SalesOrderID") % 50
+    folder = scratch_path(spark, "load")
+    rows = header.select(
+        "SalesOrderID", "CustomerID", "TerritoryID",
+        F.when(key == 1, F.lit("not known")).otherwise(F.date_format("OrderDate", "yyyy-MM-dd HH:mm:ss")).alias("OrderDate"), "Status",
+        F.when(key.isin(1, 2), F.lit("1,5")).otherwise(F.col("SubTotal").cast("string")).alias("SubTotal"),
+        F.when(key == 0, F.lit("one;more")).otherwise(F.lit("plain")).alias("Remark"))
+    # as a program writes that does not quote
+    rows.write.options(**{**FORMAT, "sep": ";", "quote": "\u0000"}).csv(f"{folder}/header.csv")
+    table = f"{stage_db(spark)}.header"
+    load_split(spark, f"{folder}/header.csv", table, types={"SubTotal": "double"})
+    kept = spark.table(table).select("salesorderid", F.lit(True).alias("kept"), F.lit(None).cast("string").alias("reason"))
+    rejected = spark.table(table + REJECTED_SUFFIX).select(
+        F.split("raw", ";")[0].cast("bigint").alias("salesorderid"), F.lit(False).alias("kept"), "reason")
+    return kept.unionByName(rejected)
+
+
+def types_over_arriving_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arriving in two files' worth, the first with whole amounts and numbers as
+    codes, the second with cents and text; nothing new arrives before the third load.
+    The table holds both, amounts as double and codes as text."""
+    header = header_source_rows(spark, sf_dir).select("SalesOrderID", "OrderDate", "SubTotal", "Status")
+    odd = F.col("SalesOrderID") % 2 == 1
+    folder, table = scratch_path(spark, "inbox"), f"{stage_db(spark)}.arriving_orders"
+    write_csv(header.where(~odd).select("SalesOrderID", "OrderDate", F.floor("SubTotal").alias("SubTotal"), F.col("Status").alias("Code")),
+              f"{folder}/first", sep=";")
+    load_arriving(spark, folder, table)
+    write_csv(header.where(odd).select("SalesOrderID", "OrderDate", "SubTotal", F.concat(F.lit("S"), "Status").alias("Code")),
+              f"{folder}/second", sep=";")
+    load_arriving(spark, folder, table)
+    load_arriving(spark, folder, table)
+    return spark.table(table)
+
+
 def monthly_status_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly status report over joins that spread hot keys: orders with their
     customers, then with the few territories (every one of which is hot)."""

@@ -163,6 +163,20 @@ REPLACE_AFTER_FAILED_LOAD = f"SELECT {HEADER_COLUMNS}, 1::BIGINT AS loads_ok FRO
 
 APPEND_BATCHES_ONCE = "SELECT orders.*, strftime(o_orderdate, '%Y') AS batch_id FROM orders"
 
+QUARANTINED_ROWS = """
+SELECT o_orderkey AS salesorderid, o_orderkey % 50 > 2 AS kept,
+       CASE o_orderkey % 50 WHEN 0 THEN 'row does not fit the columns' WHEN 1 THEN 'orderdate: not a date; subtotal: not a double'
+            WHEN 2 THEN 'subtotal: not a double' END AS reason
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+TYPES_OVER_ARRIVING_FILES = """
+SELECT o_orderkey AS salesorderid, o_orderdate AS orderdate,
+       if(o_orderkey % 2 = 1, o_totalprice, floor(o_totalprice))::DOUBLE AS subtotal,
+       if(o_orderkey % 2 = 1, 'S', '') || left(o_orderpriority, 1) AS code
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
 LOADED_COUNTS = " UNION ALL ".join(
     ["SELECT 'datos_base_clientes' AS name, 'error' AS status, NULL::BIGINT AS n_rows"]
     + [f"SELECT '{name}', 'ok', count(*) FROM {table}" for name, table in (
@@ -222,5 +236,7 @@ def oracle_sql() -> dict[str, str]:
         "incremental_load": INCREMENTAL_LOAD,
         "replace_after_failed_load": REPLACE_AFTER_FAILED_LOAD,
         "append_batches_once": APPEND_BATCHES_ONCE,
+        "quarantined_rows": QUARANTINED_ROWS,
+        "types_over_arriving_files": TYPES_OVER_ARRIVING_FILES,
         "monthly_status_hot_keys": MONTHLY_STATUS_REPORT,
     }

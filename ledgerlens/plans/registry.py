@@ -33,5 +33,7 @@ QUERIES = {
     "incremental_load": L.incremental_header_load,
     "replace_after_failed_load": L.replace_after_failed_load,
     "append_batches_once": L.append_batches_once,
+    "quarantined_rows": L.quarantined_rows,
+    "types_over_arriving_files": L.types_over_arriving_files,
     "monthly_status_hot_keys": L.monthly_status_hot_keys,
 }

@@ -120,13 +120,9 @@ def read_text_table(spark: SparkSession, path: str, sep: str, null_tokens: Itera
                         .otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
-def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Column -> bigint / double / boolean / string from the values, in one
-    aggregation over ``columns`` (default: all).  An all-NULL column is
-    double (as the pandas reader has it)."""
-    columns = list(df.columns if columns is None else columns)
-    if not columns:
-        return {}
+def type_counts(columns: Sequence[str]) -> list[Column]:
+    """Aggregates by column number i: present values (n), and how many of them are
+    integers (i), numbers (d) and booleans (b).  Sums of them are those of all rows."""
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`")
@@ -139,21 +135,28 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
             F.count_if(v.rlike(NUMBER_PATTERN) & v.try_cast("double").isNotNull()).alias(f"d{i}"),
             F.count_if(present & v.isin(TRUE_TOKENS + FALSE_TOKENS)).alias(f"b{i}"),
         ]
-    stats = df.agg(*aggs).collect()[0]
-    out = {}
-    for i, c in enumerate(columns):
-        n = stats[f"n{i}"]
-        if n == 0:
-            out[c] = "double"
-        elif stats[f"i{i}"] == n:
-            out[c] = "bigint"
-        elif stats[f"d{i}"] == n:
-            out[c] = "double"
-        elif stats[f"b{i}"] == n:
-            out[c] = "boolean"
-        else:
-            out[c] = "string"
-    return out
+    return aggs
+
+
+def type_of(n: int, integers: int, numbers: int, booleans: int, misfits: int = 0) -> str:
+    """The narrowest type that all of ``n`` present values but ``misfits`` have; an
+    all-NULL column is double (as the pandas reader has it)."""
+    if n == 0:
+        return "double"
+    for kind, fitting in (("bigint", integers), ("double", numbers), ("boolean", booleans)):
+        if n - fitting <= misfits and fitting:
+            return kind
+    return "string"
+
+
+def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
+    """Column -> bigint / double / boolean / string from the values, in one
+    aggregation over ``columns`` (default: all)."""
+    columns = list(df.columns if columns is None else columns)
+    if not columns:
+        return {}
+    stats = df.agg(*type_counts(columns)).collect()[0]
+    return {c: type_of(*(stats[f"{kind}{i}"] for kind in "nidb")) for i, c in enumerate(columns)}
 
 
 def _typed(c: str, kind: str) -> Column:

@@ -72,12 +72,12 @@ def new_version(spark: SparkSession, name: str, stamp: int | None = None) -> str
     return f"{database}.{table}{MARK}{time.time_ns() if stamp is None else stamp:020d}_{uuid.uuid4().hex[:8]}"
 
 
-def show_version(spark: SparkSession, name: str, version: str) -> None:
-    """The swap: from here on ``name`` shows ``version``."""
+def show_version(spark: SparkSession, name: str, version: str, rows: str = "SELECT * FROM {version}") -> None:
+    """The swap: from here on ``name`` shows ``version`` (or what ``rows`` selects of it)."""
     database, table = split_name(spark, name)
     if spark.catalog.tableExists(f"{database}.{table}") and not is_view(spark, f"{database}.{table}"):
         spark.sql(f"ALTER TABLE {database}.{table} RENAME TO {new_version(spark, name, stamp=0)}")
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{PROPERTY}' = '{version}') AS SELECT * FROM {version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} TBLPROPERTIES ('{PROPERTY}' = '{version}') AS {rows.format(version=version)}")
 
 
 def recover_name(spark: SparkSession, name: str) -> str | None:
@@ -102,10 +102,11 @@ def drop_old_versions(spark: SparkSession, name: str, kept: int = KEPT) -> list[
 
 
 def replace_table(rows: DataFrame, name: str, layout: Callable[[DataFrameWriter], DataFrameWriter] | None = None,
-                  kept: int = KEPT) -> int:
+                  kept: int = KEPT, views: dict[str, str] | None = None) -> int:
     """Replace ``name`` with the rows, which may read its present version; the rows written.
 
-    ``layout`` may add partitions or buckets to the writer.  If the write fails, ``name``
+    ``views`` gives several names, each with its select over ``{version}``, that show
+    parts of one version (each is swapped by itself, ``name`` last).  ``layout`` may add partitions or buckets to the writer.  If the write fails, ``name``
     is as it was and the exception goes on to the caller."""
     spark = rows.sparkSession
     version = new_version(spark, name)
@@ -116,7 +117,10 @@ def replace_table(rows: DataFrame, name: str, layout: Callable[[DataFrameWriter]
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    show_version(spark, name, version)
+    for view, select in (views or {}).items():
+        if view != name:
+            show_version(spark, view, version, select)
+    show_version(spark, name, version, (views or {}).get(name, "SELECT * FROM {version}"))
     drop_old_versions(spark, name, kept)
     return int(counted.get.get("rows") or 0)
 
