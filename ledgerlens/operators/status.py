@@ -22,11 +22,25 @@ def status_breakdown(df: DataFrame, keys: Sequence[str], status_col: str = "stat
     Codes absent from a group give 0; amounts are exact whole units (see
     ``functions.money``).
     """
+    return status_columns(status_partials(df, keys, status_col, amount_col), keys, codes)
+
+
+def status_partials(df: DataFrame, keys: Sequence[str], status_col: str = "status", amount_col: str = "totaldue") -> DataFrame:
+    """Rows (n) and whole amount units (u) per keys and status (``_status``): partial
+    results that may be added up with those of other rows."""
+    return (df.select(*keys, F.col(status_col).alias("_status"), money_units(amount_col).alias("_units"))
+            .groupBy(*keys, "_status")
+            .agg(F.count(F.lit(1)).alias("n"), sum_units(F.col("_units")).alias("u")))
+
+
+def merged_partials(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partials of several sets of rows added up."""
+    return partials.groupBy(*keys, "_status").agg(F.sum("n").alias("n"), F.sum("u").cast("decimal(38,0)").alias("u"))
+
+
+def status_columns(per_status: DataFrame, keys: Sequence[str], codes=STATUS_CODES) -> DataFrame:
+    """Partials, one for each keys and status, as a count and an amount column per code."""
     values = [code for code, _, _, _ in codes]
-    per_status = (df.select(*keys, F.col(status_col).alias("_status"),
-                            money_units(amount_col).alias("_units"))
-                  .groupBy(*keys, "_status")
-                  .agg(F.count(F.lit(1)).alias("n"), sum_units(F.col("_units")).alias("u")))
     wide = per_status.groupBy(*keys).pivot("_status", values).agg(F.first("n").alias("n"),
                                                                    F.first("u").alias("u"))
     counts = [F.coalesce(F.col(f"{code}_n"), F.lit(0)).cast("bigint").alias(cnt)

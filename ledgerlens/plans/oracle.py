@@ -238,5 +238,6 @@ def oracle_sql() -> dict[str, str]:
         "append_batches_once": APPEND_BATCHES_ONCE,
         "quarantined_rows": QUARANTINED_ROWS,
         "types_over_arriving_files": TYPES_OVER_ARRIVING_FILES,
+        "monthly_status_incremental": MONTHLY_STATUS_REPORT,
         "monthly_status_hot_keys": MONTHLY_STATUS_REPORT,
     }

@@ -35,5 +35,6 @@ QUERIES = {
     "append_batches_once": L.append_batches_once,
     "quarantined_rows": L.quarantined_rows,
     "types_over_arriving_files": L.types_over_arriving_files,
+    "monthly_status_incremental": L.monthly_status_incremental,
     "monthly_status_hot_keys": L.monthly_status_hot_keys,
 }

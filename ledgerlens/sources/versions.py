@@ -102,11 +102,13 @@ def drop_old_versions(spark: SparkSession, name: str, kept: int = KEPT) -> list[
 
 
 def replace_table(rows: DataFrame, name: str, layout: Callable[[DataFrameWriter], DataFrameWriter] | None = None,
-                  kept: int = KEPT, views: dict[str, str] | None = None) -> int:
+                  kept: int = KEPT, views: dict[str, str] | None = None,
+                  before_swap: Callable[[], None] | None = None) -> int:
     """Replace ``name`` with the rows, which may read its present version; the rows written.
 
     ``views`` gives several names, each with its select over ``{version}``, that show
-    parts of one version (each is swapped by itself, ``name`` last).  ``layout`` may add partitions or buckets to the writer.  If the write fails, ``name``
+    parts of one version (each is swapped by itself, ``name`` last).  ``before_swap`` is
+    called once the version is written; if it raises, nothing is shown.  ``layout`` may add partitions or buckets to the writer.  If the write fails, ``name``
     is as it was and the exception goes on to the caller."""
     spark = rows.sparkSession
     version = new_version(spark, name)
@@ -114,6 +116,8 @@ def replace_table(rows: DataFrame, name: str, layout: Callable[[DataFrameWriter]
     writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("error")
     try:
         (layout(writer) if layout else writer).saveAsTable(version)
+        if before_swap:
+            before_swap()
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
