@@ -31,14 +31,10 @@ from ledgerlens.sources.ledger import append_once, committed_rows, new_rows, wri
 from ledgerlens.sources.quarantine import REJECTED_SUFFIX, load_split
 from ledgerlens.sources.rollup import add_batch, partials
 from ledgerlens.sources.runlog import RunLog
-from ledgerlens.sources.scripts import run_script
+from ledgerlens.sources.scripts import run_script, run_scripts
 
 SQL_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "sql")
 
-#: Buckets of the published customers.
-CUSTOMER_BUCKETS = 8
-
-
 def stage_db(spark: SparkSession) -> str:
     """A new database of this run, located below the shared scratch folder."""
     name = f"ledgerlens_{uuid.uuid4().hex[:16]}"
@@ -157,6 +153,22 @@ def script_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("step", "status", F.col("rows").alias("n_rows"), F.element_at(F.split("target", r"\."), -1).alias("target"))
 
 
+def script_with_month_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One script with parameters, run for the first and for the last month of the orders
+    into a table each, under one run of the log; both tables' rows."""
+    own = configure(spark.newSession())
+    db = stage_db(spark)
+    T.register_views(own, sf_dir)
+    months = T.sales_header(spark, sf_dir).agg(F.min(month_num("orderdate")), F.max(month_num("orderdate"))).first()
+    script = os.path.join(SQL_DIR, "parameters", "month_by_territory.sql")
+    run_scripts(own, [(script, f"{db}.month_{m}", {"month": m, "status": 5}) for m in sorted(set(months))], log_table=f"{db}.run_log")
+    out = None
+    for m in sorted(set(months)):
+        table = spark.table(f"{db}.month_{m}")
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
 def customer_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer table -> session catalog (dropped first) -> SELECT *."""
     return table_roundtrip(spark, T.read(spark, sf_dir, "customer"), "customer_copy", stage_db(spark))
@@ -298,7 +310,7 @@ def customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     who ordered in the latest month: their customer row and all their
     orders."""
     name = f"{stage_db(spark)}.customer_by_key"
-    publish_table(T.read(spark, sf_dir, "customer"), name, "c_custkey", CUSTOMER_BUCKETS)
+    publish_table(T.read(spark, sf_dir, "customer"), name, "c_custkey")
     published = spark.table(name)
     orders = T.read(spark, sf_dir, "orders")
     cutoff = last_months_cutoff(T.sales_header(spark, sf_dir), 1)

@@ -190,6 +190,12 @@ WITH steps(step, n_rows) AS (VALUES ('start', NULL), ('query planned', NULL),
 SELECT step, 'ok' AS status, n_rows, 'resultado_script' AS target FROM steps
 """
 
+SCRIPT_WITH_MONTH_VALUES = f"""
+WITH {SALES}, {PLACED}
+SELECT mes, territory AS nombreterritorio, count(*) AS ordenes, sum(amount)::DOUBLE AS monto
+FROM placed WHERE status = 5 AND mes IN (SELECT unnest([min(mes), max(mes)]) FROM sales) GROUP BY ALL
+"""
+
 TABLE_ROUNDTRIP = "FROM customer"
 
 PARSED_DATES = "SELECT o_orderkey::VARCHAR AS order_text, date_trunc('second', o_orderdate) AS orderdate FROM orders"
@@ -226,6 +232,7 @@ def oracle_sql() -> dict[str, str]:
         "load_all_tables": LOADED_COUNTS,
         "monthly_status_loaded": MONTHLY_STATUS_REPORT,
         "script_to_table": CONSECUTIVE_CODE_COUNTS,
+        "script_with_month_values": SCRIPT_WITH_MONTH_VALUES,
         "script_run_log": SCRIPT_RUN_LOG,
         "append_rows": TABLE_ROUNDTRIP,
         "parsed_dates": PARSED_DATES,

@@ -23,6 +23,7 @@ QUERIES = {
     "load_all_tables": L.load_all_tables,
     "monthly_status_loaded": L.monthly_status_loaded,
     "script_to_table": L.script_to_table,
+    "script_with_month_values": L.script_with_month_values,
     "script_run_log": L.script_run_log,
     "append_rows": L.append_rows,
     "parsed_dates": L.parsed_dates,
