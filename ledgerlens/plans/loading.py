@@ -20,14 +20,15 @@ from ledgerlens.operators.hotkeys import spread_join
 from ledgerlens.operators.joins import broadcast_if_small
 from ledgerlens.operators.lookup import key_set, lookup
 from ledgerlens.operators.status import merged_partials, status_columns
-from ledgerlens.plans.reports import (last_months_cutoff, monthly_status, monthly_status_report,
-                                      status_by_month_and_territory, with_month_text)
+from ledgerlens.plans.reports import (group_vs_org, last_months_cutoff, monthly_status, monthly_status_report,
+                                      status_by_month_and_territory, with_month_text, with_territory)
 from ledgerlens.session import configure, scratch_path
 from ledgerlens.sources.arriving import load_arriving
 from ledgerlens.sources.catalog import append_table, publish_table, table_roundtrip
 from ledgerlens.sources.csv_loader import load_tables
 from ledgerlens.sources.files import FORMAT, read_csv, write_csv
 from ledgerlens.sources.ledger import append_once, committed_rows, new_rows, write_batches
+from ledgerlens.sources.monthly import in_latest_months, publish_by_month
 from ledgerlens.sources.quarantine import REJECTED_SUFFIX, load_split
 from ledgerlens.sources.rollup import add_batch, partials
 from ledgerlens.sources.runlog import RunLog
@@ -269,6 +270,14 @@ def monthly_status_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_month_text(status_columns(merged_partials(named, keys), keys))
 
 
+def group_vs_org_avg_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header published by month, then the report of the last six months over it:
+    only their partitions are read."""
+    name = f"{stage_db(spark)}.header_by_month"
+    publish_by_month(T.header_with_territory(spark, sf_dir), name, "orderdate")
+    return group_vs_org(with_territory(in_latest_months(spark, name, 6), T.territory(spark, sf_dir)))
+
+
 def monthly_status_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly status report over joins that spread hot keys: orders with their
     customers, then with the few territories (every one of which is hot)."""

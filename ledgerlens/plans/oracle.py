@@ -246,5 +246,6 @@ def oracle_sql() -> dict[str, str]:
         "quarantined_rows": QUARANTINED_ROWS,
         "types_over_arriving_files": TYPES_OVER_ARRIVING_FILES,
         "monthly_status_incremental": MONTHLY_STATUS_REPORT,
+        "group_vs_org_avg_partitioned": GROUP_VS_ORG_AVG_LAST6,
         "monthly_status_hot_keys": MONTHLY_STATUS_REPORT,
     }

@@ -37,5 +37,6 @@ QUERIES = {
     "quarantined_rows": L.quarantined_rows,
     "types_over_arriving_files": L.types_over_arriving_files,
     "monthly_status_incremental": L.monthly_status_incremental,
+    "group_vs_org_avg_partitioned": L.group_vs_org_avg_partitioned,
     "monthly_status_hot_keys": L.monthly_status_hot_keys,
 }

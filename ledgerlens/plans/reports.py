@@ -208,8 +208,12 @@ def group_vs_org_avg_last6(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = T.header_with_territory(spark, sf_dir)
     if cutoff is not None:
         header = header.where(F.col("orderdate") >= F.lit(cutoff).cast("timestamp_ntz"))
-    src = orders_with_territory(spark, sf_dir, header).select(
-        month_num("orderdate").alias("_m"), "group_t", "subtotal")
+    return group_vs_org(orders_with_territory(spark, sf_dir, header))
+
+
+def group_vs_org(orders: DataFrame) -> DataFrame:
+    """The same over given orders (orderdate, group_t, subtotal), all their months."""
+    src = orders.select(month_num("orderdate").alias("_m"), "group_t", "subtotal")
     avgs = group_and_overall_avg(src, "_m", "group_t", "subtotal")
     diff = F.col("group_avg") - F.col("overall_avg")
     return avgs.select(month_text("_m").alias("ordermonth"), F.col("group_t").alias("territorygroup"),
