@@ -66,7 +66,7 @@ def start_incremental_load(spark: SparkSession, source_dir: str, table: str,
     both = cleaned.select(*[_cast(c, types.get(c, "string"), tolerant) for c in columns],
                           *[F.col(f"`{c}`").alias(f"__raw{i}") for i, c in enumerate(columns)])
     names = [normalize_column_name(c) for c in columns]
-    typed = both.observe("misses", *[F.count_if(F.col(f"__raw{i}").isNotNull() & F.col(f"`{n}`").isNull()).alias(n)
+    typed = both.observe("taken", F.count(F.lit(1)).alias("rows")).observe("misses", *[F.count_if(F.col(f"__raw{i}").isNotNull() & F.col(f"`{n}`").isNull()).alias(n)
                                      for i, n in enumerate(names)]).select(*[F.col(f"`{n}`") for n in names])
     writer = (typed.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{table}")))
@@ -79,20 +79,22 @@ def run_incremental_load(spark: SparkSession, source_dir: str, table: str,
     """One scheduled run: load the files not seen yet, wait, log the rows taken in
     and the values that did not fit (tolerant), return the rows.
 
-    Rows are counted in the table, before and after.  The misses come from the
-    progress of every batch, which is read while the stream runs; should a batch's
-    progress be gone before it was read, the log says so."""
-    before = spark.table(table).count() if spark.catalog.tableExists(table) else 0
+    Rows and misses come from the progress of every batch, which is read while the
+    stream runs: the table is not counted, and another run's rows are not either.  Should
+    a batch's progress be gone before it was read, the log says so."""
     query = start_incremental_load(spark, source_dir, table, checkpoint, available_now=True, **opts)
     seen: dict[int, dict] = {}
+    taken: dict[int, int] = {}
     while True:
         done = query.awaitTermination(0.2)
         for p in query.recentProgress:
-            found = (p["observedMetrics"] or {}).get("misses")
-            seen[int(p["batchId"])] = found.asDict() if found else {}
+            metrics, number = p["observedMetrics"] or {}, int(p["batchId"])
+            found, rows = metrics.get("misses"), metrics.get("taken")
+            seen[number] = found.asDict() if found else seen.get(number, {})
+            taken[number] = int(rows["rows"]) if rows else taken.get(number, 0)
         if done:
             break
-    rows = spark.table(table).count() - before
+    rows = sum(taken.values())
     misses: dict[str, int] = {}
     for batch in seen.values():
         for name, n in batch.items():

@@ -67,3 +67,26 @@ def test_values_and_headers_that_do_not_fit_fail(spark, tmp_path):
     with pytest.raises(Exception):
         run_incremental_load(spark, str(src), table, ckpt, tolerant=True)
     assert spark.table(table).count() == 4
+
+
+def test_rows_of_another_run_are_not_counted(spark, tmp_path, monkeypatch):
+    from ledgerlens.streaming import incremental_load as I
+
+    src = tmp_path / "in"
+    src.mkdir()
+    write(src / "a.csv", "Key;Value\n1;1\n2;2\n3;3\n")
+    table = "streamed_beside"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    real = I.start_incremental_load
+    other = tmp_path / "other"
+    other.mkdir()
+    write(other / "b.csv", "Key;Value\n7;1\n8;2\n")
+
+    def beside(spark, source_dir, name, checkpoint, **opts):
+        query = real(spark, source_dir, name, checkpoint, **opts)
+        query.awaitTermination()
+        real(spark, str(other), name, str(tmp_path / "ck2"), available_now=True).awaitTermination()
+        return query
+
+    monkeypatch.setattr(I, "start_incremental_load", beside)
+    assert I.run_incremental_load(spark, str(src), table, str(tmp_path / "ck1")) == 3
