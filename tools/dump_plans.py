@@ -19,7 +19,8 @@ from ledgerlens.plans import registry  # noqa: E402
 from ledgerlens.session import get_session  # noqa: E402
 
 SKIP = {"load_normalized_table", "load_all_tables", "monthly_status_loaded", "script_to_table", "script_run_log", "append_rows",
-        "table_roundtrip", "csv_roundtrip", "incremental_load"}
+        "table_roundtrip", "csv_roundtrip", "incremental_load", "replace_after_failed_load", "append_batches_once",
+        "quarantined_rows", "types_over_arriving_files", "script_with_month_values"}
 
 
 def main(sf_dir: str, out: str) -> None:
