@@ -1,6 +1,7 @@
 """DataFrame operators used by the reports."""
 
 from ledgerlens.operators.averages import group_and_overall_avg, indicator
+from ledgerlens.operators.hotkeys import spread_join
 from ledgerlens.operators.joins import broadcast_if_small
 from ledgerlens.operators.lookup import key_set, lookup
 from ledgerlens.operators.recency import purchase_recency, recency_days
@@ -11,6 +12,6 @@ from ledgerlens.operators.topk import positional_pivot, top_k_per_group
 __all__ = [
     "broadcast_if_small", "group_and_overall_avg", "indicator",
     "key_set", "lookup", "ordered_run_counts", "positional_pivot", "purchase_recency",
-    "recency_days", "run_counts_by_key", "spaced_runs", "status_breakdown", "status_pivot",
+    "recency_days", "run_counts_by_key", "spaced_runs", "spread_join", "status_breakdown", "status_pivot",
     "top_k_per_group",
 ]

@@ -45,13 +45,14 @@ def present(keys: Sequence[str]):
 
 
 def parted_keys(rows: DataFrame, keys: Sequence[str], partitions: int, hot_share: float = HOT_SHARE,
-                part_share: float = PART_SHARE) -> list[tuple]:
-    """(key columns..., parts) of the hot keys: at most ``partitions / hot_share`` of them."""
-    total = rows.count()
+                part_share: float = PART_SHARE) -> tuple[list[tuple], int]:
+    """(key columns..., parts) of the hot keys, at most ``partitions / hot_share`` of them, and
+    the parts of the rows with a null key."""
+    total, without = rows.agg(F.count(F.lit(1)), F.count_if(~present(keys))).first()
     even = max(1.0, total / partitions)
-    found = hot_keys(rows, keys, max(2, int(even * hot_share)))
-    size = max(1.0, even * part_share)
-    return [(*r[:-1], max(2, -(-int(r["rows"]) // int(size)))) for r in found.collect()]
+    size = max(1, int(even * part_share))
+    found = hot_keys(rows, keys, max(2, int(even * hot_share))).collect()
+    return [(*r[:-1], max(2, -(-int(r["rows"]) // size))) for r in found], max(1, -(-int(without) // size))
 
 
 def spread_join(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", *,
@@ -61,20 +62,22 @@ def spread_join(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     ``partitions`` is the parallelism to aim at (default: the session's shuffle
     partitions).  Right and full joins raise: copied rows without a match would come
     out once for each part.  Equal rows of a hot key go to one part; what tells rows
-    apart (an id) spreads them.  Columns of map type cannot be hashed and raise."""
+    apart (an id) spreads them.  Rows with a null key, which match nothing, are dealt to
+    parts too where the join keeps them.  Columns of map type cannot be hashed and raise."""
     keys = list(keys)
     if how not in TYPES:
         raise ValueError(f"{how} join: only the rows of the copied side that match may be returned")
     spark = rows.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = parted_keys(rows, keys, partitions, hot_share, part_share)
-    if not found:
+    found, null_parts = parted_keys(rows, keys, partitions, hot_share, part_share)
+    if not found and null_parts == 1:
         return rows.join(other, keys, how)
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     # a row for each hot key: their number is bounded by the sketch's threshold
     hot = F.broadcast(spark.createDataFrame(found, f"{kinds}, __parts int"))
     columns = [F.col(f"`{c}`") for c in rows.columns]
     dealt = (rows.join(hot, keys, "left")
+             .withColumn("__parts", F.when(~present(keys), null_parts).otherwise(F.col("__parts")))
              .withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(
                  F.pmod(F.xxhash64(F.lit("part"), *columns), F.col("__parts")).cast("int"))).drop("__parts"))
     copied = (other.join(hot, keys, "left")

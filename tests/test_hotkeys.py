@@ -64,7 +64,19 @@ def test_two_keys_many_to_many_nulls_and_clashing_columns(spark):
 def test_sketch_finds_every_hot_key_and_no_other(spark):
     data = spark.range(5_000).select(F.when(F.col("id") < 700, F.lit(-1)).when(F.col("id") < 1000, F.lit(-2)).when(F.col("id") < 1200, F.lit(None)).otherwise(F.col("id")).alias("k"))
     assert {(r.k, r.rows) for r in hot_keys(data, ["k"], 300).collect()} == {(-1, 700), (-2, 300)}
-    assert parted_keys(data.limit(0), ["k"], 8) == []
+    assert parted_keys(data.limit(0), ["k"], 8) == ([], 1)
+
+
+def test_null_keys_are_spread_where_they_are_kept(plain):
+    orders = T.sales_header(plain, SF_CHECK).withColumn("customerid", F.when(F.col("salesorderid") % 3 > 0, F.col("customerid"))).coalesce(1)
+    customers = T.customer(plain, SF_CHECK)
+    for how in ("left", "left_anti", "inner"):
+        got, want = spread_join(orders, customers, ["customerid"], how), orders.join(customers, ["customerid"], how)
+        assert rows(got) == rows(want)
+    def sizes(df):
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    after = sizes(spread_join(orders, customers, ["customerid"], "left"))
+    assert max(sizes(orders.join(customers, ["customerid"], "left"))) > 4 * median(after) and max(after) <= 2 * median(after)
 
 
 def test_no_hot_key_and_refused_types(spark):
