@@ -12,7 +12,7 @@ a matrix whose size does not depend on the data.  The class prior is estimated
 from the unlabelled-to-positive ratio above score thresholds.
 
 Defined results: null and empty texts have all features 0 and are scored as
-such; repeated rows are scored each; repeated label rows count once; null
+such; a text of symbols alone has its symbols' features, whatever rows stand beside it; repeated rows are scored each; repeated label rows count once; null
 labels and ids teach nothing; with no positives every score is 0.5.  Columns
 other than the id and the text are never read by the score.
 """
@@ -91,7 +91,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         per_row(LINE[data], offsets) * per_word, per_row(DIGIT[data], offsets) / size,
         per_row(PUNCTUATION[data], offsets) / size,
         distinct_per_row(pair[inside], row[1:][inside], n) / scale,
-    ], axis=1) if len(h) else np.zeros((n, len(FEATURES)))
+    ], axis=1)
 
 
 @dataclass

@@ -49,3 +49,15 @@ def test_odd_rows(tables, odd_docs, no_docs):
     assert Q.quality_scores(no_docs, labels).count() == 0
     assert {r.score for r in Q.quality_scores(odd_docs, labels.limit(0)).collect()} == {0.5}
     assert Q.keep_good(odd_docs, labels).columns == odd_docs.columns
+
+
+def test_features_do_not_depend_on_the_rows_beside():
+    def of(*texts):
+        raw = [t.encode() for t in texts]
+        return Q.features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+
+    symbols, words = "### $$$ !!! |||", "Some words stand here, and more of them."
+    alone, beside = of(symbols), of(words, symbols, "")
+    assert alone.shape == (1, len(Q.FEATURES)) and (alone[0] == beside[1]).all() and alone.any()
+    assert (of("", "")[0] == 0).all() and (beside[2] == 0).all()
+    assert (of(words)[0] == beside[0]).all()
