@@ -1,8 +1,10 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text is cut into paragraphs (at line ends; a long line also at the first sentence
-end after ``LONG`` characters, and after twice as many; near the start of a text, where
-``HEAD`` says so, after fewer), each different paragraph is hashed to a digest, and every digest is
+A text is cut into paragraphs by its content: between two words whose common hash
+is 0 modulo a number that grows with the text's length class.  A cut depends only on
+the words beside it, so an edit anywhere leaves the paragraphs elsewhere as they are.
+Each text is cut twice, for its own class and for the next one, so texts of neighbouring
+classes are compared by the cuts that both have.  Each different paragraph is hashed to a digest, and every digest is
 added to one cell in each of ``PARTS`` parts of a small table: a cell holds the
 number of its digests, their XOR, and the XOR of their check hashes.  The tables
 of two texts subtract cell by cell; what both share cancels out.  Peeling then
@@ -16,7 +18,8 @@ Everything is DataFrame expressions.  A document's successor is found by a
 window within ranges of ids; each range gets the first row of the next one, so
 no window spans the table.
 
-Defined results: null counts as the empty text, without paragraphs; two texts
+Defined results: texts more than a class apart (4 to 16 times as long) have no
+paragraph in common; null counts as the empty text, without paragraphs; two texts
 without paragraphs are alike (1.0); ids must be numbers, null ids come last, rows
 with equal or null ids are ordered by a hash of the text, then the text; repeated
 rows follow each other; the only
@@ -30,23 +33,13 @@ from pyspark.sql import functions as F
 
 #: Parts of a table; cells of a part in a fingerprint and in the tables of a larger sketch (powers of two).
 PARTS, CELLS, MORE_CELLS = 4, 4, 8
-#: Characters after which a paragraph ends with its sentence, and twice which it ends anyway.
-LONG = 200
-#: (place, length): a paragraph that begins before the place has this length instead, so that half of
-#: a short text has whole paragraphs.  The cuts depend only on the text before them: a text that is
-#: changed further on keeps its paragraphs up to there.
-HEAD = ((12, 3), (48, 8), (240, 40), (720, 90))
-
-
-def paragraph(length: int) -> str:
-    return rf"[^\n]{{1,{length}}}(?:[^.!?\n]{{0,{length}}}[.!?]*)?\n*"
-
-
-def before(place: int) -> str:
-    return rf"(?<![\s\S]{{{place}}})"
-
-
-PARAGRAPH = rf"{before(HEAD[-1][0])}(?:{'|'.join(before(n) + paragraph(k) for n, k in HEAD)})|{paragraph(LONG)}|\n+"
+#: A word and the space after it.  Characters of scripts that are written without spaces are words.
+SPACE, SINGLE = r" \t\n\x0B\f\r", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\U0010ffff"
+WORD = f"(?:[^{SPACE}{SINGLE}]+|[{SINGLE}])[{SPACE}]*|[{SPACE}]+"
+#: Characters from which a text is in the next class, and of how many gaps between words one is a cut
+#: in each class (each divides the next, so a cut of a class is one of all classes before).
+CLASSES = tuple(64 * 4 ** i for i in range(10))
+ONE_IN = (1, *(2 * 4 ** i for i in range(11)))
 #: Differing digests that a table of a larger sketch is made for.
 LOAD = 12
 #: Rounds of peeling before a sketch counts as failed.
@@ -60,9 +53,39 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def digests(text: Column) -> Column:
-    """The different paragraph digests of a text."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: F.xxhash64(p)))
+def cut(text: Column) -> Column:
+    """struct(level, fine, coarse, fine_cells, coarse_cells): a text's length class, its
+    different paragraph digests for that class and the next one, and their cells."""
+    def level_of(length: Column) -> Column:
+        return sum(((length >= n).cast("int") for n in CLASSES), F.lit(0))
+
+    def one_in(level: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, ONE_IN)), level + 1)
+
+    def digests(words: Column, starts: Column) -> Column:
+        return F.array_distinct(F.transform(starts, lambda a, j: F.xxhash64(
+            F.slice(words, a + 1, F.coalesce(F.get(starts, j + 1), F.size(words)) - a))))
+
+    def paragraphs(words: Column, level: Column) -> Column:
+        def cuts(places: Column, k: Column) -> Column:
+            return F.filter(places, lambda i: (i == 0) | (F.pmod(F.xxhash64(F.get(words, i - 1), F.get(words, i)), k) == 0))
+
+        places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+        # numbers that every gap is compared with are worked out once for each text
+        return let(F.struct(one_in(level).alias("a"), one_in(level + 1).alias("b")), lambda k: let(cuts(places, k["a"]), lambda fine: F.struct(
+            level.alias("level"), digests(words, fine).alias("fine"), let(cuts(fine, k["b"]), lambda coarse: digests(words, coarse)).alias("coarse"))))
+
+    def with_cells(p: Column) -> Column:
+        return let(F.transform(F.array(p["fine"], p["coarse"]), lambda d: let(items(d, 1, CELLS), lambda i: sketch(i, CELLS))), lambda cells: F.struct(
+            p["level"].alias("level"), p["fine"].alias("fine"), p["coarse"].alias("coarse"), cells[0].alias("fine_cells"), cells[1].alias("coarse_cells")))
+
+    words = F.struct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"), level_of(F.length(text)).alias("level"))
+    return let(let(words, lambda w: paragraphs(w["words"], w["level"])), with_cells)
+
+
+def alike_level(a: str, b: str, field: str) -> Column:
+    """Of the text ``a`` what compares with ``b``: its coarser cuts where it is of a lower class."""
+    return F.when(F.col(a)["level"] < F.col(b)["level"], F.col(a)[f"coarse{field}"]).otherwise(F.col(a)[f"fine{field}"])
 
 
 def check(digest: Column) -> Column:
@@ -158,14 +181,17 @@ def likeness(a: Column, b: Column, differing: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(1.0 - F.size(differing) / total)
 
 
-def text_form(cells: Column) -> Column:
-    """Cells as text: count, key and check of each."""
-    return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", c["n"].cast("string"), F.hex(c["key"]), F.hex(c["check"]))), " ")
+def text_form(of: str) -> Column:
+    """A cut text's class and cells as text: count, key and check of each."""
+    def cells(field: str) -> Column:
+        return F.array_join(F.transform(F.col(of)[field], lambda c: F.concat_ws(".", c["n"].cast("string"), F.hex(c["key"]), F.hex(c["check"]))), " ")
+
+    return F.concat_ws("/", F.col(of)["level"].cast("string"), cells("fine_cells"), cells("coarse_cells"))
 
 
 def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """doc_id, t -> with ``next``: the text of the next document by descending id (after
-    the last one: of the first)."""
+    """doc_id, t -> doc_id, t, own (its ``cut``), next_t and next: text and cut of the next
+    document by descending id (after the last one: of the first)."""
     docs = docs.withColumn("place", F.shiftrightunsigned(F.xxhash64("t"), 32))
     n_rows, n_ids = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
     bounds = docs.select(F.col("doc_id").cast("double").alias("d")).stat.approxQuantile("d", [i / SEGMENTS for i in range(SEGMENTS + 1)], 0.002)
@@ -184,18 +210,19 @@ def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     # rows without an id: ranges of the hash, below all others
     split = max(1, -(-(n_rows - n_ids) // range_rows))
     bucket = F.when(F.col("doc_id").isNull(), F.shiftright(F.col("place") * split, 32) - split).otherwise(bucket)
-    rows = docs.withColumn("bucket", bucket).withColumn("digests", digests(F.col("t")))
+    rows = docs.withColumn("bucket", bucket)
     own = F.struct("doc_id", "place", "t")
     first = rows.groupBy("bucket").agg(F.max(own).alias("first"))
     # a row for each range: the first row of the next one down (the order of the ranges is found from their numbers alone)
     down = Window.orderBy(F.desc("bucket"))
     after = rows.select("bucket").distinct().select("bucket", F.coalesce(F.lead("bucket").over(down), F.first("bucket").over(down)).alias("of"))
     follows = (after.join(first.select(F.col("bucket").alias("of"), "first"), "of").select("first.doc_id", "first.place", "first.t", "bucket")
-               .withColumn("digests", digests(F.col("t"))).withColumn("borrowed", F.lit(True)))
+               .withColumn("borrowed", F.lit(True)))
     order = Window.partitionBy("bucket").orderBy("borrowed", F.desc_nulls_last("doc_id"), F.desc("place"), F.desc("t"))
-    return (rows.withColumn("borrowed", F.lit(False)).unionByName(follows)
-            .withColumn("next", F.lead(F.struct("t", "digests")).over(order)).where(~F.col("borrowed"))
-            .select("doc_id", "t", "digests", F.col("next.t").alias("next"), F.col("next.digests").alias("next_digests")))
+    # texts are cut after their shuffle: the digests need not travel
+    dealt = rows.withColumn("borrowed", F.lit(False)).unionByName(follows).repartition("bucket").withColumn("own", cut(F.col("t")))
+    return (dealt.withColumn("next", F.lead(F.struct("t", "own")).over(order)).where(~F.col("borrowed"))
+            .select("doc_id", "t", "own", F.col("next.t").alias("next_t"), F.col("next.own").alias("next")))
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -203,16 +230,17 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     near_next, differing_edited (signed digests in which the edited text differs)."""
     rows = with_next(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")), range_rows)
     half = F.floor(F.length("t") / 2).cast("int")
-    rows = rows.withColumn("edited", F.concat(F.substring("t", F.lit(1), F.length("t") - half), F.substring("next", F.lit(1), half)))
-    rows = rows.select("doc_id", F.length("t").cast("long").alias("n_chars"), "digests", "next_digests", digests(F.col("edited")).alias("edited_digests"),
-                       F.sha2("edited", 256).alias("edited_sha256"))
-    for name, of in (("own", "digests"), ("edited", "edited_digests"), ("next", "next_digests")):
-        rows = rows.withColumn(f"{name}_items", items(F.col(of), 1, CELLS)).withColumn(name, sketch(F.col(f"{name}_items"), CELLS))
-    rows = with_difference(rows, "differing_edited", "digests", "edited_digests", "own", "edited")
-    rows = with_difference(rows, "differing_next", "digests", "next_digests", "own", "next")
-    return rows.select("doc_id", "n_chars", "edited_sha256", text_form(F.col("own")).alias("fingerprint"), text_form(F.col("edited")).alias("edited_fingerprint"),
-                       likeness(F.col("digests"), F.col("edited_digests"), F.col("differing_edited")).alias("near_edited"),
-                       likeness(F.col("digests"), F.col("next_digests"), F.col("differing_next")).alias("near_next"), "differing_edited")
+    rows = rows.withColumn("edited_t", F.concat(F.substring("t", F.lit(1), F.length("t") - half), F.substring("next_t", F.lit(1), half)))
+    rows = rows.select("doc_id", F.length("t").cast("long").alias("n_chars"), F.sha2("edited_t", 256).alias("edited_sha256"),
+                       "own", cut(F.col("edited_t")).alias("edited"), "next")
+    for other in ("edited", "next"):
+        sides = {"a": ("own", other), "b": (other, "own")}
+        for side, of in sides.items():
+            rows = rows.withColumn(f"{other}_{side}", alike_level(*of, "")).withColumn(f"{other}_cells_{side}", alike_level(*of, "_cells"))
+        rows = with_difference(rows, f"differing_{other}", f"{other}_a", f"{other}_b", f"{other}_cells_a", f"{other}_cells_b")
+        rows = rows.withColumn(f"near_{other}", likeness(F.col(f"{other}_a"), F.col(f"{other}_b"), F.col(f"differing_{other}")))
+    return rows.select("doc_id", "n_chars", "edited_sha256", text_form("own").alias("fingerprint"), text_form("edited").alias("edited_fingerprint"),
+                       "near_edited", "near_next", "differing_edited")
 
 
 def fingerprint_report(docs: DataFrame, **options) -> DataFrame:

@@ -7,11 +7,24 @@ import xxhash
 from ledgerlens.llm import fingerprints as P
 
 
-def paragraphs(text):
-    return set(re.findall(P.PARAGRAPH, text))
+def paragraphs(text, coarser=0):
+    words = re.findall(P.WORD, text)
+    k = P.ONE_IN[level(text) + coarser]
+    out, start = set(), 0
+    for i in range(1, len(words) + 1):
+        if i == len(words) or xxhash.xxh64(words[i].encode(), seed=xxhash.xxh64(words[i - 1].encode(), seed=42).intdigest()).intdigest() % k == 0:
+            out.add("".join(words[start:i]))
+            start = i
+    return out
+
+
+def level(text):
+    return sum(len(text) >= n for n in P.CLASSES)
 
 
-def like(a, b):
+def like(text, other):
+    a = paragraphs(text, level(text) < level(other))
+    b = paragraphs(other, level(other) < level(text))
     return 1.0 if not a and not b else 1 - len(a ^ b) / (len(a) + len(b))
 
 
@@ -24,7 +37,7 @@ def expected(rows):
         half = len(text) // 2
         edited = text[:len(text) - half] + after[:half]
         out.append((doc, len(text), hashlib.sha256(edited.encode()).hexdigest(),
-                    round(like(paragraphs(text), paragraphs(edited)), 9), round(like(paragraphs(text), paragraphs(after)), 9)))
+                    round(like(text, edited), 9), round(like(text, after), 9)))
     return out
 
 
@@ -80,3 +93,33 @@ def test_short_one_line_texts_are_like_their_edited_texts(llm):
     rows = [(i, " ".join(rng.choice(words) for _ in range(80))[:12 + i] + "." * (i % 2)) for i in range(400)]
     got = check(llm.createDataFrame(rows, "doc_id long, text string"), rows)
     assert all(r.near_edited > r.near_next for r in got)
+
+
+def test_likeness_does_not_depend_on_the_place_of_an_edit(llm, docs):
+    """Kept first half, kept second half, kept ends, words put in front: all near one another."""
+    texts = [r.text for r in docs.select("text").collect() if r.text and len(r.text) > 100]
+    other = " ".join(reversed(" ".join(texts[:20]).split()))
+
+    def mean(edit):
+        return sum(like(t, edit(t, len(t) // 2)) for t in texts) / len(texts)
+
+    first = mean(lambda t, h: t[:len(t) - h] + other[:h])
+    second = mean(lambda t, h: other[:h] + t[h:])
+    ends = mean(lambda t, h: t[:h // 2] + other[:h] + t[h // 2 + h:])
+    assert max(first, second, ends) - min(first, second, ends) < 0.15 and min(first, second, ends) > 0.3
+    assert mean(lambda t, h: "Two words " + t) > 0.8
+
+
+def test_texts_of_neighbouring_classes_compare_by_common_cuts(llm):
+    rng = random.Random(4)
+    long = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(900))
+    rows = [(2, long), (1, "x")]
+    got = check(llm.createDataFrame(rows, "doc_id long, text string"), rows)
+    edited = {r.doc_id: r.near_edited for r in got}
+    assert level(long) != level(long[:len(long) // 2 + 2]) and edited[2] > 0.3
+
+
+def test_scripts_without_spaces_have_paragraphs(llm):
+    rng = random.Random(6)
+    rows = [(i, "".join(chr(rng.randrange(0x4e00, 0x9000)) for _ in range(300))) for i in range(4)]
+    assert all(r.near_edited > 0.3 > r.near_next for r in check(llm.createDataFrame(rows, "doc_id long, text string"), rows))
