@@ -1,3 +1,5 @@
+import random
+
 from ledgerlens.llm import licenses as L
 
 MIT = L.TEMPLATES["MIT"][2]
@@ -32,11 +34,85 @@ def test_short_notices_equal_a_plain_search(llm, docs):
         assert got[r.doc_id] == {t.license for t in short if b" " + b" ".join(t.words) + b" " in joined}
 
 
+def windows_with_runs(docs, times=12):
+    """Each run that a place must keep, in windows of other words: of documents, and of other notices in any order."""
+    rng = random.Random(5)
+    scanner = L.Scanner(L.TEMPLATES)
+    plain = [w for r in docs.orderBy("doc_id").collect() for w in L.WORD.findall((r.text or "").lower().encode())]
+    legal = [w for t in scanner.templates for w in t.words]
+    for which, template in enumerate(scanner.templates):
+        for run in template.runs:
+            for k in range(times):
+                source = (plain, legal)[k % 2]
+                at = rng.randrange(len(source) - scanner.window)
+                around = source[at:at + scanner.window - len(run)]
+                if k % 4 == 1:
+                    rng.shuffle(around)
+                cut = rng.choice((0, len(around), rng.randrange(len(around) + 1)))
+                yield scanner, which, run, [*around[:cut], *run, *around[cut:]]
+
+
+def test_the_bound_on_savings_loses_no_run(docs):
+    """A window that holds a run saves at least the bound with the run's template."""
+    for scanner, which, run, window in windows_with_runs(docs):
+        assert dict((i, saved) for saved, i in scanner.ranked(b" ".join(window)))[which] >= L.LEAST_SAVED, run
+
+
+def test_every_run_has_a_cue_and_a_window():
+    scanner = L.Scanner(L.TEMPLATES)
+    for t in scanner.templates:
+        for run in t.runs:
+            assert set(run) & set(scanner.cues) and len(run) + L.STEP <= scanner.window
+
+
+def test_cues_come_from_the_templates(llm):
+    """A caller's template of words that no license uses is found, also wrapped, commented and far from its cue."""
+    own = ("Anybody willing to cook with these recipes must first telephone grandmother, who decides about every helping, and afterwards wash up "
+           "thoroughly, leaving neither crumbs nor complaints behind, whatever visitors may say of the gravy.")
+    wrapped = "\n".join(f"{' ' * 200}# {word}" for word in own.split())
+    texts = [f"before {own} after", wrapped, own.replace("gravy", "soup"), "nothing of that kind"]
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in L.license_report(df, texts={"Kitchen": [own]}).collect()}
+    assert [got[i].licenses for i in range(4)] == ["Kitchen", "Kitchen", "Kitchen", ""]
+    assert got[2].spans[0].differences == ["gravy > soup"]
+
+
+def test_whole_license_texts(llm):
+    whole = {name: max(notices, key=len) for name, notices in L.TEMPLATES.items() if name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense")}
+    texts = [f"Copyright (c) 2020 Somebody\n\n{text.replace('. ', chr(10) + '.  ')} tail" for text in whole.values()]
+    got = places(llm, texts)
+    for i, (name, text) in enumerate(whole.items()):
+        assert got[i].licenses == name and got[i].n_licenses == 1
+        assert got[i].spans[0].end - got[i].spans[0].start >= len(text) - 2
+
+
+def test_without_compression_nothing_is_found(monkeypatch):
+    """The savings decide which templates are looked for ..."""
+    block = f"some words {MIT} and more. Licensed under CC BY 4.0.".lower().encode()
+    assert [s["license"] for s in L.Scanner(L.TEMPLATES).scan(block)] == ["MIT", "CC-BY-4.0"]
+    monkeypatch.setattr(L.Scanner, "saves", lambda self, text, which, alone: 0)
+    assert L.Scanner(L.TEMPLATES).scan(block) == []
+
+
+def test_savings_decide_which_license_wins(monkeypatch):
+    """... and which of those that fit a place has it: the one that saves more, not the one with more words."""
+    same = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega "
+    near = f"{same}one two three four five six seven eight nine ten".split()
+    other = list(near)
+    other[8], other[20], other[28] = "wrong", "words", "here"
+    block = " ".join(near).encode()
+    two = {"A": [" ".join(other)], "B": [" ".join(near[:-1])]}
+    assert [s["license"] for s in L.Scanner(two).scan(block)] == ["B"]
+    before = L.Scanner.saves
+    monkeypatch.setattr(L.Scanner, "saves", lambda self, text, which, alone: 1000 - before(self, text, which, alone))
+    assert [s["license"] for s in L.Scanner(two).scan(block)] == ["A"]
+
+
 def test_the_right_template_saves_most():
     scanner = L.Scanner(L.TEMPLATES)
     for t in scanner.templates:
         if len(t.words) > L.SHORT:
-            assert scanner.saved(t.text)[0][1].license == t.license
+            assert scanner.templates[scanner.ranked(t.text)[0][1]].license == t.license
 
 
 def test_many_notices_in_one_text_equal_a_plain_search(llm, docs):
