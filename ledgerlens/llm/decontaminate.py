@@ -106,7 +106,9 @@ class FMIndex:
         counts = np.bincount(text, minlength=symbols + 1)
         self.first = np.concatenate(([0], np.cumsum(counts)))
         self.sampled = order % SAMPLE == 0
-        self.position = order
+        # positions of the sampled suffixes only, found by their places in the order
+        self.marks = np.flatnonzero(self.sampled)
+        self.position = order[self.marks]
         self.levels = []
         seq = self.bwt
         for shift in range(int(symbols).bit_length() - 1, -1, -1):
@@ -149,7 +151,7 @@ class FMIndex:
             at[open_] = self.first[symbol] + self.rank(symbol, at[open_])
             steps[open_] += 1
             open_ = open_[~self.sampled[at[open_]]]
-        return self.position[at] + steps
+        return self.position[np.searchsorted(self.marks, at)] + steps
 
 
 def occurrences(block: PhraseBlock, h: np.ndarray, row: np.ndarray, n_rows: int):

@@ -13,7 +13,7 @@ are; only those that stand out reach the driver and are broadcast (words of the
 other documents cannot have odds of their own).  There may be ``MAX_ODDS`` of
 them; more are an error, never left out.  Corpus counts of these prefixes cover
 all documents; the labelled rows that teach are bounded by ``MAX_LABELS`` (lowest
-hash of the id first).
+hash of the id first).  Of near duplicates among them one teaches for each label.
 
 Defined results: null and empty texts have no words and get the score of a
 document without evidence; repeated rows are scored each; null labels and ids
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.folds import held_out, training_labels
-from ledgerlens.llm.textops import mix, prefix_hash, row_starts, slice_hash, text_chunks, words
+from ledgerlens.llm.jaccard import similarity_classes
+from ledgerlens.llm.textops import prefix_hash, row_starts, slice_hash, text_chunks, words
 from ledgerlens.session import scratch_root
 
 #: Words, and prefixes, that may stand out (12 bytes each in the broadcast).
@@ -42,8 +43,6 @@ PREFIX = 4
 MAX_LABELS = 200_000
 #: Strength of the prior, and the log-likelihood ratio statistic from which a level counts.
 STRENGTH, STAND_OUT = 100.0, 20.0
-#: Least word hashes of a document that tell near copies: of those that share them, one teaches.
-SKETCH = 3
 #: Score of a word that says nothing, and what every word must make up for: one less than 1.6 times
 #: as frequent in toxic documents does not speak for a passage (significant or not).
 DRIFT = -0.5
@@ -61,24 +60,13 @@ def token_hashes(data: np.ndarray, offsets: np.ndarray):
     return row, start, end, h.view(np.int64), prefix.view(np.int64)
 
 
-def one_of_copies(rows: DataFrame) -> DataFrame:
-    """(doc_id, label) of one labelled document of those with the same least word
-    hashes: copies would make the words they happen to hold look toxic or clean."""
-
-    def run(batches):
-        for batch in batches:
-            for lo, hi, data, offsets in text_chunks(batch.column(2)):
-                _, _, _, row, h = words(data, offsets)
-                order = np.lexsort((mix(h), row))
-                new = np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1]))) if len(h) else order
-                order = order[new]
-                first = row_starts(row[order], hi - lo)
-                sketch = [hash(tuple(h[order[a:min(b, a + SKETCH)]].tolist())) for a, b in zip(first[:-1], first[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                                                  pa.array(sketch, pa.int64())], names=["doc_id", "label", "sketch"])
-
-    got = rows.select("doc_id", "label", "t").mapInArrow(run, "doc_id string, label int, sketch long")
-    return got.groupBy("sketch").agg(F.max(F.struct("label", "doc_id")).alias("m")).select("m.doc_id", "m.label")
+def one_of_copies(rows: DataFrame, taught: DataFrame) -> DataFrame:
+    """(doc_id, label) of one labelled document for each label of each group of near duplicates (the
+    least id's): copies would make the words they happen to hold look toxic or clean.  Groups
+    are those of five-word shingles with a similarity of 0.8; documents without words are one group."""
+    own, found = similarity_classes(rows.select("doc_id", "t"), text_col="t")
+    grouped = own.join(found.select("cid", "root"), "cid", "left").join(F.broadcast(taught), "doc_id")
+    return grouped.groupBy("root", "label").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label")
 
 
 #: What an entry of the counts is for.
@@ -310,7 +298,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
     # bounded by max_labels, so it may be broadcast
     taught = (training_labels(labels, label_col).select(F.col("doc_id").cast("string").alias("doc_id"), "label")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).checkpoint())
-    taught = one_of_copies(rows.join(F.broadcast(taught), "doc_id")).checkpoint()
+    taught = one_of_copies(rows.join(F.broadcast(taught.select("doc_id")), "doc_id"), taught).checkpoint()
     model = token_model(rows, taught)
     if model is None:
         return ToxicityModel()
@@ -344,9 +332,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic"
     location = (got.where("label = 0 and n > 0")
                 .agg(F.avg(F.lit(model.rate) * best - F.log("n"))).first()[0])
     model.log_k = float(location if location is not None else 0.0) - 0.5772156649
-    table = got.where("label >= 0").select("label", "n", "s").toArrow()  # at most max_labels rows
-    total = np.array([significant(model, np.array(s), n) for s, n in zip(table.column("s").to_pylist(), table.column("n").to_pylist())])
-    model.weights = fit_logistic(np.log1p(total), table.column("label").to_numpy().astype(float))
+    final = spark.sparkContext.broadcast(model)
+
+    def totals(batches):
+        for batch in batches:
+            own = [significant(final.value, np.array(x), n) for x, n in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64())], names=["label", "total"])
+
+    # two numbers for each labelled document, at most max_labels
+    table = got.where("label >= 0").select("label", "n", "s").mapInArrow(totals, "label int, total double").toArrow()
+    model.weights = fit_logistic(np.log1p(table.column("total").to_numpy()), table.column("label").to_numpy().astype(float))
+    final.unpersist()
     shared.unpersist()
     return model
 

@@ -33,3 +33,18 @@ def test_stages_take_effect_in_turn(llm):
 def test_run_gives_the_last_stage(llm):
     out = corpus_pipeline.run(llm, "/root/testdata/sf0.001")
     assert out.columns[-2:] == ["slot", "shard"] and out.count() > 0
+
+
+def test_stages_on_odd_rows(llm, odd_docs, no_docs):
+    """Null, empty, long, tied and repeated rows, and columns named slot and shard."""
+    d = "/root/testdata/sf0.001"
+    odd = odd_docs.withColumnRenamed("size", "slot").withColumnRenamed("key", "shard")
+    for docs in (odd, no_docs):
+        whole = {tuple(r) for r in docs.collect()}
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(llm, docs, d)
+            assert kept.columns == docs.columns
+            assert {tuple(r) for r in kept.collect()} <= whole
+        placed = corpus_pipeline.sharding_stage(llm, docs, d)
+        assert placed.columns == [*(c for c in docs.columns if c not in ("slot", "shard")), "slot", "shard"]
+        assert placed.count() == docs.count() and placed.where("slot is null or shard is null").count() == 0

@@ -91,6 +91,19 @@ def test_words_keep_their_odds_in_a_large_vocabulary(llm):
     assert got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("double"))).first()[0] > 0.95
 
 
+def test_one_of_near_copies_teaches_for_each_label(llm):
+    """Long texts of common words share their least hashes, but are no copies of one another."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    unlike = [(str(i), i % 2, " ".join(rng.choice(words) for _ in range(300))) for i in range(60)]
+    base = [rng.choice(words) for _ in range(300)]
+    copies = [(f"c{i}", int(i > 3), " ".join([*base[:150], f"new{i}", *base[150:]])) for i in range(8)]
+    empty = [("e1", 0, ""), ("e2", 0, None), ("e3", 1, "...")]
+    rows = llm.createDataFrame(unlike + copies + empty, "doc_id string, label int, t string")
+    got = {(r.doc_id, r.label) for r in X.one_of_copies(rows.select("doc_id", "t"), rows.select("doc_id", "label")).collect()}
+    assert got == {(i, y) for i, y, _ in unlike} | {("c0", 0), ("c4", 1), ("e1", 0), ("e3", 1)}
+
+
 def test_odd_rows(planted, odd_docs, no_docs):
     _, labels = planted
     got = X.toxicity_scores(odd_docs, labels.union(labels.limit(3)))
