@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept;
 what it returns is written as Parquet and read again as the next one's input.
+
+Defined results: an empty table passes through all stages as an empty table.  Null
+and empty texts are scored, kept or rejected like any other text, are no near
+duplicates of anything, hold no benchmark window and have size 0 in the mix.  A null
+source is a source of its own, null ids are passed through, repeated rows are near
+duplicates of each other.  All columns of the input are kept; only the last stage
+replaces columns named slot or shard.
 """
 
 from __future__ import annotations
