@@ -22,7 +22,9 @@ Defined results: null and empty texts have no words; a null language counts as
 ``und``; repeated rows count each time; an empty table, or one without frequent
 phrases, gives no rows; equally ranked phrases of a language go by their text, so
 ranks are never shared; other columns are never read.  A shard holds a longest
-document at least, and memory follows that or ``SHARD_WORDS``.
+document at least, and memory follows that or ``SHARD_WORDS``: a shard goes before
+the next one is read, its phrases are extended and written out ``PART`` occurrences
+at a time, and texts are kept only where phrases are spelled.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.textops import LOWER_ASCII, mix, prefix_hash, slice_hash, text_chunks, word_bounds
+from ledgerlens.llm.textops import LOWER_ASCII, mix, prefix_hash, row_runs, slice_hash, text_chunks, word_bounds
 from ledgerlens.session import scratch_path
 
 #: Fewest occurrences of a candidate.
@@ -49,6 +51,10 @@ TOP = 2000
 DEPTH = 3
 #: Words of a shard.
 SHARD_WORDS = 1_000_000
+#: Occurrences that are extended at a time (one interval at least), and rows written at a time.
+PART = 1 << 17
+#: Bytes of text hashed at a time.
+TEXT_BYTES = 1 << 18
 #: Bits of the frequent pairs' bitmap for each pair, and at most (32 MB).
 BITS_EACH, MAX_BITS = 16, 1 << 28
 #: Scores are whole numbers of this fraction.
@@ -74,24 +80,39 @@ class Transform:
             for k in range(1, depth):
                 key <<= bits
                 key[:self.n - k] |= text[k:]
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             del key
         else:
             order = np.lexsort([np.concatenate((text[k:], np.zeros(min(k, self.n), text.dtype))) for k in range(depth)][::-1])
         self.bwt = text[order - 1]
         del order
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols))))
-        place = np.argsort(self.bwt, kind="stable")
-        #: symbol and place of every entry, in the order of the suffixes that the entries begin
-        self.entries = self.bwt[place].astype(np.int64) * self.n + place
 
-    def extensions(self, low: np.ndarray, count: np.ndarray):
-        """Every interval with each word before it: (interval, word, occurrences, start of
-        the longer phrase's interval, occurrences of the interval under lesser symbols)."""
+    @cached_property
+    def entries(self) -> np.ndarray:
+        """Symbol and place of every entry, in the order of the suffixes that the entries begin."""
+        out = self.bwt.astype(np.int64)
+        out *= self.n
+        out += np.arange(self.n)
+        out.sort()
+        return out
+
+    @cached_property
+    def ends(self) -> np.ndarray:
+        """How many entries before each place are no words."""
+        return np.concatenate(([0], np.cumsum(self.bwt < 2, dtype=np.int32)), dtype=np.int32)
+
+    def counts(self, low: np.ndarray, count: np.ndarray):
+        """Every interval with each symbol before it: (interval, symbol, occurrences)."""
         which = np.repeat(np.arange(len(low)), count)
         at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(which))
         pairs, times = np.unique(which * self.symbols + self.bwt[at], return_counts=True)
-        which, word = np.divmod(pairs, self.symbols)
+        return *np.divmod(pairs, self.symbols), times
+
+    def extensions(self, low: np.ndarray, count: np.ndarray):
+        """Every interval with each word before it: (interval, word, occurrences, start of
+        the longer phrase's interval, occurrences of the interval under lesser symbols)."""
+        which, word, times = self.counts(low, count)
         start = np.searchsorted(self.entries, word * self.n + low[which])
         before = np.cumsum(times) - times
         lesser = before - before[np.searchsorted(which, which)]
@@ -100,8 +121,7 @@ class Transform:
 
     def extended(self, low: np.ndarray, count: np.ndarray) -> np.ndarray:
         """How many occurrences of each interval have a word before them in their piece."""
-        edges = np.concatenate(([0], np.cumsum(self.bwt < 2, dtype=np.int32)))
-        return count - (edges[low + count] - edges[low])
+        return count - (self.ends[low + count] - self.ends[low])
 
 
 class Phrases:
@@ -110,9 +130,18 @@ class Phrases:
     def __init__(self, words: np.ndarray, forward: np.ndarray, backward: np.ndarray, count: np.ndarray):
         self.words, self.forward, self.backward, self.count = words, forward, backward, count
 
-    def only(self, mask: np.ndarray) -> Phrases:
+    def only(self, mask: np.ndarray | slice) -> Phrases:
         return Phrases(self.words[mask], self.forward[mask], self.backward[mask], self.count[mask])
 
+    def parts(self) -> Iterator[Phrases]:
+        """Consecutive phrases with ``PART`` occurrences at most, one phrase at least."""
+        for lo, hi in row_runs(np.concatenate(([0], np.cumsum(self.count))), PART):
+            yield self.only(slice(lo, hi))
+
+    @staticmethod
+    def joined(parts: list[Phrases]) -> Phrases:
+        return Phrases(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("words", "forward", "backward", "count")))
+
 
 class WordIndex:
     """Both transforms of a shard's pieces (word numbers from 2; 1 stands between pieces)."""
@@ -136,12 +165,22 @@ class WordIndex:
     def right(self, phrases: Phrases) -> Phrases:
         """The phrases with every word that follows them."""
         which, word, count, start, lesser = self.backward.extensions(phrases.backward, phrases.count)
-        return Phrases(np.column_stack((phrases.words[which], word)), phrases.forward[which] + lesser, start, count)
+        return self.phrases((phrases.words[which], word), phrases.forward[which] + lesser, start, count)
+
+    def followed(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """Words and counts of ``right``, without the intervals."""
+        which, word, count = self.backward.counts(phrases.backward, phrases.count)
+        real = word >= 2
+        return np.column_stack((phrases.words[which[real]], word[real])), count[real]
 
     def left(self, phrases: Phrases) -> Phrases:
         """The phrases with every word that stands before them."""
         which, word, count, start, lesser = self.forward.extensions(phrases.forward, phrases.count)
-        return Phrases(np.column_stack((word, phrases.words[which])), start, phrases.backward[which] + lesser, count)
+        return self.phrases((word, phrases.words[which]), start, phrases.backward[which] + lesser, count)
+
+    def phrases(self, words, *intervals: np.ndarray) -> Phrases:
+        """Phrases in the numbers' type of the text."""
+        return Phrases(*(x.astype(self.text.dtype, copy=False) for x in (np.column_stack(words), *intervals)))
 
     def extended(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences of each phrase with a word on their left, and on their right."""
@@ -150,13 +189,16 @@ class WordIndex:
 
 
 class Shard:
-    """Words of some documents: hashes of language and text, piece starts, and the bytes."""
+    """Words of some documents: hashes of language and text, piece starts, words by
+    language and, if they are to be spelled, the bytes."""
 
-    def __init__(self):
+    def __init__(self, spell: bool = True):
+        self.spell = spell
         self.keys: list[np.ndarray] = []
         self.starts_piece: list[np.ndarray] = []
         self.bytes: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.languages: list[tuple[list[str], np.ndarray]] = []
+        self.totals: dict[str, int] = {}
         self.size = 0
 
     def add(self, data: np.ndarray, offsets: np.ndarray, languages: list[str]) -> None:
@@ -170,38 +212,46 @@ class Shard:
         new = np.ones(len(start), bool)
         new[1:] = (row[1:] != row[:-1]) | (ends[start[1:]] > ends[end[:-1]])
         self.starts_piece.append(new)
-        self.bytes.append((low, start, end))
-        self.languages.append((languages, row))
+        if self.spell:  # a text has fewer than 2**31 bytes
+            self.bytes.append((low, start.astype(np.int32), end.astype(np.int32)))
+            self.languages.append((languages, row.astype(np.int32)))
+        for i, n in zip(*np.unique(row, return_counts=True)):
+            self.totals[languages[i]] = self.totals.get(languages[i], 0) + int(n)
         self.size += len(start)
 
     def index(self, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, WordIndex]:
-        """Distinct keys, the place of a first occurrence of each, and the index over their numbers."""
-        keys = np.concatenate(self.keys)
-        distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
-        new = np.concatenate(self.starts_piece)
-        text = np.ones(len(keys) + new.sum() + 1, np.int32)
-        text[np.arange(len(keys)) + np.cumsum(new)] = number + 2
+        """Distinct keys, the place of a first occurrence of each, and the index over their
+        numbers.  The words' keys are given up."""
+        keys, new = np.concatenate(self.keys), np.concatenate(self.starts_piece)
+        self.keys, self.starts_piece = [], []
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        head = np.concatenate(([True], keys[1:] != keys[:-1]))
+        distinct, first = keys[head], order[head]
+        del keys
+        number = np.empty(len(order), np.int32)
+        number[order] = np.cumsum(head, dtype=np.int32) + 1
+        del order
+        text = np.ones(len(number) + new.sum() + 1, np.int32)
+        at = np.cumsum(new)
+        at += np.arange(len(number))
+        text[at] = number
         return distinct, first, WordIndex(text, len(distinct) + 2, depth)
 
     def spelled(self, places: np.ndarray) -> tuple[list[str], list[str]]:
         """Words at places in the shard, and their languages."""
-        edges = np.cumsum([0, *map(len, self.keys)])
-        words, languages = [], []
-        for place in places:
-            c = int(np.searchsorted(edges, place, side="right")) - 1
+        edges = np.cumsum([0, *(len(start) for _, start, _ in self.bytes)])
+        chunk = np.searchsorted(edges, places, side="right") - 1
+        words, languages = np.empty(len(places), object), np.empty(len(places), object)
+        for c in np.unique(chunk):
+            own = np.flatnonzero(chunk == c)
+            i = places[own] - edges[c]
             low, start, end = self.bytes[c]
-            i = int(place - edges[c])
-            words.append(low[start[i]:end[i]].tobytes().decode("utf-8"))
+            text = low.tobytes()
+            words[own] = [text[a:b].decode("utf-8") for a, b in zip(start[i].tolist(), end[i].tolist())]
             names, row = self.languages[c]
-            languages.append(names[row[i]])
-        return words, languages
-
-    def words_by_language(self) -> dict[str, int]:
-        out: dict[str, int] = {}
-        for names, row in self.languages:
-            for i, n in zip(*np.unique(row, return_counts=True)):
-                out[names[i]] = out.get(names[i], 0) + int(n)
-        return out
+            languages[own] = [names[r] for r in row[i].tolist()]
+        return words.tolist(), languages.tolist()
 
 
 _LANGUAGES: dict[str, int] = {}
@@ -215,16 +265,18 @@ def language_hash(name: str) -> int:
     return _LANGUAGES[name]
 
 
-def shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shard]:
-    """Shards of the task's documents (columns language, text)."""
-    shard = Shard()
+def shards(batches: Iterator[pa.RecordBatch], shard_words: int, spell: bool = True) -> Iterator[Shard]:
+    """Shards of the task's documents (columns language, text).  Callers drop a shard
+    before they ask for the next one."""
+    shard = Shard(spell)
     for batch in batches:
         languages = ["und" if x is None else x for x in batch.column(0).to_pylist()]
-        for lo, hi, data, offsets in text_chunks(batch.column(1)):
-            shard.add(data, offsets, languages[lo:hi])
+        for lo, _, data, offsets in text_chunks(batch.column(1)):
+            for i, j in row_runs(offsets, TEXT_BYTES):
+                shard.add(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], languages[lo + i:lo + j])
             if shard.size >= shard_words:
                 yield shard
-                shard = Shard()
+                shard = Shard(spell)
     if shard.size:
         yield shard
 
@@ -237,14 +289,18 @@ def longs(values: np.ndarray) -> pa.Array:
 
 def word_and_pair_counts(source: DataFrame, shard_words: int) -> DataFrame:
     """h1, h2 (null for a word), f: counts of all words and pairs."""
+    def counted(shard):
+        keys, _, index = shard.index(depth=2)
+        words = index.words()
+        yield from pa.Table.from_arrays([longs(keys), pa.nulls(len(keys), pa.int64()), longs(words.count)], names=["h1", "h2", "n"]).to_batches(PART)
+        for part in words.parts():
+            pairs, count = index.followed(part)
+            yield pa.RecordBatch.from_arrays([longs(keys[pairs[:, 0] - 2]), longs(keys[pairs[:, 1] - 2]), longs(count)], names=["h1", "h2", "n"])
+
     def run(batches):
-        for shard in shards(batches, shard_words):
-            keys, _, index = shard.index(depth=2)
-            words = index.words()
-            yield pa.RecordBatch.from_arrays([longs(keys), pa.nulls(len(keys), pa.int64()), longs(words.count)], names=["h1", "h2", "n"])
-            pairs = index.right(words)
-            yield pa.RecordBatch.from_arrays([longs(keys[pairs.words[:, 0] - 2]), longs(keys[pairs.words[:, 1] - 2]),
-                                              longs(pairs.count)], names=["h1", "h2", "n"])
+        for shard in shards(batches, shard_words, spell=False):
+            yield from counted(shard)
+            del shard
 
     return source.mapInArrow(run, "h1 long, h2 long, n long").groupBy("h1", "h2").agg(F.sum("n").alias("f"))
 
@@ -281,28 +337,35 @@ def phrase_rows(source: DataFrame, bitmap, shard_words: int) -> DataFrame:
     (h1, word, lang), and the words of a language (lang, n)."""
     names = ["h1", "h2", "h3", "n", "n_left", "n_right", "word", "lang"]
 
-    def run(batches):
-        frequent = bitmap.value
+    def rows(count, **columns):
+        kinds = [pa.int64()] * 6 + [pa.string()] * 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[name], kind) if name in columns else pa.nulls(count, kind) for name, kind in zip(names, kinds)], names=names)
 
-        def rows(count, **columns):
-            kinds = [pa.int64()] * 6 + [pa.string()] * 2
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[name], kind) if name in columns else pa.nulls(count, kind) for name, kind in zip(names, kinds)], names=names)
+    def found(shard, frequent):
+        keys, first, index = shard.index()
 
-        for shard in shards(batches, shard_words):
-            keys, first, index = shard.index()
-            pairs = index.right(index.words())
-            pairs = pairs.only(in_bitmap(frequent, keys[pairs.words[:, 0] - 2], keys[pairs.words[:, 1] - 2]))
-            triples = index.right(pairs)
-            triples = triples.only(in_bitmap(frequent, keys[triples.words[:, 1] - 2], keys[triples.words[:, 2] - 2]))
+        def known(phrases):
+            """Those whose last two words are in the bitmap."""
+            return phrases.only(in_bitmap(frequent, keys[phrases.words[:, -2] - 2], keys[phrases.words[:, -1] - 2]))
+
+        pairs = Phrases.joined([known(index.right(part)) for part in index.words().parts()])
+        for part in pairs.parts():
+            triples = known(index.right(part))
             left, right = index.extended(triples)
             h = keys[triples.words - 2]
             yield rows(len(h), h1=h[:, 0], h2=h[:, 1], h3=h[:, 2], n=triples.count, n_left=left, n_right=right)
-            used = np.unique(pairs.words) - 2
-            word, language = shard.spelled(first[used])
-            yield rows(len(used), h1=keys[used], word=word, lang=language)
-            totals = shard.words_by_language()
-            yield rows(len(totals), lang=list(totals), n=list(totals.values()))
+        used = np.unique(pairs.words) - 2
+        for i in range(0, len(used), PART):
+            own = used[i:i + PART]
+            word, language = shard.spelled(first[own])
+            yield rows(len(own), h1=keys[own], word=word, lang=language)
+        yield rows(len(shard.totals), lang=list(shard.totals), n=list(shard.totals.values()))
+
+    def run(batches):
+        for shard in shards(batches, shard_words):
+            yield from found(shard, bitmap.value)
+            del shard
 
     return source.mapInArrow(run, "h1 long, h2 long, h3 long, n long, n_left long, n_right long, word string, lang string")
 

@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +130,65 @@ def test_odd_rows(llm, odd_docs, no_docs):
     assert result(C.collocations(odd_docs, least=2)) == sorted(brute(rows_of(odd_docs), least=2))
     assert C.collocations(no_docs).count() == 0
     assert C.collocations(odd_docs.where("text is null or text = ''")).count() == 0
+
+
+class Tasks:
+    """Stands for a table of documents: runs what its tasks would run."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def groupBy(self, *_):
+        return self
+
+    def agg(self, *_):
+        return self
+
+
+def written(batch, shard_words, second):
+    """The record batches of a task of the first or second pass (all pairs in the bitmap)."""
+    tasks = Tasks()
+    if second:
+        C.phrase_rows(tasks, SimpleNamespace(value=np.full(1 << 10, -1)), shard_words)
+    else:
+        C.word_and_pair_counts(tasks, shard_words)
+    return tasks.run(iter([batch]))
+
+
+def some_texts(n):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(1_500)]
+    texts = [" ".join(rng.choice(words) if rng.random() < 0.9 else "often" for _ in range(500)) for _ in range(n)]
+    return pa.RecordBatch.from_arrays([pa.array(["en"] * n), pa.array(texts)], names=["lang", "t"])
+
+
+@pytest.mark.parametrize("second", [False, True])
+def test_a_task_holds_one_shard_at_a_time(llm, second):
+    batch = some_texts(1_800)  # three shards of about 2 MB
+    list(written(batch.slice(0, 40), 10_000, second))  # tables that are kept
+
+    def peak(rows):
+        tracemalloc.start()
+        try:
+            for _ in written(rows, 300_000, second):
+                pass
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(batch) < 1.25 * peak(batch.slice(0, 600))
+
+
+@pytest.mark.parametrize("second", [False, True])
+def test_rows_are_written_in_parts_and_stay_the_same(llm, second, monkeypatch):
+    batch = some_texts(60)
+
+    def rows():
+        found = list(written(batch, 100_000, second))
+        return max(b.num_rows for b in found), Counter(tuple(r.values()) for b in found for r in b.to_pylist())
+
+    _, whole = rows()
+    monkeypatch.setattr(C, "PART", 5_000, raising=False)
+    most, parts = rows()
+    assert parts == whole and most <= 5_000
