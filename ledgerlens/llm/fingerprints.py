@@ -37,9 +37,10 @@ PARTS, CELLS, MORE_CELLS = 4, 4, 8
 SPACE, SINGLE = r" \t\n\x0B\f\r", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\U0010ffff"
 WORD = f"(?:[^{SPACE}{SINGLE}]+|[{SINGLE}])[{SPACE}]*|[{SPACE}]+"
 #: Characters from which a text is in the next class, and of how many gaps between words one is a cut
-#: in each class (each divides the next, so a cut of a class is one of all classes before).
+#: in each class (each divides the next, so a cut of a class is one of all classes before).  The short
+#: classes have more cuts, or the half that an edit keeps might hold no whole paragraph.
 CLASSES = tuple(64 * 4 ** i for i in range(10))
-ONE_IN = (1, *(2 * 4 ** i for i in range(11)))
+ONE_IN = (1, 1, 4, *(32 * 4 ** i for i in range(9)))
 #: Differing digests that a table of a larger sketch is made for.
 LOAD = 12
 #: Rounds of peeling before a sketch counts as failed.
